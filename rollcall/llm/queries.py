@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import split_of, table
+from .embedding_dedup import link_embeddings
 from .language_id import fit_dictionaries, identify_language
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
@@ -32,10 +33,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (split_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "max_gain")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_embedding_dedup": op7_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {}
