@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ._common import split_of, table
 from .embedding_dedup import link_embeddings
+from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
@@ -37,11 +38,16 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op9_main_text": op9_main_text,
 }
 
 ORACLES: dict[str, str] = {}
