@@ -11,6 +11,7 @@ from ._common import split_of, table
 from .embedding_dedup import link_embeddings
 from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
+from .minhash_dedup import near_duplicate_classes
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -26,10 +27,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"), width=5, threshold=0.8)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    seen = docs.where(split_of("doc_id", 5) != 0).select("doc_id", "text")
-    model = fit_toxicity(seen.join(labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()), "doc_id").select("text", "toxic"))
+    model = fit_toxicity(docs, labels.where(split_of("doc_id", 5) != 0))
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", (split_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "max_gain")
 
@@ -45,6 +49,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op9_main_text": op9_main_text,
