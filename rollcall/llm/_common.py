@@ -43,23 +43,44 @@ def split_of(id_col: str, modulus: int) -> Column:
 def labelled_sample(docs: DataFrame, label: str, text: str, per_label: int, max_chars: int) -> dict[object, list[str]]:
     """At most per_label distinct texts of each label, spread evenly over the table by a hash.
 
-    The one bounded sample that classifiers are fitted on: texts over max_chars characters, null texts and null labels
-    are left out of the fit. Two passes: counts by label, then a scan that keeps a share of each label.
+    The bounded sample that a classifier is fitted on: texts over max_chars characters, empty and null texts and null
+    labels are left out of the fit. Two passes: counts by label, then a scan that keeps a share of each label.
     """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars) & (F.length(text) > 0))
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return {}
-    point = F.pmod(F.xxhash64(F.col(text), F.monotonically_increasing_id() * 0, F.col(label)), F.lit(1 << 20))
-    keep = F.lit(False)
+    counts = label_counts(rows, label)
+    picked = rows.where(_even_share(F.xxhash64(text, label), label, counts, per_label)).groupBy(F.xxhash64(text).alias("h"), F.col(label).alias("k")).agg(F.min(text).alias("t"))
+    return _by_label(picked.orderBy("h", "k").limit(3 * per_label * max(1, len(counts))).collect(), per_label)
+
+
+def joined_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, text: str, per_label: int, max_chars: int) -> dict[object, list[str]]:
+    """As labelled_sample, for labels in a table of their own: the sample is drawn there, so that texts are not shuffled.
+
+    At most 3 * per_label keys of each label are broadcast to the scan of docs.
+    """
+    rows = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label)
+    counts = label_counts(rows, label)
+    keys = rows.where(_even_share(F.xxhash64(key, label), label, counts, per_label)).limit(3 * per_label * max(1, len(counts)))
+    texts = docs.where(F.col(text).isNotNull() & (F.length(text) <= max_chars) & (F.length(text) > 0)).select(key, text).join(F.broadcast(keys), key)
+    picked = texts.select(F.xxhash64(text).alias("h"), F.col(label).alias("k"), F.col(text).alias("t"))
+    return _by_label(picked.orderBy("h", "k", "t").limit(3 * per_label * max(1, len(counts))).collect(), per_label)
+
+
+def label_counts(rows: DataFrame, label: str) -> dict[object, int]:
+    return {r["k"]: r["n"] for r in rows.groupBy(F.col(label).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _even_share(point: Column, label: str, counts: dict[object, int], per_label: int) -> Column:
+    keep, place = F.lit(False), F.pmod(point, F.lit(1 << 20))
     for value, n in counts.items():
-        share = min(1 << 20, int((1 << 20) * 1.5 * per_label / n) + 1)
-        keep = keep | ((F.col(label) == F.lit(value)) & (point < share))
-    picked = rows.where(keep).groupBy(F.xxhash64(text).alias("h"), F.col(label).alias("k")).agg(F.min(text).alias("t"))
+        keep = keep | ((F.col(label) == F.lit(value)) & (place < min(1 << 20, int((1 << 20) * 1.5 * per_label / n) + 1)))
+    return keep
+
+
+def _by_label(rows: list, per_label: int) -> dict[object, list[str]]:
     found: dict[object, list[str]] = {}
-    for r in picked.orderBy("h", "k").limit(int(3 * per_label * len(counts))).collect():
+    for r in rows:
         found.setdefault(r["k"], []).append(r["t"])
-    return {k: sorted(v, key=lambda t: (hash_text(t), t))[:per_label] for k, v in found.items()}
+    return {k: sorted(set(v), key=lambda t: (hash_text(t), t))[:per_label] for k, v in found.items()}
 
 
 def hash_text(text: str) -> int:

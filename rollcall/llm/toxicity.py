@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import labelled_sample
+from ._common import joined_sample, label_counts
 
 PAD = b" " * 64
 
@@ -70,37 +70,45 @@ def coders_of(model: ToxicityModel) -> tuple:
 
 
 def fit_toxicity(
-    labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", sample_docs: int = 2400, max_chars: int = 20_000, distinct_words: int = 120, shared_words: int = 1500, window: int = 64, level: int = 4, min_match: int = 5, clear_gain: int = 4
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = 2400, max_chars: int = 20_000, distinct_words: tuple[int, ...] = (25, 50, 80, 120, 200), shared_words: tuple[int, ...] = (1500, 3000), window: int = 64, level: int = 4, min_match: int = 5, clear_gain: int = 4
 ) -> ToxicityModel | None:
     """Dictionaries and thresholds from at most sample_docs texts of each label (0 and 1), none over max_chars characters.
 
-    Two thirds of the sample give the dictionaries, one third the thresholds. None if a label has no text. The share of
-    toxic texts among all labelled rows is the prior of the calibration.
+    Two thirds of the sample give the dictionaries, one third the thresholds and, by its log loss, the numbers of words in
+    the dictionaries. None if a label has no text. The share of toxic texts among all labelled rows is the prior of the
+    calibration.
     """
-    rows = labelled.where(F.col(label_col).isin(0, 1))
-    sample = labelled_sample(rows, label_col, text_col, sample_docs, max_chars)
+    rows = labels.where(F.col(label_col).isin(0, 1))
+    sample = joined_sample(docs, rows, id_col, label_col, text_col, sample_docs, max_chars)
     if not sample.get(0) or not sample.get(1):
         return None
-    n = {r[label_col]: r["n"] for r in rows.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = label_counts(rows, label_col)
     cut = {k: v[: max(1, 2 * len(v) // 3)] for k, v in sample.items()}
     rest = {k: v[2 * len(v) // 3 :] or v for k, v in sample.items()}
     df = {k: Counter(w for t in v for w in words(t)) for k, v in cut.items()}
     n1, n0 = len(cut[1]), len(cut[0])
     least = max(2, n1 // 150)
     odds = {w: math.log((c + 0.5) / (n1 + 1) * (n0 + 1) / (df[0][w] + 0.5)) for w, c in df[1].items() if c >= least}
-    apart = sorted((w for w, x in odds.items() if x > 1.5), key=lambda w: (-odds[w] * math.sqrt(df[1][w]), w))[:distinct_words]
-    # ordinary first: the last bytes are nearest and cheapest to point at
-    common = sorted((w for w in df[0] if w not in set(apart)), key=lambda w: (-df[0][w], w))
-    shared, plain = common[:shared_words], common[shared_words : shared_words + 4 * distinct_words]
-    toxic_end = b" ".join(reversed(apart)) + b" "
-    plain_end = (b" ".join(plain) + b" ")[: len(toxic_end)]
-    head = b" ".join(reversed(shared)) + b" "
-    model = ToxicityModel(head + toxic_end, head + plain_end, (), window, level, min_match, clear_gain)
-    coders = coders_of(model)
-    x = np.array([features(gains(t, model, coders), clear_gain) for k in (0, 1) for t in rest[k]])
+    apart = sorted((w for w, x in odds.items() if x > 1.5), key=lambda w: (-odds[w] * math.sqrt(df[1][w]), w))
     y = np.repeat([0.0, 1.0], [len(rest[0]), len(rest[1])])
     prior = np.where(y == 1, n[1] / len(rest[1]), n[0] / len(rest[0])) / (n[0] + n[1]) * len(y)
-    return ToxicityModel(model.toxic, model.ordinary, tuple(logistic(x, y, prior)), window, level, min_match, clear_gain)
+    best: tuple[float, ToxicityModel] | None = None
+    for n_apart in distinct_words:
+        own = apart[:n_apart]
+        common = sorted((w for w in df[0] if w not in set(own)), key=lambda w: (-df[0][w], w))
+        toxic_end = b" ".join(reversed(own)) + b" "  # the last bytes are nearest and cheapest to point at
+        for n_shared in shared_words:
+            head = b" ".join(reversed(common[:n_shared])) + b" "
+            plain_end = (b" ".join(common[n_shared : n_shared + 4 * n_apart]) + b" ")[: len(toxic_end)]
+            model = ToxicityModel(head + toxic_end, head + plain_end, (), window, level, min_match, clear_gain)
+            coders = coders_of(model)
+            x = np.array([features(gains(t, model, coders), clear_gain) for k in (0, 1) for t in rest[k]])
+            w = logistic(x, y, prior)
+            p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
+            loss = float(-(prior * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
+            if best is None or loss < best[0]:
+                best = (loss, ToxicityModel(model.toxic, model.ordinary, tuple(w), window, level, min_match, clear_gain))
+    return best[1]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
