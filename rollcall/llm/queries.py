@@ -12,6 +12,7 @@ from .embedding_dedup import link_embeddings
 from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
 from .minhash_dedup import near_duplicate_classes
+from .mixture import PRODUCTION, mix_sources, mixture_sql
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -27,6 +28,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
 
 
+def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), PRODUCTION)
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), width=5, threshold=0.8)
 
@@ -49,10 +54,11 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
+    "op4_mixture": op4_mixture,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op9_main_text": op9_main_text,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_mixture": mixture_sql(PRODUCTION)}
