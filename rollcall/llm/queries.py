@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import split_of, table
+from .decontaminate import find_leaks
 from .embedding_dedup import link_embeddings
 from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
@@ -51,6 +52,10 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op9_main_text": op9_main_text,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {"op4_mixture": mixture_sql(PRODUCTION)}
