@@ -14,6 +14,7 @@ from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
 from .minhash_dedup import near_duplicate_classes
 from .mixture import PRODUCTION, mix_sources, mixture_sql
+from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -48,6 +49,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_repeated_strings": op8_repeated_strings,
     "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
 }
