@@ -1,9 +1,9 @@
 """Near-duplicate documents: ProbMinHash over weighted word shingles, banding, exact verification, components.
 
 Documents with equal shingle sets fold into one representative first. In every bucket the members are verified against
-the smallest one (a star, not all pairs). What stars leave in different components is compared in blocks of signatures,
-and only pairs whose estimate can reach the threshold go on to exact verification, so no link between different texts
-is lost to the star.
+three of them (stars, not all pairs). What stars leave in different components is compared in blocks of signatures, in
+the first band that a pair shares, and only pairs whose estimate can reach the threshold go on to exact verification, so
+no link that would join two classes is lost to the stars.
 """
 
 from __future__ import annotations
@@ -40,14 +40,16 @@ def near_duplicate_classes(
     classes = light.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     belongs = materialize(light.join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "belongs")
     reps = belongs.where("id = rep AND n > 0").select("id", "n").distinct()
-    entries = materialize(signed.select("id", "keys").join(reps, "id").dropDuplicates(["id"]).select("id", "n", F.explode("keys").alias("key")), "band-entries")
-    buckets = entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    full = materialize(entries.join(buckets, "key").select("key", "id", "n", "least", "size"), "full-buckets")
+    entries = materialize(signed.select("id", "keys").join(reps, "id").dropDuplicates(["id"]).select("id", "n", F.posexplode("keys").alias("band", "key")), "band-entries")
+    hubs = [F.min(F.struct(place.alias("place"), "id", "n")) for place in (F.col("id"), F.xxhash64("id", F.lit(1)), F.xxhash64("id", F.lit(2)))]
+    buckets = entries.groupBy("key").agg(F.array(*hubs).alias("hubs"), F.first("band").alias("band"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    full = materialize(entries.drop("band").join(buckets, "key"), "full-buckets")
     fits = lambda a, b: (F.col(a) >= threshold * 0.5 * F.col(b)) & (F.col(b) >= threshold * 0.5 * F.col(a))
-    star = full.select("id", "n", F.col("least.id").alias("other"), F.col("least.n").alias("m")).where(fits("n", "m") & (F.col("id") != F.col("other"))).select("id", "other").distinct()
+    star = full.select("id", "n", F.explode("hubs").alias("hub")).select("id", "n", F.col("hub.id").alias("other"), F.col("hub.n").alias("m")).where(fits("n", "m") & (F.col("id") != F.col("other")))
+    star = star.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct()
     links = materialize(_verified(star, source, width, threshold, weighting), "star-links")
     parts = components(links, "id", "other")
-    rest = _across(full, parts, signed, threshold - slack, block_rows)
+    rest = _across(full, parts, signed, threshold - slack, block_rows, rows)
     more = materialize(_verified(rest, source, width, threshold, weighting), "block-links")
     if not more.isEmpty():
         parts = components(links.unionByName(more), "id", "other")
@@ -103,30 +105,31 @@ def _verified(pairs: DataFrame, source: DataFrame, width: int, threshold: float,
     return sides.select("id", "other", "text", "other_text").mapInArrow(verify, "id long, other long")
 
 
-def _across(full: DataFrame, parts: DataFrame, signed: DataFrame, least: float, block_rows: int) -> DataFrame:
+def _across(full: DataFrame, parts: DataFrame, signed: DataFrame, least: float, block_rows: int, band_rows: int) -> DataFrame:
     """Pairs (id, other) of one bucket, in different components, whose signatures agree in a share `least` at least."""
-    member = full.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "size", F.coalesce("component", "id").alias("component"))
+    member = full.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "band", "id", "size", F.coalesce("component", "id").alias("component"))
     mixed = member.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
     open_members = member.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / block_rows)))
     open_members = open_members.join(signed.select("id", "signature").dropDuplicates(["id"]), "id")
-    blocks = materialize(open_members.groupBy("key", "block").agg(F.collect_list(F.struct("id", "component", "signature")).alias("rows")), "blocks")
+    blocks = materialize(open_members.groupBy("key", "band", "block").agg(F.collect_list(F.struct("id", "component", "signature")).alias("rows")), "blocks")
     pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = [], []
-            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+            for x, y, band in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 a, b = _block(x.values), _block(y.values)
                 for i, row in enumerate(a[2]):
-                    near = (b[2] == row).mean(1) >= least
-                    near &= (b[1] != a[1][i]) & (b[0] != a[0][i])
+                    equal = b[2] == row
+                    near = (equal.mean(1) >= least) & (b[1] != a[1][i]) & (b[0] != a[0][i])
+                    near &= ~equal[:, : band * band_rows].reshape(len(equal), band, band_rows).all(2).any(1)
                     v.append(b[0][near])
                     u.append(np.full(near.sum(), a[0][i]))
             if u:
                 u, v = np.concatenate(u), np.concatenate(v)
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v), pa.int64()), pa.array(np.minimum(u, v), pa.int64())], names=["id", "other"])
 
-    return pairs.select(F.col("x.rows").alias("a"), F.col("y.rows").alias("b")).mapInArrow(compare, "id long, other long").distinct()
+    return pairs.select(F.col("x.rows").alias("a"), F.col("y.rows").alias("b"), F.col("x.band").alias("band")).mapInArrow(compare, "id long, other long").distinct()
 
 
 def _block(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -12,6 +12,7 @@ from .decontaminate import find_leaks
 from .embedding_dedup import link_embeddings
 from .html_text import extract_main_text
 from .language_id import fit_dictionaries, identify_language
+from .lm_score import score_texts
 from .minhash_dedup import near_duplicate_classes
 from .mixture import PRODUCTION, mix_sources, mixture_sql
 from .suffix_dedup import remove_repeats
@@ -26,6 +27,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (split_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(table(spark, sf_dir, "documents"), split_of("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
 
@@ -63,6 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_lm_score": op2_lm_score,
     "op3_token_counts": op3_token_counts,
     "op4_mixture": op4_mixture,
     "op5_minhash_dedup": op5_minhash_dedup,
