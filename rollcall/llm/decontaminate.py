@@ -256,5 +256,6 @@ def _add(a: DataFrame | None, b: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark item. Rows with a null id are kept only if no row with a null id leaks."""
-    leaks = find_leaks(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("leaked_id")).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(F.col("leaked_id")), "left_anti")
+    own = "__rollcall_id"
+    leaks = find_leaks(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias(own)).distinct()
+    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col(own)), "left_anti")

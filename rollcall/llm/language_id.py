@@ -68,34 +68,54 @@ def identify_language(
     first language by name and are rejected. Repeated rows and repeated ids each get their own row; an empty table gives
     none; a null id stays null. With one dictionary only, the margin is 1.
     """
-    schema = docs.select(id_col).schema
-    out_schema = schema.add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
+    out_schema = docs.select(id_col).schema.add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
+    decide = _decider(dictionaries, window, level, min_match, min_margin, sharpness)
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = decide()
+        for batch in batches:
+            found = [judge(value.as_py()) for value in batch.column(1)]
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds))], names=out_schema.names)
+
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classify, out_schema)
+
+
+def keep_identified(
+    docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str = "text", window: int = 1024, level: int = 6, min_match: int = 3, min_margin: float = 0.005, sharpness: float = 60.0
+) -> DataFrame:
+    """The rows of docs, all columns, that identify_language doesn't reject. An empty table stays empty."""
+    decide = _decider(dictionaries, window, level, min_match, min_margin, sharpness)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = decide()
+        for batch in batches:
+            yield batch.filter(pa.array([not judge(value.as_py())[3] for value in batch.column(text_col)], pa.bool_()))
+
+    return docs.mapInArrow(sift, docs.schema)
+
+
+def _decider(dictionaries: dict[str, bytes], window: int, level: int, min_match: int, min_margin: float, sharpness: float):
+    """Makes, in a task, the function from a text to (lang_pred, score, margin, rejected)."""
+
+    def start():
         import math
 
         import regex
 
         letter = regex.compile(r"\p{L}")
         coders = compressors(dictionaries, window, level, min_match)
-        for batch in batches:
-            langs, scores, margins, rejected = [], [], [], []
-            for value in batch.column(1):
-                text = value.as_py()
-                if text is None or not coders or not letter.search(text):
-                    pred, score, margin = UNDETERMINED, 0.0, 0.0
-                else:
-                    lengths = code_lengths(text.lower().encode("utf-8", "replace"), coders, window)
-                    order = sorted(lengths.items(), key=lambda kv: (kv[1], kv[0]))
-                    pred, best = order[0]
-                    margin = (order[1][1] - best) / order[1][1] if len(order) > 1 else 1.0
-                    score = 1.0 / sum(math.exp(-sharpness * (n - best) / max(best, 1)) for n in lengths.values())
-                langs.append(pred)
-                scores.append(score)
-                margins.append(margin)
-                rejected.append(pred == UNDETERMINED or margin < min_margin)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())], names=out_schema.names
-            )
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(classify, out_schema)
+        def judge(text: str | None) -> tuple[str, float, float, bool]:
+            if text is None or not coders or not letter.search(text):
+                return UNDETERMINED, 0.0, 0.0, True
+            lengths = code_lengths(text.lower().encode("utf-8", "replace"), coders, window)
+            order = sorted(lengths.items(), key=lambda kv: (kv[1], kv[0]))
+            pred, best = order[0]
+            margin = (order[1][1] - best) / order[1][1] if len(order) > 1 else 1.0
+            score = 1.0 / sum(math.exp(-sharpness * (n - best) / max(best, 1)) for n in lengths.values())
+            return pred, score, margin, margin < min_margin
+
+        return judge
+
+    return start

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import materialize
@@ -58,6 +58,26 @@ def near_duplicate_classes(
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("kept"), F.col("n").cast("long").alias("n_shingles"))
 
 
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs, all columns, of which one is left for each class of near_duplicate_classes.
+
+    The row with the smallest id stays; of rows that share this id the first by all columns' text stays. Rows with a null
+    id are in no class and stay.
+    """
+    own = "__rollcall_id"
+    classes = materialize(near_duplicate_classes(docs, id_col=id_col, **options).select(F.col(id_col).alias(own), "kept"), "classes")
+    twice = classes.where("kept").groupBy(own).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own)
+    gone = materialize(classes.where("NOT kept").select(own).unionByName(twice).distinct(), "dropped-ids")
+    key = F.col(id_col).cast("long")
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, key == F.col(own), "left_anti")
+    if twice.isEmpty():
+        return out
+    text = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in docs.columns))
+    again = docs.join(twice, key == F.col(own), "left_semi")
+    first = again.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(text))).where(F.col("__rank") == 1)
+    return out.unionByName(first.drop("__rank"))
+
+
 def _signer(width: int, bands: int, rows: int, weighting: str):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import materialize
 
@@ -27,8 +28,10 @@ BROADCAST_BYTES = 64 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20, keep_text: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) for every row of docs; other columns are not read.
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept][, carried]) for every row of docs.
+
+    carried: a struct of the row's columns named in carry; other columns are not read.
 
     Removes each byte covered by a string of `length` bytes that also starts in a row with a smaller id; strings are
     those of the input, and matches stay within a row. n_spans: maximal removed runs; kept: the remaining bytes as text
@@ -37,8 +40,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     chunk, whatever its length, and a task holds about forty bytes for each byte of its chunk.
     """
     assert length > GRAM and length - GRAM < 64, "a string must be longer than a gram by less than 64 bytes"
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chunks = materialize(source.mapInArrow(_packer(chunk_bytes), "chunk long, size long, ids array<long>, lengths array<int>, body binary"), "chunks")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carried")] if carry else []))
+    more = [T.StructField("carried", T.ArrayType(source.schema["carried"].dataType))] if carry else []
+    packed = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("size", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("body", T.BinaryType()), *more])
+    chunks = materialize(source.mapInArrow(_packer(chunk_bytes), packed), "chunks")
     total = chunks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-total // part_bytes))
     sent = chunks.select("chunk", "lengths", "body").mapInArrow(_hash_sender(length, parts), "part int, chunk long, hashes binary")
@@ -49,8 +54,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     merged = runs.select("chunk", F.explode("runs").alias("r")).select("chunk", "r.part", "r.data").groupBy("part").applyInArrow(_merger(length), "part int, chunk long, masks binary")
     answers = merged.groupBy("chunk").agg(F.collect_list(F.struct("part", "masks")).alias("answers"))
     spans = materialize(runs.select("chunk", "places").join(answers, "chunk").mapInArrow(_span_finder(length), "chunk long, spans binary"), "spans")
-    shape = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")
-    done = _beside(chunks.select("chunk", "ids", "lengths", "body"), spans, F.length("spans"), "left").mapInArrow(_finisher(length, keep_text), shape)
+    shape = T.StructType([*(T.StructField(n, T.LongType()) for n in ("id", "n_bytes", "n_removed", "n_spans")), *(T.StructField(n, T.StringType()) for n in ("kept_sha256", "kept")[: 1 + keep_text])])
+    if carry:
+        shape = shape.add("carried", source.schema["carried"].dataType)
+    done = _beside(chunks.drop("size"), spans, F.length("spans"), "left").mapInArrow(_finisher(length, keep_text), shape)
     return done.withColumnRenamed("id", id_col)
 
 
@@ -66,21 +73,25 @@ def _packer(chunk_bytes: int):
 
         squeeze = zstandard.ZstdCompressor(level=3).compress
         number = TaskContext.get().partitionId() << 30
-        ids, texts, held = [], [], 0
+        ids, texts, carried, held = [], [], [], 0
 
         def out() -> pa.RecordBatch:
             lengths = [len(t) for t in texts]
             cols = [pa.array([number], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([squeeze(b"".join(texts))], pa.binary())]
-            return pa.RecordBatch.from_arrays(cols, names=["chunk", "size", "ids", "lengths", "body"])
+            if carried:
+                cols.append(pa.ListArray.from_arrays(pa.array([0, len(carried)], pa.int32()), pa.concat_arrays(carried)))
+            return pa.RecordBatch.from_arrays(cols, names=["chunk", "size", "ids", "lengths", "body", "carried"][: len(cols)])
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, (key, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 text = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 if texts and held + len(text) > chunk_bytes:
                     yield out()
-                    number, ids, texts, held = number + 1, [], [], 0
+                    number, ids, texts, carried, held = number + 1, [], [], [], 0
                 ids.append(key)
                 texts.append(text)
+                if batch.num_columns > 2:
+                    carried.append(batch.column(2).slice(i, 1))
                 held += len(text)
         if texts:
             yield out()
@@ -161,7 +172,7 @@ def _distinct(body: np.ndarray, bounds: np.ndarray, length: int, parts: int) ->
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(len(batch)):
-            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            yield {name: batch.column(name)[i] if name == "carried" else batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
 def _hash_sender(length: int, parts: int):
@@ -440,6 +451,20 @@ def _finisher(length: int, keep_text: bool):
             if keep_text:
                 cols.append(pa.array([o[4].decode("utf-8", "replace") for o in out], pa.string()))
                 names.append("kept")
+            if "carried" in row:
+                cols.append(row["carried"].values)
+                names.append("carried")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return finish
+
+
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
+    """docs, all columns and rows, with the repeated strings taken out of text_col; length_col, if docs has it, follows.
+
+    A text that was nothing but repeats becomes empty, a null text stays null.
+    """
+    done = remove_repeats(docs, id_col=id_col, text_col=text_col, keep_text=True, carry=tuple(docs.columns), **options)
+    text = F.when(F.col("carried")[text_col].isNotNull(), F.col("kept"))
+    new = {text_col: text, **({length_col: F.length(text).cast(docs.schema[length_col].dataType)} if length_col in docs.columns else {})}
+    return done.select(*(F.coalesce(new[c], F.col("carried")[c]).alias(c) if c == length_col and c in new else new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
