@@ -36,7 +36,7 @@ class Item:
 
 @dataclass(frozen=True)
 class LatentSpace:
-    vocabulary: dict[str, int]
+    recode: np.ndarray  # from the numbers of terms to features, -1 for none
     idf: np.ndarray
     basis: np.ndarray  # features x rank
     width: int
@@ -53,27 +53,36 @@ def read_item(item_id: object, text: str | None) -> Item:
     return Item(item_id, words_of(text), words_of(sentences[-1]) if sentences else [])
 
 
-def _passages(texts: list[list[str]], vocabulary: dict[str, int], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+class _Codes(dict):
+    """The number of each word of a vocabulary, -1 for all others."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+    def read(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+def _passages(texts: list[np.ndarray], n_features: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(passage, feature, count) of each distinct feature of each passage, in order, and the number of passages.
 
-    Passages are `width` words and begin every width / 2 words, so each run of width / 2 words lies whole in one.
+    texts: the features of each text's words, -1 for none. Passages are `width` words and begin every width / 2 words, so
+    each run of width / 2 words lies whole in one.
     """
     step, base, at, found = width // 2, 0, [], []
-    get = vocabulary.get
-    for words in texts:
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        place = np.flatnonzero(ids >= 0)
-        slot = place // step
-        last = max(0, math.ceil(len(words) / step) - 2)  # the final passage takes what is left
+    for codes in texts:
+        place = np.flatnonzero(codes >= 0)
+        slot, ids = place // step, codes[place]
+        last = max(0, math.ceil(len(codes) / step) - 2)  # the final passage takes what is left
         for shift in (0, 1):
             passage = slot - shift
             fine = (passage >= 0) & (passage <= last)
             at.append(base + passage[fine])
-            found.append(ids[place[fine]])
+            found.append(ids[fine])
         base += last + 1
     at, found = np.concatenate(at or [np.zeros(0, np.int64)]), np.concatenate(found or [np.zeros(0, np.int64)])
-    key, count = np.unique(at * max(1, len(vocabulary)) + found, return_counts=True)
-    return key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), count, base
+    key, count = np.unique(at * max(1, n_features) + found, return_counts=True)
+    return key // max(1, n_features), key % max(1, n_features), count, base
 
 
 def _vectors(passage: np.ndarray, feature: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -84,37 +93,66 @@ def _vectors(passage: np.ndarray, feature: np.ndarray, count: np.ndarray, idf: n
     return w / np.repeat(norm, np.diff(np.r_[starts, len(w)]))
 
 
+def _blocks(passage: np.ndarray, feature: np.ndarray, w: np.ndarray, rows: int = 256) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """The passages that have entries, `rows` at a time, as (which of them, features, dense matrix passages x features)."""
+    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(passage) else np.zeros(0, np.int64)
+    ends = np.r_[starts[1:], len(passage)]
+    row = np.repeat(np.arange(len(starts)), ends - starts)
+    for lo in range(0, len(starts), rows):
+        hi = min(lo + rows, len(starts))
+        of = slice(starts[lo], ends[hi - 1])
+        features, column = np.unique(feature[of], return_inverse=True)
+        dense = np.zeros((hi - lo, len(features)), np.float32)
+        dense[row[of] - lo, column] = w[of]
+        yield slice(lo, hi), features, dense
+
+
 def _project(passage: np.ndarray, feature: np.ndarray, w: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The passages that have entries, and their vectors times basis."""
-    if not len(passage):
-        return passage, np.zeros((0, basis.shape[1]))
-    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-    return passage[starts], np.add.reduceat(basis[feature] * w[:, None], starts, axis=0)
+    seen = passage[np.r_[True, passage[1:] != passage[:-1]]] if len(passage) else passage
+    out = np.zeros((len(seen), basis.shape[1]), np.float32)
+    for rows, features, dense in _blocks(passage, feature, w):
+        out[rows] = dense @ basis[features]
+    return seen, out
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int, most_words: int = 400_000) -> Iterator[tuple[int, list[list[str]], pa.RecordBatch]]:
-    """Rows in groups of about most_words words, so that long texts don't add up."""
+def _slices(batches: Iterator[pa.RecordBatch], most_words: int = 400_000) -> Iterator[tuple[int, list[np.ndarray], pa.RecordBatch]]:
+    """The codes of rows in groups of about most_words words, so that long texts don't add up."""
     for batch in batches:
         at, held, n = 0, [], 0
-        for i, value in enumerate(batch.column(column)):
-            held.append(words_of(value.as_py()))
+        for i, value in enumerate(batch.column("codes")):
+            held.append(np.frombuffer(value.as_py(), np.int32))
             n += len(held[-1])
             if n >= most_words or i + 1 == len(batch):
                 yield at, held, batch
                 at, held, n = i + 1, [], 0
 
 
-def fit_space(texts: DataFrame, items: list[Item], *, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> LatentSpace:
-    """The latent space of one block of items, from all passages of texts (one column of strings)."""
+def code_texts(rows: DataFrame, terms: list[str]) -> DataFrame:
+    """rows (id, text) with codes: for each word of the text its number in terms or -1, as int32. Written once, read thrice."""
+    numbers = _Codes((w, k) for k, w in enumerate(terms))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                codes = [numbers.read(words_of(t.as_py())).tobytes() for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], names=["id", "text", "codes"])
+
+    return materialize(rows.where("text IS NOT NULL").mapInArrow(code, rows.schema.add("codes", "binary")), "coded-texts")
+
+
+def fit_space(coded: DataFrame, terms: list[str], items: list[Item], *, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> LatentSpace:
+    """The latent space of one block of items, from all passages of the coded texts."""
     width = 2 * max(16, min(256, max((len(i.words) for i in items), default=16)))
-    terms = sorted({w for i in items for w in i.words})
-    vocabulary = {w: k for k, w in enumerate(terms)}
+    texts, n_terms = coded.select("codes"), len(terms)
+    number = {w: k for k, w in enumerate(terms)}
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
-        for _, rows, _ in _slices(batches, 0):
-            _, feature, _, more = _passages(rows, vocabulary, width)
-            df[:-1] += np.bincount(feature, minlength=len(vocabulary))
+        df, n = np.zeros(n_terms + 1, np.int64), 0
+        for _, rows, _ in _slices(batches):
+            _, feature, _, more = _passages(rows, n_terms, width)
+            df[:-1] += np.bincount(feature, minlength=n_terms)
             n += more
         df[-1] = n
         some = np.flatnonzero(df)
@@ -126,26 +164,23 @@ def fit_space(texts: DataFrame, items: list[Item], *, rank: int, max_share: floa
     total = max(1.0, df[-1])
     rare = set(np.flatnonzero(df[:-1] <= max_share * total))
     for i in items:  # an item of frequent words only keeps its rarest
-        rare |= set(sorted({vocabulary[w] for w in i.words}, key=lambda k: (df[k], k))[:least_words])
+        rare |= set(sorted({number[w] for w in i.words}, key=lambda k: (df[k], k))[:least_words])
     kept = sorted(rare)
-    vocabulary = {terms[k]: n for n, k in enumerate(kept)}
+    vocabulary = _Codes((terms[k], n) for n, k in enumerate(kept))
+    recode = np.full(n_terms + 1, -1, np.int32)  # the last entry stands for code -1
+    recode[kept] = np.arange(len(kept), dtype=np.int32)
     idf = np.log((1 + total) / (1 + df[kept])) + 1
     rng = np.random.default_rng(seed)
     rank = min(rank, len(vocabulary))
     probe = rng.standard_normal((len(vocabulary), rank))
+    n_features, small_probe = len(vocabulary), probe.astype(np.float32)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((len(vocabulary), rank))
-        for _, rows, _ in _slices(batches, 0):
-            passage, feature, count, _ = _passages(rows, vocabulary, width)
-            w = _vectors(passage, feature, count, idf)
-            seen, y = _project(passage, feature, w, probe)
-            order = np.argsort(feature, kind="stable")
-            f = feature[order]
-            if len(f):
-                starts = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
-                rows_y = y[np.searchsorted(seen, passage[order])]
-                out[f[starts]] += np.add.reduceat(rows_y * w[order, None], starts, axis=0)
+        out = np.zeros((n_features, rank))
+        for _, rows, _ in _slices(batches):
+            passage, feature, count, _ = _passages([recode[r] for r in rows], n_features, width)
+            for _, features, dense in _blocks(passage, feature, _vectors(passage, feature, count, idf)):
+                out[features] += dense.T @ (dense @ small_probe[features])
         some = np.flatnonzero(np.abs(out).any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some // 64), pa.array(some), pa.array([x.astype(np.float32).tobytes() for x in out[some]], pa.binary())], names=["part", "feature", "row"])
 
@@ -164,7 +199,7 @@ def fit_space(texts: DataFrame, items: list[Item], *, rank: int, max_share: floa
     g = np.zeros((len(vocabulary), rank))
     for r in once.groupBy("part").applyInArrow(add_up, shape).collect():  # rank floats for each vocabulary word
         g[r["feature"]] = np.frombuffer(r["row"], np.float32)
-    passage, feature, count, n = _passages([i.words for i in items], vocabulary, width)
+    passage, feature, count, n = _passages([vocabulary.read(i.words) for i in items], n_features, width)
     w = _vectors(passage, feature, count, idf)
     own = np.zeros((n, len(vocabulary)))
     own[passage, feature] = w
@@ -174,7 +209,7 @@ def fit_space(texts: DataFrame, items: list[Item], *, rank: int, max_share: floa
     pieces = own @ basis
     norm = np.linalg.norm(pieces, axis=1)
     owner = np.concatenate([np.full(max(0, math.ceil(len(i.words) / (width // 2)) - 2) + 1, k) for k, i in enumerate(items)])
-    return LatentSpace(vocabulary, idf, basis, width, pieces[norm > 0] / norm[norm > 0, None], owner[norm > 0])
+    return LatentSpace(recode, idf, basis, width, pieces[norm > 0] / norm[norm > 0, None], owner[norm > 0])
 
 
 def find_leaks(
@@ -188,35 +223,39 @@ def find_leaks(
     cosine is at least min_cosine, and common is at least min_common, or at least min_common_answered with answer at least
     min_answer. Words are runs of letters and digits, lower-cased. Null and empty texts and items hold nothing. Rows that
     repeat are reported each, null ids with their null; items that repeat an id are told apart only by their figures.
-    An empty table on either side gives no rows. Documents are read whole, three times for each block of items.
+    An empty table on either side gives no rows. Documents are read whole, once for each block of items; their words are
+    coded then, and the codes are read three times.
     """
     ids = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
     item_type = benchmark.select(F.col(item_col).alias("item")).schema["item"].dataType
     schema = T.StructType([T.StructField("id", ids), T.StructField("item", item_type), *[T.StructField(n, T.DoubleType()) for n in ("cosine", "common", "answer")]])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = rows.where("text IS NOT NULL").select("text")
     out: DataFrame | None = None
     block: list[Item] = []
 
     def search(space: LatentSpace, items: list[Item]):
+        basis, pieces = space.basis.astype(np.float32), space.pieces.astype(np.float32)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for at, texts_, batch in _slices(batches, 1):
+            for at, codes, batch in _slices(batches):
                 step = space.width // 2
-                counts = np.array([max(0, math.ceil(len(w) / step) - 2) + 1 for w in texts_], np.int64)
+                counts = np.array([max(0, math.ceil(len(c) / step) - 2) + 1 for c in codes], np.int64)
                 first = np.r_[0, np.cumsum(counts)]
-                passage, feature, count, _ = _passages(texts_, space.vocabulary, space.width)
-                w = _vectors(passage, feature, count, space.idf)
-                seen, z = _project(passage, feature, w, space.basis)
+                passage, feature, count, _ = _passages([space.recode[c] for c in codes], len(space.idf), space.width)
+                seen, z = _project(passage, feature, _vectors(passage, feature, count, space.idf), basis)
                 z = z / np.maximum(np.linalg.norm(z, axis=1), 1e-12)[:, None]
                 best: dict[tuple[int, int], list[float]] = {}
+                open_doc, words = -1, []
                 for lo in range(0, len(z), 20_000):
-                    cosine = z[lo : lo + 20_000] @ space.pieces.T
+                    cosine = z[lo : lo + 20_000] @ pieces.T
                     for p, piece in zip(*np.nonzero(cosine >= min_cosine), strict=True):
                         doc = int(np.searchsorted(first, seen[lo + p], side="right") - 1)
+                        if doc != open_doc:
+                            open_doc, words = doc, words_of(batch.column("text")[at + doc].as_py())
                         start = int(seen[lo + p] - first[doc]) * step
                         k = int(space.owner[piece])
                         item = items[k]
-                        span = texts_[doc][start : start + max(space.width, 2 * len(item.words))]
+                        span = words[start : start + max(space.width, 2 * len(item.words))]
                         common = common_length(item.words, span) / len(item.words)
                         answer = common_length(item.answer, span) / max(1, len(item.answer))
                         if common >= min_common or common >= min_common_answered and answer >= min_answer:
@@ -225,7 +264,7 @@ def find_leaks(
                 if best:
                     keys = sorted(best)
                     figures = [pa.array([best[k][j] for k in keys], pa.float64()) for j in range(3)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([at + d for d, _ in keys], pa.int64())), pa.array([items[k].item_id for _, k in keys], out_item), *figures], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array([at + d for d, _ in keys], pa.int64())), pa.array([items[k].item_id for _, k in keys], out_item), *figures], names=schema.names)
 
         return run
 
@@ -237,17 +276,19 @@ def find_leaks(
         if item.words:
             block.append(item)
         if len(block) == block_items:
-            out = _add(out, _search_block(rows, texts, block, search, schema, rank, max_share, least_words, item_weight, seed))
+            out = _add(out, _search_block(rows, block, search, schema, rank, max_share, least_words, item_weight, seed))
             block = []
     if block:
-        out = _add(out, _search_block(rows, texts, block, search, schema, rank, max_share, least_words, item_weight, seed))
+        out = _add(out, _search_block(rows, block, search, schema, rank, max_share, least_words, item_weight, seed))
     found = out if out is not None else docs.sparkSession.createDataFrame([], schema)
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "common", "answer")
 
 
-def _search_block(rows: DataFrame, texts: DataFrame, items: list[Item], search, schema: T.StructType, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> DataFrame:
-    space = fit_space(texts, items, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed)
-    return materialize(rows.mapInArrow(search(space, items), schema), "leaks")
+def _search_block(rows: DataFrame, items: list[Item], search, schema: T.StructType, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> DataFrame:
+    terms = sorted({w for i in items for w in i.words})
+    coded = code_texts(rows, terms)
+    space = fit_space(coded, terms, items, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed)
+    return materialize(coded.mapInArrow(search(space, items), schema), "leaks")
 
 
 def _add(a: DataFrame | None, b: DataFrame) -> DataFrame:
