@@ -198,7 +198,8 @@ def _find_repeated(t: pa.Table) -> pa.Table:
     found = (count[back] > 1) | (every & np.uint32(1)).astype(bool)
     bits = np.split(found, np.cumsum([len(p) for p in pieces])[:-1])
     keep = [i for i, b in enumerate(bits) if b.any()]
-    return pa.table({"part": t["part"].take(keep), "chunk": t["chunk"].take(keep), "bits": pa.array([np.packbits(bits[i]).tobytes() for i in keep], pa.binary())})
+    rows = pa.array(keep, pa.int64())
+    return pa.table({"part": t["part"].take(rows), "chunk": t["chunk"].take(rows), "bits": pa.array([np.packbits(bits[i]).tobytes() for i in keep], pa.binary())})
 
 
 def _run_builder(length: int, parts: int):
