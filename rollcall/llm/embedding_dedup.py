@@ -20,6 +20,10 @@ from ._common import materialize
 from ._graph import components
 
 
+#: Cells that every vector visits at least; the smallest grids have no more, and are searched whole.
+LEAST_VISITS = 4
+
+
 @dataclass(frozen=True)
 class MultiIndex:
     first: np.ndarray
@@ -83,7 +87,7 @@ def fit_index(units: DataFrame, dim: int, n_rows: int, *, threshold: float, targ
     away /= np.linalg.norm(away, axis=1)[:, None]
     other = threshold * side + (1 - threshold**2) ** 0.5 * away
     rank = np.minimum(_ranks(index, side, other), _ranks(index, other, side))
-    visits = int(np.quantile(rank, target_recall)) + 1
+    visits = max(int(np.quantile(rank, target_recall)) + 1, LEAST_VISITS)
     return MultiIndex(index.first, index.second, visits, float((rank < visits).mean()))
 
 
