@@ -1,8 +1,8 @@
 """Main text of web pages: page structure first, nearest-URL page differencing for what structure leaves open.
 
 Pages are sorted by host and URL path, and each page is aligned with the page before and after it on the same host by a
-longest common subsequence of text lines. A line that both hold in order is furniture of the site and is deleted, unless
-the page marks it as part of its article: articles quote shared passages too, and those are their text.
+longest common subsequence of text lines. A line that both hold in order is furniture of the site and is deleted. Articles
+quote shared passages too, so inside an article it takes the agreement of all neighbours, or a place at the article's ends.
 """
 
 from __future__ import annotations
@@ -131,17 +131,44 @@ def furniture(tag: str) -> bool:
     return False
 
 
+def kept_lines(lines: list[str], inside: list[bool], shared: list[int], sides: int) -> list[bool]:
+    """Which lines are text. shared: for each line the neighbours that have it (1 before, 2 after); sides: those there are.
+
+    Article lines that all neighbours have are deleted, and those that one has if no unshared article line lies before
+    them, or none after. A neighbour that has most of the text in question is another version of the article, not
+    evidence of furniture, unless the other one agrees; an article that all neighbours have whole is kept.
+    """
+    if not any(inside):
+        return [not x for x in shared]
+    own = [i for i, x in enumerate(inside) if x]
+    size = lambda places: sum(len(lines[i]) for i in places)
+    common = {i for i in own if sides and shared[i] == sides}
+    if len(common) == len(own) or sides < 3 and 2 * size(common) > size(own):
+        common = set()
+    rest = [i for i in own if i not in common]
+    once = {k: [i for i in rest if shared[i] == k] for k in (1, 2)} if sides == 3 else {}
+    loose = {i for places in once.values() if 2 * size(places) <= size(rest) for i in places}
+    drop = set(common)
+    for run in (own, own[::-1]):
+        for i in run:
+            if i not in common and i not in loose:
+                break
+            drop.add(i)
+    return [x and i not in drop for i, x in enumerate(inside)]
+
+
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars, n_lines, n_shared) for every row of pages; other columns are not read.
 
     The lines of a page travel compressed; only their hashes meet those of other pages.
 
-    text: the kept lines in page order, joined by one blank; empty if html is null, empty or holds none. Lines of the
-    page's article (or main element) are kept; on pages without one, lines are kept that are no furniture and that
-    neither neighbour on the host shares. n_shared: lines that a neighbour shares, whether kept or not. Neighbours are
-    the rows before and after in the order of (host, path, row); rows that repeat, ids that clash or are null and URLs
-    that are null or have no host are each handled as rows of their own, the last two without neighbours. A page of one
-    text with its neighbour keeps its article; without an article element two equal pages share all, and keep nothing.
+    text: the kept lines in page order, joined by one blank; empty if html is null, empty or holds none. Of the lines of
+    the page's article (or main element) those are deleted that `kept_lines` finds shared; on pages without one, lines are
+    kept that are no furniture and that neither neighbour on the host shares. n_shared: lines that a neighbour shares,
+    whether kept or not. Neighbours are the rows before and after in the order of (host, path, row); rows that repeat, ids
+    that clash or are null and URLs that are null or have no host are each handled as rows of their own, the last two
+    without neighbours. A page of one text with its neighbour keeps its article; without an article element two equal
+    pages share all, and keep nothing.
     """
     from pyspark.sql import types as T
 
@@ -170,7 +197,9 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     ordered = named.repartitionByRange("host", "path", "rid").sortWithinPartitions("host", "path", "rid")
     aligned = materialize(ordered.select("page", "url", "body", "inside", "host", "marks").mapInArrow(_align_in_order, _aligned_schema(schema)), "aligned-pages")
     edges = aligned.where("edge").join(_across_borders(aligned.where("edge")), ["part", "place"], "left")
-    whole = aligned.where("NOT edge").select("page", "url", "body", "inside", "shared").unionByName(edges.select("page", "url", "body", "inside", F.coalesce(F.zip_with("shared", "more", lambda x, y: x | y), "shared").alias("shared")))
+    whole = aligned.where("NOT edge").select("page", "url", "body", "inside", "shared", "sides").unionByName(
+        edges.select("page", "url", "body", "inside", F.coalesce(F.zip_with("shared", "more", lambda x, y: x.bitwiseOR(y)), "shared").alias("shared"), F.col("sides").bitwiseOR(F.coalesce("more_sides", F.lit(0).cast("tinyint"))).alias("sides"))
+    )
     out_schema = T.StructType([schema["page"], schema["url"], T.StructField("text", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("n_chars", "n_lines", "n_shared")]])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +208,13 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             texts, n_lines, n_shared = [], [], []
-            for body, inside, shared in zip(batch.column("body"), batch.column("inside").to_pylist(), batch.column("shared").to_pylist(), strict=True):
+            for body, inside, shared, sides in zip(batch.column("body"), *(batch.column(n).to_pylist() for n in ("inside", "shared", "sides")), strict=True):
                 lines = unpack(body.as_py()).decode().split("\n") if inside else []
-                shared = shared or [False] * len(lines)
-                keep = inside if any(inside) else [not x for x in shared]
+                shared = shared or [0] * len(lines)
+                keep = kept_lines(lines, inside, shared, sides)
                 texts.append(" ".join(line for line, k in zip(lines, keep, strict=True) if k))
                 n_lines.append(len(lines))
-                n_shared.append(sum(shared))
+                n_shared.append(sum(x > 0 for x in shared))
             counts = [pa.array(x, pa.int64()) for x in ([len(t) for t in texts], n_lines, n_shared)]
             yield pa.RecordBatch.from_arrays([batch.column("page"), batch.column("url"), pa.array(texts, pa.string()), *counts], names=out_schema.names)
 
@@ -196,16 +225,19 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
 def _aligned_schema(read_schema):
     from pyspark.sql import types as T
 
-    more = [T.StructField("shared", T.ArrayType(T.BooleanType())), T.StructField("edge", T.BooleanType()), T.StructField("part", T.LongType()), T.StructField("place", T.LongType()), T.StructField("host", T.StringType()), T.StructField("marks", T.ArrayType(T.LongType()))]
+    more = [T.StructField("shared", T.ArrayType(T.ByteType())), T.StructField("sides", T.ByteType()), T.StructField("edge", T.BooleanType()), T.StructField("part", T.LongType()), T.StructField("place", T.LongType()), T.StructField("host", T.StringType()), T.StructField("marks", T.ArrayType(T.LongType()))]
     return T.StructType([*(read_schema[n] for n in ("page", "url", "body", "inside")), *more])
 
 
-def _shared_mask(own: list[int], others: list[list[int]]) -> list[bool]:
-    mask = [False] * len(own)
-    for other in others:
-        for i in common_places(own, other):
-            mask[i] = True
-    return mask
+def _shared_mask(own: list[int], before: list[int] | None, after: list[int] | None) -> tuple[list[int], int]:
+    """For each line 1 if the page before has it in order, plus 2 if the page after has; and the same for pages with lines."""
+    mask, sides = [0] * len(own), 0
+    for side, other in ((1, before), (2, after)):
+        if other:
+            sides |= side
+            for i in common_places(own, other):
+                mask[i] |= side
+    return mask, sides
 
 
 def _align_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +248,7 @@ def _align_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     from pyspark import TaskContext
 
     part, place = TaskContext.get().partitionId(), 0
-    names = ["page", "url", "body", "inside", "shared", "edge", "part", "place", "host", "marks"]
+    names = ["page", "url", "body", "inside", "shared", "sides", "edge", "part", "place", "host", "marks"]
     held: pa.RecordBatch | None = None  # the batch before, whose last row waits for its successor
     before: tuple = (None, [])
 
@@ -224,11 +256,11 @@ def _align_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         nonlocal before, place
         hosts, marks = batch.column(4).to_pylist(), [m or [] for m in batch.column(5).to_pylist()]
         rows = [before, *zip(hosts, marks, strict=True), after]
-        masks = [_shared_mask(m, [rows[i][1] for i in (k, k + 2) if h is not None and rows[i][0] == h]) for k, (h, m) in enumerate(rows[1:-1])]
+        masks = [_shared_mask(m, *(rows[i][1] if h is not None and rows[i][0] == h else None for i in (k, k + 2))) for k, (h, m) in enumerate(rows[1:-1])]
         n = len(batch)
         edge = [place + i == 0 or last and i + 1 == n for i in range(n)]
         kept = [(h, m) if e else (None, None) for h, m, e in zip(hosts, marks, edge, strict=True)]
-        cols = [pa.array(masks, pa.list_(pa.bool_())), pa.array(edge, pa.bool_()), pa.array([part] * n, pa.int64()), pa.array(range(place, place + n), pa.int64()), pa.array([k[0] for k in kept], pa.string()), pa.array([k[1] for k in kept], pa.list_(pa.int64()))]
+        cols = [pa.array([m for m, _ in masks], pa.list_(pa.int8())), pa.array([s for _, s in masks], pa.int8()), pa.array(edge, pa.bool_()), pa.array([part] * n, pa.int64()), pa.array(range(place, place + n), pa.int64()), pa.array([k[0] for k in kept], pa.string()), pa.array([k[1] for k in kept], pa.list_(pa.int64()))]
         before, place = (hosts[-1], marks[-1]), place + n
         return pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], names=names)
 
@@ -243,7 +275,7 @@ def _align_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _across_borders(edges: DataFrame) -> DataFrame:
-    """(part, place, more): what a partition's first row shares with the row before it, and its last with the row after.
+    """(part, place, more, more_sides): what a partition's first row shares with the row before it, and its last with the row after.
 
     Two rows for each partition, in one small window.
     """
@@ -254,7 +286,7 @@ def _across_borders(edges: DataFrame) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [_shared_mask(own or [], [x for x in (prior, later) if x]) for own, prior, later in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.bool_()))], names=["part", "place", "more"])
+            out = [_shared_mask(own or [], prior, later) for own, prior, later in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([m for m, _ in out], pa.list_(pa.int8())), pa.array([s for _, s in out], pa.int8())], names=["part", "place", "more", "more_sides"])
 
-    return near.mapInArrow(align, "part long, place long, more array<boolean>")
+    return near.mapInArrow(align, "part long, place long, more array<tinyint>, more_sides tinyint")

@@ -84,6 +84,17 @@ def test_pages(spark):
     assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_neighbours_decide_inside_the_article(spark):
+    """Unnamed furniture that the neighbours have goes, wherever it lies; a passage quoted by one neighbour and a second version stay."""
+    page = lambda *lines: "<html><body><article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article></body></html>"
+    cookie, letter, quote = "We use cookies here", "Get our letter", "To be or not to be"
+    rows = [(k, f"http://a.org/{k}", page(cookie, f"first words of page {k} about a thing of its own", letter, *([quote] if k in (2, 3) else []), f"last words of {k}", *(["Part one"] if k < 3 else []))) for k in (1, 2, 3, 4)]
+    rows += [(k, f"http://b.org/{k}", page("one and the same", "text")) for k in (5, 6)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    quoted = {k: f"first words of page {k} about a thing of its own {quote} last words of {k}" if k in (2, 3) else f"first words of page {k} about a thing of its own last words of {k}" for k in (1, 2, 3, 4)}
+    assert found == quoted | {5: "one and the same text", 6: "one and the same text"}
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_mixture(tables, name):
     out = mixture.mix_sources(tables[name], mixture.MixturePlan(budget_share=1.0, max_epochs=1)).collect()
