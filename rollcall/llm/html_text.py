@@ -38,27 +38,47 @@ NAMED = frozenset(
     comment comments reply replies respond disqus share sharing social related recommended recommendations popup modal overlay copyright legal
     pagination pager toolbar skip search contentinfo complementary form""".split()
 )
+#: Those that inside an article also name parts of its text: headings, notes, forms of words.
+TEXTUAL = frozenset("header masthead form notice notices alert legal copyright banner search skip social".split())
 OPTIONAL_END = frozenset("p li dt dd tr td th option".split())
 
 
-def parse(page: str) -> tuple[list[str], list[bool]]:
-    """The text lines of a page that are not furniture by element or name, and which of them lie in its main article.
+OUTSIDE, INSIDE, DOUBTFUL = 0, 1, 2
 
-    Lines end at every element that is not inline. If a page has several articles, the one with most text is the main
-    one; without an article, `main` stands in for it. Unclosed elements end with the element around them.
+
+def parse(page: str) -> tuple[list[str], list[int]]:
+    """The text lines of a page that are not furniture by element or name, and for each line whether it lies in its article.
+
+    Lines end at every element that is not inline. All articles of a page count, but those within elements named as
+    furniture only if there are no others; without an article, `main` stands in for it. Unclosed elements end with the
+    element around them. A name never drops an article that lies in no other, nor an element around an article or main.
+    Else an element is dropped if its id, its role, its label or a whole token of its class names furniture. If only a
+    part of one does, its lines in an article are DOUBTFUL (for the neighbours to decide); on a page without article and
+    main it is dropped unless it holds most of the text.
     """
-    lines: list[tuple[str, int, int]] = []  # text, number of the outermost article, number of main
+    lines: list[tuple[str, int, int, tuple[int, ...]]] = []  # text, number of the outermost article, of main, open named elements
     parts: list[str] = []
     stack: list[str] = []
     skip_at = -1  # depth of the open element whose content is left out
     article = main = articles = mains = 0
+    named: list[tuple[int, int]] = []  # depth and number of the open named elements
+    sure: list[bool] = []  # for each named element whether its name is certain
+    around: dict[int, set[int]] = {}  # the named elements around each article
+    wraps: set[int] = set()  # named elements around an article or main
 
     def flush() -> None:
         if parts:
             text = " ".join(html_module.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                lines.append((text, article, main))
+                lines.append((text, article, main, tuple(k for _, k in named)))
+
+    def close(depth: int) -> None:
+        nonlocal skip_at
+        if skip_at >= depth:
+            skip_at = -1
+        while named and named[-1][0] >= depth:
+            named.pop()
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -80,8 +100,7 @@ def parse(page: str) -> tuple[list[str], list[bool]]:
             if name in stack:
                 while stack:
                     top = stack.pop()
-                    if skip_at >= len(stack):
-                        skip_at = -1
+                    close(len(stack))
                     if top == name:
                         break
                 if name == "article" and "article" not in stack:
@@ -93,50 +112,69 @@ def parse(page: str) -> tuple[list[str], list[bool]]:
             continue
         if name in OPTIONAL_END and stack and stack[-1] == name:
             stack.pop()
-            if skip_at >= len(stack):
-                skip_at = -1
+            close(len(stack))
         if skip_at < 0:
-            if name == "article" and not article:
-                articles += 1
-                article = articles
-            elif name == "main" and not main:
-                mains += 1
-                main = mains
-            if name in FURNITURE or name == "header" and not article or name not in {"html", "body", "main"} and furniture(tag) or name not in {"html", "body"} and HIDDEN.search(tag):
+            if name not in {"html", "body"} and HIDDEN.search(tag) or name in FURNITURE and name != "form" or name == "header" and not article:
                 flush()
                 skip_at = len(stack)
-                if name == "article" and stack.count("article") == 0:
-                    article = 0
+            elif name == "article" and not article:
+                articles += 1
+                article = articles
+                around[article] = {k for _, k in named}
+                wraps |= around[article]
+            elif name == "main":
+                if not main:
+                    mains += 1
+                    main = mains
+                    wraps |= {k for _, k in named}
+            elif name not in {"html", "body"}:
+                told = SURE if name == "form" else furniture(tag, bool(article or main))
+                if told:
+                    flush()
+                    named.append((len(stack), len(sure)))
+                    sure.append(told == SURE)
         stack.append(name)
     if skip_at < 0:
         parts.append(page[at:])
     flush()
-    size: dict[tuple[str, int], int] = {}
-    for text, a, n in lines:
-        for key in (("article", a), ("main", n)):
-            if key[1]:
-                size[key] = size.get(key, 0) + len(text)
-    kinds = [k for k in size if k[0] == "article"] or list(size)
-    best = max(kinds, key=lambda k: (size[k], -k[1]), default=None)
-    inside = [best is not None and (a if best[0] == "article" else n) == best[1] for _, a, n in lines]
-    return [t for t, _, _ in lines], inside
-
-
-def furniture(tag: str) -> bool:
-    """Whether class, id or role of a tag name a menu, notice, advert or the like."""
+    lines = [x for x in lines if not any(sure[k] and k not in wraps for k in x[3])]
+    full = {a for _, a, _, _ in lines if a}
+    free = {a for a in full if not any(sure[k] for k in around[a])} or full
+    if full or any(n for _, _, n, _ in lines):
+        kinds = [OUTSIDE if (a not in free if full else not n) else DOUBTFUL if any(k not in wraps for k in near) else INSIDE for _, a, n, near in lines]
+        return [x[0] for x in lines], kinds
+    size = sum(len(x[0]) for x in lines)
+    held: dict[int, int] = {}
+    for text, _, _, near in lines:
+        for k in near:
+            held[k] = held.get(k, 0) + len(text)
+    lines = [x for x in lines if not any(2 * held[k] <= size for k in x[3])]
+    return [x[0] for x in lines], [OUTSIDE] * len(lines)
+
+
+PART, SURE = 1, 2
+
+
+def furniture(tag: str, inside: bool) -> int:
+    """Whether class, id, role or label of a tag names a menu, notice, advert or the like: SURE, by PART of a name, or not (0)."""
+    told = 0
     for m in HINT.finditer(tag):
-        for word in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m.group(1) or m.group(2) or m.group(3) or "").lower()):
-            if word in NAMED:
-                return True
-    return False
+        value = m.group(1) or m.group(2) or m.group(3) or ""
+        whole = value.lower().split() if m.group().lower().startswith("class") else [value.strip().lower()]
+        if any(w in NAMED and not (inside and w in TEXTUAL) for w in whole):
+            return SURE
+        if any(w in NAMED for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
+            told = PART
+    return told
 
 
-def kept_lines(lines: list[str], inside: list[bool], shared: list[int], sides: int) -> list[bool]:
+def kept_lines(lines: list[str], inside: list[int], shared: list[int], sides: int) -> list[bool]:
     """Which lines are text. shared: for each line the neighbours that have it (1 before, 2 after); sides: those there are.
 
     Article lines that all neighbours have are deleted, and those that one has if no unshared article line lies before
     them, or none after. A neighbour that has most of the text in question is another version of the article, not
-    evidence of furniture, unless the other one agrees; an article that all neighbours have whole is kept.
+    evidence of furniture, unless the other one agrees; an article that all neighbours have whole is kept. DOUBTFUL lines
+    of an article are deleted if any neighbour has them that is not such a version.
     """
     if not any(inside):
         return [not x for x in shared]
@@ -148,13 +186,13 @@ def kept_lines(lines: list[str], inside: list[bool], shared: list[int], sides: i
     rest = [i for i in own if i not in common]
     once = {k: [i for i in rest if shared[i] == k] for k in (1, 2)} if sides == 3 else {}
     loose = {i for places in once.values() if 2 * size(places) <= size(rest) for i in places}
-    drop = set(common)
+    drop = common | {i for i in loose if inside[i] == DOUBTFUL}
     for run in (own, own[::-1]):
         for i in run:
             if i not in common and i not in loose:
                 break
             drop.add(i)
-    return [x and i not in drop for i, x in enumerate(inside)]
+    return [x > 0 and i not in drop for i, x in enumerate(inside)]
 
 
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -174,7 +212,7 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
 
     ids = pages.select(F.col(id_col).alias("page")).schema["page"].dataType
     schema = T.StructType(
-        [T.StructField("rid", T.LongType()), T.StructField("page", ids), T.StructField("url", T.StringType()), T.StructField("body", T.BinaryType()), T.StructField("inside", T.ArrayType(T.BooleanType())), T.StructField("marks", T.ArrayType(T.LongType()))]
+        [T.StructField("rid", T.LongType()), T.StructField("page", ids), T.StructField("url", T.StringType()), T.StructField("body", T.BinaryType()), T.StructField("inside", T.ArrayType(T.ByteType())), T.StructField("marks", T.ArrayType(T.LongType()))]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +225,7 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
             marks = [[xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in lines] for lines, _ in parsed]
             bodies = [pack("\n".join(lines).encode("utf-8", "replace")) for lines, _ in parsed]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(bodies, pa.binary()), pa.array([p[1] for p in parsed], pa.list_(pa.bool_())), pa.array(marks, pa.list_(pa.int64()))], names=schema.names
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(bodies, pa.binary()), pa.array([p[1] for p in parsed], pa.list_(pa.int8())), pa.array(marks, pa.list_(pa.int64()))], names=schema.names
             )
 
     raw = pages.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))

@@ -95,6 +95,30 @@ def test_neighbours_decide_inside_the_article(spark):
     assert found == quoted | {5: "one and the same text", 6: "one and the same text"}
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<body><article class="post comments-open"><p>all of it</p></article></body>', "all of it"),
+        ('<body><div class="content has-sidebar"><article><p>all of it</p></article><div class="sidebar">links</div></div></body>', "all of it"),
+        ('<div id="page-with-header"><div class="site-footer">us</div><p>a page of old kind without any article</p></div>', "a page of old kind without any article"),
+        ('<article><div class="entry-header"><h1>Title</h1></div><p class="form">a form of words</p><div class="ad">buy</div></article>', "Title a form of words"),
+        ("<article><p>first story</p></article><article><p>second</p></article>", "first story second"),
+        ('<div class="related"><article>a teaser that is longer</article></div><article>story</article>', "story"),
+        ('<form id="all"><article>story</article></form><form><p>your name</p></form>', "story"),
+        ('<div class="sidebar"><p>links</p></div><div class="main-text"><p>story</p></div>', "story"),
+        ("<div class='promo'><main><p>story</p></main></div>", "story"),
+    ],
+)
+def test_names_never_drop_an_article(html, text):
+    lines, inside = html_text.parse(html)
+    assert " ".join(x for x, k in zip(lines, html_text.kept_lines(lines, inside, [0] * len(lines), 0), strict=True) if k) == text
+
+
+def test_neighbours_decide_about_parts_of_names():
+    lines, inside = html_text.parse('<article><p>a story of some length</p><div class="share-box">send it</div><div class="form-of-words">kept</div><p>the end of it</p></article>')
+    assert html_text.kept_lines(lines, inside, [0, 1, 0, 0], 3) == [True, False, True, True]
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_mixture(tables, name):
     out = mixture.mix_sources(tables[name], mixture.MixturePlan(budget_share=1.0, max_epochs=1)).collect()
