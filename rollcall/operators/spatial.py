@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.geo import KM_PER_DEGREE, haversine_km, ring_holds
 
 
-def _cell(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
-    return F.floor((lat + 90) / size).cast("long"), F.floor(F.pmod(lon + 180, F.lit(360.0)) / size).cast("long")
+def _cell(lat: Column, lon: Column, size: float, columns: int) -> tuple[Column, Column]:
+    """Row of a height of size degrees, and one of the columns of equal width: so no column at 180 degrees is a mere rest."""
+    col = F.floor(F.pmod(lon + 180, F.lit(360.0)) * (columns / 360)).cast("long")
+    return F.floor((lat + 90) / size).cast("long"), F.least(col, F.lit(columns - 1).cast("long"))
 
 
 def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tuple[str, str] = ("lat", "lon"), right_at: tuple[str, str] = ("lat", "lon"), how: str = "inner", distance: str = "km", hot_salt: int = 1) -> DataFrame:
@@ -28,15 +30,15 @@ def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tupl
     size = max(km / KM_PER_DEGREE, 1e-6)
     l = left.select(F.struct(*left.columns).alias("l"), F.col(left_at[0]).cast("double").alias("la"), F.col(left_at[1]).cast("double").alias("lo"))
     r = right.select(F.struct(*right.columns).alias("r"), F.col(right_at[0]).cast("double").alias("ra"), F.col(right_at[1]).cast("double").alias("ro"))
-    columns = int(-(-360.0 // size)) if size < 360 else 1
-    reach = F.ceil(F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("la")) + size, F.lit(90.0)))), F.lit(1e-9)) / size)
-    row, col = _cell(F.col("la"), F.col("lo"), size)
+    columns = max(1, int(360.0 // size))
+    reach = F.ceil(F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("la")) + size, F.lit(90.0)))), F.lit(1e-9)) * (columns / 360) + 1e-9)
+    row, col = _cell(F.col("la"), F.col("lo"), size, columns)
     # near the poles a circle can reach every column: one copy for each column at most
     around = F.when(2 * reach + 1 >= columns, F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))).otherwise(F.transform(F.sequence(-reach, reach), lambda k: F.pmod(col + k, F.lit(columns))))
     around = F.array_distinct(around)
     near = l.where("la IS NOT NULL AND lo IS NOT NULL").withColumn("row", F.explode(F.sequence(row - 1, row + 1))).withColumn("col", F.explode(around))
-    rrow, rcol = _cell(F.col("ra"), F.col("ro"), size)
-    there = r.where("ra IS NOT NULL AND ro IS NOT NULL").withColumns({"row": rrow, "col": F.least(rcol, F.lit(columns - 1))})
+    rrow, rcol = _cell(F.col("ra"), F.col("ro"), size, columns)
+    there = r.where("ra IS NOT NULL AND ro IS NOT NULL").withColumns({"row": rrow, "col": rcol})
     keys = ["row", "col"]
     if hot_salt > 1:
         near = near.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(hot_salt - 1))))

@@ -76,6 +76,20 @@ def test_publish_checks_before_it_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+@pytest.mark.parametrize("km", [200, 800, 3000])
+def test_radius_join_and_nearest_close_to_the_date_line(spark, km):
+    """Against all pairs, on points on both sides of longitude 180."""
+    rng = random.Random(7)
+    points = [(k, rng.uniform(-75, 75), (180 + rng.uniform(-25, 25) + 180) % 360 - 180) for k in range(400)]
+    df = spark.createDataFrame(points, "id long, lat double, lon double")
+    a, b = df.where("id < 200"), df.where("id >= 200")
+    apart = a.alias("a").crossJoin(b.alias("b")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), geo.haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")).alias("km")).collect()
+    got = {(r["a"], r["b"]) for r in spatial.within_radius(a, b, km).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()}
+    assert got == {(r["a"], r["b"]) for r in apart if r["km"] <= km}
+    near = {r["id"]: r["km"] for r in spatial.nearest(a, b.withColumnRenamed("id", "rid"), "id", "rid", first_km=km).collect()}
+    assert near == {k: min(r["km"] for r in apart if r["a"] == k) for k in range(200)}
+
+
 def test_radius_join_over_the_date_line_and_poles(spark):
     rng = random.Random(5)
     points = [(i, rng.choice([rng.uniform(-90, 90), rng.uniform(85, 90), rng.uniform(-1, 1)]), rng.choice([rng.uniform(-180, 180), rng.uniform(179, 180), rng.uniform(-180, -179)])) for i in range(120)]
