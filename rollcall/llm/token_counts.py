@@ -53,6 +53,7 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.cache = _Memo(lambda w: self.prefix_counts(self.stand_in(w), every=False)[-1], cache_words)
+        self.inner = _Memo(self.inner_counts, cache_words // 10)
         self.fits = _Memo(lambda pair: self.fit(*pair), cache_words)
 
     def fit(self, left: str, right: str) -> bool:
@@ -120,8 +121,21 @@ class PrefixCounter:
         get = self.cache.__getitem__
         return sum(1 if p is None else sum(map(get, self.words.findall(p))) for p in self.pieces(text))
 
+    def inner_counts(self, word: str) -> list[tuple[int, int]]:
+        """(characters, tokens) of the prefixes that end within a word and have fewer tokens than the whole."""
+        counts, at, out = self.prefix_counts(self.stand_in(word)), 0, []
+        for i, c in enumerate(word[:-1], 1):
+            at += len(c.encode("utf-8", "replace"))
+            if counts[at - 1] < counts[-1]:
+                out.append((i, counts[at - 1]))
+        return out
+
     def running(self, text: str) -> tuple[list[int], list[int]]:
-        """Ends of the words in the normalised text (characters) and the exact token count of the prefix up to each."""
+        """Ends of prefixes in the normalised text (characters), and the exact token count of each.
+
+        They end at every word's end, and within words wherever that takes fewer tokens than the whole word: with more
+        it is never the longest prefix of a budget. Within a word counts can fall as the prefix grows.
+        """
         ends, totals, base, total = [], [], 0, 0
         for p in self.pieces(text):
             if p is None:
@@ -130,7 +144,11 @@ class PrefixCounter:
                 totals.append(total)
                 continue
             for m in self.words.finditer(p):
-                total += self.cache[m.group()]
+                n = self.cache[m.group()]
+                for i, k in self.inner[m.group()] if n > 1 else ():
+                    ends.append(base + m.start() + i)
+                    totals.append(total + k)
+                total += n
                 ends.append(base + m.end())
                 totals.append(total)
             base += len(p)
@@ -171,8 +189,8 @@ def counter(tokenizer: str) -> PrefixCounter:
 def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", limit: int = 2048, keep_prefixes: bool = False) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit[, prefix_ends, prefix_tokens]) for every row of docs; other columns are not read.
 
-    prefix_ends, prefix_tokens: the end of each word in the normalised text (NFC, lower case; characters) and the tokens
-    of the text up to there, for `truncate_at`. Null and empty texts have 0 bytes, 0 tokens and empty arrays. Rows that
+    prefix_ends, prefix_tokens: the ends of prefixes of the normalised text (NFC, lower case; characters) and the tokens
+    of the text up to there, at each word's end and within words of several tokens, for `truncate_at`. Null and empty texts have 0 bytes, 0 tokens and empty arrays. Rows that
     repeat are counted each; a null id stays null; an empty table gives no rows. Texts of any length are counted whole.
     """
     out_schema = docs.select(id_col).schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
@@ -203,8 +221,8 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def truncate_at(counted: DataFrame, budget: int) -> DataFrame:
     """Adds kept_chars, kept_tokens: the longest stored prefix within budget tokens, from the stored counts alone.
 
-    counted: what count_tokens(keep_prefixes=True) gives. A budget under the first word's tokens keeps nothing (0, 0).
+    counted: what count_tokens(keep_prefixes=True) gives. A budget under the first character's tokens keeps nothing (0, 0).
     """
-    fits = F.size(F.filter("prefix_tokens", lambda n: n <= F.lit(budget)))
-    at = lambda name: F.when(fits > 0, F.element_at(name, F.greatest(fits, F.lit(1)))).otherwise(F.lit(0))
+    last = F.coalesce(F.array_max(F.transform("prefix_tokens", lambda n, i: F.when(n <= F.lit(budget), i + 1))), F.lit(0))
+    at = lambda name: F.when(last > 0, F.element_at(name, F.greatest(last, F.lit(1)))).otherwise(F.lit(0))
     return counted.withColumns({"kept_chars": at("prefix_ends"), "kept_tokens": at("prefix_tokens")})
