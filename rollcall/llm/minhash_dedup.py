@@ -28,11 +28,13 @@ def near_duplicate_classes(
 ) -> DataFrame:
     """(id, class_id, kept, n_shingles) for every row of docs with a non-null id; other columns are not read.
 
-    class_id: the smallest id within reach of links; kept: the row has that id. Two texts are linked if the Jaccard of
-    their shingle sets or the probability Jaccard of their weighted shingles is at least threshold. Words are lower-cased
+    class_id: the smallest id within reach of links; kept: the row has that id. Two texts are linked if the
+    probability Jaccard of their weighted shingles is at least threshold. A pair that the bands bring together is also
+    linked if only the plain Jaccard of its shingle sets is, but such pairs are not all looked for: one that repeats much
+    of its text has a lower weighted similarity, and may be missed. Words are lower-cased
     and parted by white space; texts under `width` words are one shingle. Texts without a word (null, empty, blank) link
     with nothing. Rows that repeat an id stay rows, in one class. An empty table gives no rows. Whole texts count.
-    A pair at the threshold shares a band with probability 1 - (1 - threshold^rows)^bands (0.9997 by default).
+    A pair whose weighted similarity is the threshold shares a band with probability 1 - (1 - threshold^rows)^bands (0.9997 by default).
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(source.mapInArrow(_signer(width, bands, rows, weighting), "id long, digest binary, n int, keys array<long>, signature binary"), "signatures")
