@@ -45,7 +45,8 @@ STAGES = [
     ("mixture", mixture),
 ]
 
-#: Compression, latent space and suffix order have no SQL; tests/llm checks the stages against brute force.
+#: Compression, latent space and suffix order have no SQL. tests/llm checks the duplicate and repeat operators and the
+#: mixture against brute force or SQL, as queries; of the stages as such, and of the leaks' recall, it checks small fixtures.
 ORACLE_SQL = None
 
 
