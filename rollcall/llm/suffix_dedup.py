@@ -6,6 +6,7 @@ one. Anchors whose gram occurs in one document only are set aside by an exchange
 others are sorted within their chunk, front-coded and sent, and the runs of a part of the gram space are merged by a loser
 tree that carries common prefixes: bytes known to be equal are never compared again. The merge gives the array and its
 longest common prefixes, and from these and the bytes left of the anchors it follows which strings a smaller document has.
+A suffix carries no more bytes, to the right and to the left, than the strings of its anchor reach.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialize
+from ._common import discard, materialize
 
 U = np.uint64
 GRAM = 16
@@ -54,6 +55,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     merged = runs.select("chunk", F.explode("runs").alias("r")).select("chunk", "r.part", "r.data").groupBy("part").applyInArrow(_merger(length), "part int, chunk long, masks binary")
     answers = merged.groupBy("chunk").agg(F.collect_list(F.struct("part", "masks")).alias("answers"))
     spans = materialize(runs.select("chunk", "places").join(answers, "chunk").mapInArrow(_span_finder(length), "chunk long, spans binary"), "spans")
+    discard(runs, bits)
     shape = T.StructType([*(T.StructField(n, T.LongType()) for n in ("id", "n_bytes", "n_removed", "n_spans")), *(T.StructField(n, T.StringType()) for n in ("kept_sha256", "kept")[: 1 + keep_text])])
     if carry:
         shape = shape.add("carried", source.schema["carried"].dataType)
@@ -223,15 +225,15 @@ def _run_builder(length: int, parts: int):
             ids = np.array([NO_ID if x is None else x for x in row["ids"]], np.int64)[at_row]
             around = np.zeros(len(body) + 2 * length, np.uint8)
             around[length : length + len(body)] = body
-            # the suffix, then the bytes to its left from right to left; what lies beyond the row is blanked
-            room_left = np.minimum(place - bounds[at_row], left)
-            room_right = np.minimum(bounds[at_row + 1] - place, length)
+            # the suffix, then the bytes to its left from right to left: as many as the anchor's own strings reach, which
+            # lie within the row; what lies beyond is blanked
+            low, high = place - last, place - first
             context = np.empty((len(place), length + left + 2), np.uint8)
             step = np.arange(length)
-            context[:, :length] = around[place[:, None] + length + step] * (step < room_right[:, None])
+            context[:, :length] = around[place[:, None] + length + step] * (step < (length - low)[:, None])
             step = np.arange(left)
-            context[:, length : length + left] = around[place[:, None] + length - 1 - step] * (step < room_left[:, None])
-            context[:, -2], context[:, -1] = room_left, room_right
+            context[:, length : length + left] = around[place[:, None] + length - 1 - step] * (step < high[:, None])
+            context[:, -2], context[:, -1] = low, high
 
             order = np.lexsort((ids, _ranks(context), of_part))
             same = np.r_[False, (context[order[1:]] == context[order[:-1]]).all(1)] if len(order) else np.zeros(0, bool)
@@ -247,9 +249,10 @@ def _run_builder(length: int, parts: int):
                 mine = rep[a:b]
                 c = context[mine]
                 lcp = np.r_[0, _common_prefix(c[1:, :length], c[:-1, :length])].astype(np.uint8)
-                tails = c[:, :length][np.arange(length) >= lcp[:, None]]
-                low, high = (place[mine] - last[mine]).astype(np.uint8), (place[mine] - first[mine]).astype(np.uint8)
-                data = b"".join(x.tobytes() for x in (lcp, low, high, ids[mine], c[:, length : length + left], tails))
+                step = np.arange(length)
+                tails = c[:, :length][(step >= lcp[:, None]) & (step < length - c[:, -2:-1].astype(np.int64))]
+                lefts = c[:, length : length + left][np.arange(left) < c[:, -1:]]
+                data = b"".join(x.tobytes() for x in (lcp, c[:, -2], c[:, -1], ids[mine], lefts, tails))
                 runs.append({"part": int(rep_part[a]), "data": len(mine).to_bytes(4, "little") + squeeze(data)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["chunk"]], pa.int64()), pa.array([len(place).to_bytes(4, "little") + squeeze(b"".join(x.tobytes() for x in places))], pa.binary()), pa.array([runs], pa.list_(pa.struct([("part", pa.int32()), ("data", pa.binary())])))],
@@ -358,12 +361,15 @@ def _merger(length: int):
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4:]), np.uint8)
         lcp, low, high = raw[:n], raw[n : 2 * n], raw[2 * n : 3 * n]
         ids = raw[3 * n : 11 * n].view(np.int64) if raw[3 * n : 11 * n].flags.aligned else np.frombuffer(raw[3 * n : 11 * n].tobytes(), np.int64)
-        lefts = raw[11 * n : (11 + left) * n].reshape(n, left)
-        tails = raw[(11 + left) * n :].tobytes()
+        lefts = np.zeros((n, left), np.uint8)
+        held = np.arange(left) < high[:, None]
+        lefts[held] = raw[11 * n : 11 * n + held.sum()]
+        tails = raw[11 * n + held.sum() :].tobytes()
         strings, s, at = [], b"", 0
-        for h in lcp.tolist():
-            s = s[:h] + tails[at : at + length - h]
-            at += length - h
+        for h, blank in zip(lcp.tolist(), low.tolist(), strict=True):
+            more = max(0, length - blank - h)
+            s = (s[:h] + tails[at : at + more]).ljust(length, b"\0")
+            at += more
             strings.append(s)
         return strings, lcp.tolist(), low, high, ids, lefts
 
@@ -388,7 +394,7 @@ def match_masks(common: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.n
     """Bit l of a suffix: the string that begins l bytes before it occurs in a smaller row.
 
     Such strings are equal if length - l bytes from the anchor on are, which the common prefixes tell exactly, and the l
-    bytes before it, which are compared by a 64-bit hash among suffixes of one class.
+    bytes before it: a 64-bit hash brings them together among suffixes of one class, and the bytes decide.
     """
     out, h = np.zeros(len(ids), U), np.zeros(len(ids), U)
     for l in range(length - GRAM + 1):
@@ -402,8 +408,13 @@ def match_masks(common: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.n
         # classes over all suffixes, so that a common prefix is the least of those passed on the way
         group = np.cumsum(common < length - l)[rows]
         order = np.lexsort((h[rows], group))
-        g, hh, d = group[order], h[rows][order], ids[rows][order]
-        starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (hh[1:] != hh[:-1])])
+        g, hh, d, own = group[order], h[rows][order], ids[rows][order], lefts[rows[order], :l]
+        new = (g[1:] != g[:-1]) | (hh[1:] != hh[:-1])
+        if (~new & (own[1:] != own[:-1]).any(1)).any():  # one hash, other bytes: sort by the bytes themselves
+            order = np.lexsort((*lefts[rows, :l].T, group))
+            g, d, own = group[order], ids[rows][order], lefts[rows[order], :l]
+            new = (g[1:] != g[:-1]) | (own[1:] != own[:-1]).any(1)
+        starts = np.flatnonzero(np.r_[True, new])
         least = np.repeat(np.minimum.reduceat(d, starts), np.diff(np.r_[starts, len(d)]))
         out[rows[order[d > least]]] |= U(1) << U(l)
     return out
