@@ -3,15 +3,14 @@
 Documents are cut in overlapping passages, passages are TF-IDF vectors over the rarer words of the benchmark, and a
 randomised SVD over all passages of the corpus, with the benchmark's own added, gives the latent space. Passages whose
 cosine with a benchmark item in that space is high enough are candidates; longest common subsequences of words, and of
-the words of the item's last sentence (its answer), decide. Items are taken in blocks, so that the vocabulary, the space
-and the items of a block have bounded sizes.
+the words of the item's last sentence (its answer), decide. The corpus is tokenised once, into codes of the benchmark's
+words; spaces are fitted for blocks of items, so that a space has a bounded size.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialize
+from ._common import discard, materialize
 from ._lcs import common_length
 
 WORD = re.compile(r"\w+")
@@ -129,7 +128,10 @@ def _slices(batches: Iterator[pa.RecordBatch], most_words: int = 400_000) -> Ite
 
 
 def code_texts(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """rows (id, text) with codes: for each word of the text its number in terms or -1, as int32. Written once, read thrice."""
+    """(id, codes) of rows (id, text): for each word of the text its number in terms or -1, as int32, without the text.
+
+    Written once and read by all passes over all blocks of items.
+    """
     numbers = _Codes((w, k) for k, w in enumerate(terms))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +139,10 @@ def code_texts(rows: DataFrame, terms: list[str]) -> DataFrame:
             for at in range(0, len(whole), 1024):
                 batch = whole.slice(at, 1024)
                 codes = [numbers.read(words_of(t.as_py())).tobytes() for t in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], names=["id", "text", "codes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["id", "codes"])
 
-    return materialize(rows.where("text IS NOT NULL").mapInArrow(code, rows.schema.add("codes", "binary")), "coded-texts")
+    schema = T.StructType([rows.schema["id"], T.StructField("codes", T.BinaryType())])
+    return materialize(rows.where("text IS NOT NULL").mapInArrow(code, schema), "coded-texts")
 
 
 def fit_space(coded: DataFrame, terms: list[str], items: list[Item], *, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> LatentSpace:
@@ -213,9 +216,24 @@ def fit_space(coded: DataFrame, terms: list[str], items: list[Item], *, rank: in
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 200, rank: int = 256, max_share: float = 0.02, least_words: int = 8,
-    item_weight: float = 1.0, min_cosine: float = 0.4, min_common: float = 0.7, min_common_answered: float = 0.55, min_answer: float = 0.9, seed: int = 5,
-) -> DataFrame:
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_items: int = 2000,
+    rank: int = 256,
+    max_share: float = 0.02,
+    least_words: int = 8,
+    item_weight: float = 1.0,
+    min_cosine: float = 0.4,
+    min_common: float = 0.7,
+    min_common_answered: float = 0.55,
+    min_answer: float = 0.9,
+    seed: int = 5,
+) -> DataFrame:
     """(id, item, cosine, common, answer) for every row of docs and benchmark item that it holds; other columns are not read.
 
     cosine: the highest of the row's passages with the item in the latent space; common: the share of the item's words in
@@ -223,80 +241,76 @@ def find_leaks(
     cosine is at least min_cosine, and common is at least min_common, or at least min_common_answered with answer at least
     min_answer. Words are runs of letters and digits, lower-cased. Null and empty texts and items hold nothing. Rows that
     repeat are reported each, null ids with their null; items that repeat an id are told apart only by their figures.
-    An empty table on either side gives no rows. Documents are read whole, once for each block of items; their words are
-    coded then, and the codes are read three times.
+    An empty table on either side gives no rows. Documents are read whole and once: their words are coded by the
+    benchmark's vocabulary, which the driver and the tasks hold, as they hold the items; the codes are read three times
+    for every block_items items.
     """
-    ids = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
     item_type = benchmark.select(F.col(item_col).alias("item")).schema["item"].dataType
-    schema = T.StructType([T.StructField("id", ids), T.StructField("item", item_type), *[T.StructField(n, T.DoubleType()) for n in ("cosine", "common", "answer")]])
+    ids = docs.select(F.col(id_col).alias("id")).schema["id"]
+    schema = T.StructType([ids, T.StructField("item", item_type), *[T.StructField(n, T.DoubleType()) for n in ("cosine", "common", "answer")]])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out: DataFrame | None = None
-    block: list[Item] = []
-
-    def search(space: LatentSpace, items: list[Item]):
-        basis, pieces = space.basis.astype(np.float32), space.pieces.astype(np.float32)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for at, codes, batch in _slices(batches):
-                step = space.width // 2
-                counts = np.array([max(0, math.ceil(len(c) / step) - 2) + 1 for c in codes], np.int64)
-                first = np.r_[0, np.cumsum(counts)]
-                passage, feature, count, _ = _passages([space.recode[c] for c in codes], len(space.idf), space.width)
-                seen, z = _project(passage, feature, _vectors(passage, feature, count, space.idf), basis)
-                z = z / np.maximum(np.linalg.norm(z, axis=1), 1e-12)[:, None]
-                best: dict[tuple[int, int], list[float]] = {}
-                open_doc, words = -1, []
-                for lo in range(0, len(z), 20_000):
-                    cosine = z[lo : lo + 20_000] @ pieces.T
-                    for p, piece in zip(*np.nonzero(cosine >= min_cosine), strict=True):
-                        doc = int(np.searchsorted(first, seen[lo + p], side="right") - 1)
-                        if doc != open_doc:
-                            open_doc, words = doc, words_of(batch.column("text")[at + doc].as_py())
-                        start = int(seen[lo + p] - first[doc]) * step
-                        k = int(space.owner[piece])
-                        item = items[k]
-                        span = words[start : start + max(space.width, 2 * len(item.words))]
-                        common = common_length(item.words, span) / len(item.words)
-                        answer = common_length(item.answer, span) / max(1, len(item.answer))
-                        if common >= min_common or common >= min_common_answered and answer >= min_answer:
-                            old = best.setdefault((doc, k), [0.0, 0.0, 0.0])
-                            best[doc, k] = [max(a, b) for a, b in zip(old, (float(cosine[p, piece]), common, answer), strict=True)]
-                if best:
-                    keys = sorted(best)
-                    figures = [pa.array([best[k][j] for k in keys], pa.float64()) for j in range(3)]
-                    yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array([at + d for d, _ in keys], pa.int64())), pa.array([items[k].item_id for _, k in keys], out_item), *figures], names=schema.names)
-
-        return run
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    out_item = to_arrow_type(item_type)
-    for r in benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).orderBy("item", "text").toLocalIterator():
-        item = read_item(r["item"], r["text"])
-        if item.words:
-            block.append(item)
-        if len(block) == block_items:
-            out = _add(out, _search_block(rows, block, search, schema, rank, max_share, least_words, item_weight, seed))
-            block = []
-    if block:
-        out = _add(out, _search_block(rows, block, search, schema, rank, max_share, least_words, item_weight, seed))
-    found = out if out is not None else docs.sparkSession.createDataFrame([], schema)
+    asked = benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text"))
+    items = [item for r in asked.orderBy("item", "text").toLocalIterator() if (item := read_item(r["item"], r["text"])).words]
+    found = docs.sparkSession.createDataFrame([], schema)
+    if items:
+        terms = sorted({w for i in items for w in i.words})
+        number = {w: k for k, w in enumerate(terms)}
+        coded = code_texts(rows, terms)
+        for at in range(0, len(items), block_items):
+            block = items[at : at + block_items]
+            space = fit_space(coded, terms, block, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed)
+            search = _searcher(space, block, number, schema, min_cosine, min_common, min_common_answered, min_answer)
+            found = found.unionByName(materialize(coded.mapInArrow(search, schema), "leaks"))
+        discard(coded)
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "common", "answer")
 
 
-def _search_block(rows: DataFrame, items: list[Item], search, schema: T.StructType, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> DataFrame:
-    terms = sorted({w for i in items for w in i.words})
-    coded = code_texts(rows, terms)
-    space = fit_space(coded, terms, items, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed)
-    return materialize(coded.mapInArrow(search(space, items), schema), "leaks")
-
+def _searcher(space: LatentSpace, items: list[Item], number: dict[str, int], schema: T.StructType, min_cosine: float, min_common: float, min_common_answered: float, min_answer: float):
+    from pyspark.sql.pandas.types import to_arrow_type
 
-def _add(a: DataFrame | None, b: DataFrame) -> DataFrame:
-    return b if a is None else a.unionByName(b)
+    out_item = to_arrow_type(schema["item"].dataType)
+    basis, pieces = space.basis.astype(np.float32), space.pieces.astype(np.float32)
+    wanted = [([number[w] for w in i.words], [number[w] for w in i.answer]) for i in items]
+    names = [i.item_id for i in items]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, codes, batch in _slices(batches):
+            step = space.width // 2
+            counts = np.array([max(0, math.ceil(len(c) / step) - 2) + 1 for c in codes], np.int64)
+            first = np.r_[0, np.cumsum(counts)]
+            passage, feature, count, _ = _passages([space.recode[c] for c in codes], len(space.idf), space.width)
+            seen, z = _project(passage, feature, _vectors(passage, feature, count, space.idf), basis)
+            z = z / np.maximum(np.linalg.norm(z, axis=1), 1e-12)[:, None]
+            best: dict[tuple[int, int], list[float]] = {}
+            some = max(1, 8_000_000 // max(1, len(pieces)))
+            for lo in range(0, len(z), some):
+                cosine = z[lo : lo + some] @ pieces.T
+                for p, piece in zip(*np.nonzero(cosine >= min_cosine), strict=True):
+                    doc = int(np.searchsorted(first, seen[lo + p], side="right") - 1)
+                    start = int(seen[lo + p] - first[doc]) * step
+                    k = int(space.owner[piece])
+                    words, last = wanted[k]
+                    span = codes[doc][start : start + max(space.width, 2 * len(words))].tolist()
+                    common = common_length(words, span) / len(words)
+                    answer = common_length(last, span) / max(1, len(last))
+                    if common >= min_common or common >= min_common_answered and answer >= min_answer:
+                        old = best.setdefault((doc, k), [0.0, 0.0, 0.0])
+                        best[doc, k] = [max(a, b) for a, b in zip(old, (float(cosine[p, piece]), common, answer), strict=True)]
+            if best:
+                keys = sorted(best)
+                figures = [pa.array([best[k][j] for k in keys], pa.float64()) for j in range(3)]
+                ids = batch.column("id").take(pa.array([at + d for d, _ in keys], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array([names[k] for _, k in keys], out_item), *figures], names=schema.names)
+
+    return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs, all columns, that hold no benchmark item. Rows with a null id are kept only if no row with a null id leaks."""
+    """The rows of docs, all columns, that hold no benchmark item.
+
+    Rows with null or empty texts stay; rows that repeat stay or go together. Rows with a null id are kept only if no row
+    with a null id leaks. An empty table, or an empty benchmark, leaves docs as it is.
+    """
     own = "__rollcall_id"
     leaks = find_leaks(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias(own)).distinct()
     return docs.join(leaks, F.col(id_col).eqNullSafe(F.col(own)), "left_anti")
