@@ -2,16 +2,14 @@
 
 import hashlib
 import math
-import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from rollcall.llm import lm_score, token_counts
+from rollcall.llm import token_counts
 from tests.compare import DATA, both, views
 
 SF = f"{DATA}/sf0.001"
@@ -115,18 +113,6 @@ def test_base_scores_are_exact(spark, docs):
         assert r["score"] < 0
 
 
-def test_rare_words_are_learned_however_many(spark):
-    """Training words that occur once enter all predictors, and the tables grow with them."""
-    rng = random.Random(3)
-    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(12_000)]
-    rows = [(k, " ".join(words[k * 200 : k * 200 + 200])) for k in range(60)]
-    known, unknown = words[:200], words[10_000:10_200]
-    df = spark.createDataFrame([r for r in rows if r[0] < 50] + [(100, " ".join(known)), (101, " ".join(unknown))], "doc_id long, text string")
-    got = {r["doc_id"]: r["bits_per_byte"] for r in lm_score.score_texts(df, F.col("doc_id") < 100, bits=(12, 12, 12, 12, 12, 12)).collect()}
-    assert got[100] < got[101] - 0.4, (got[100], got[101])
-    assert lm_score._sizes((22, 22, 22, 20, 18, 20), 1_356_178) == (24, 24, 24, 22, 20, 22)
-
-
 def test_held_out_languages(spark, docs):
     lang = {i: x for i, _, x in docs}
     held = [r for r in run(spark, "op1_language_id") if r["held_out"] and lang[r["doc_id"]] and r["lang_pred"] != "und"]

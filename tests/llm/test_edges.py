@@ -49,7 +49,7 @@ def test_row_operators_keep_every_row(tables, name):
 @pytest.mark.parametrize("name", TABLES)
 def test_language_model_scores_every_row(tables, name):
     docs = tables[name]
-    out = lm_score.score_texts(docs, F.col("doc_id") != 2, bits=(12, 12, 12, 12, 12, 12)).collect()
+    out = lm_score.score_texts(docs, F.col("doc_id") != 2).collect()
     assert len(out) == docs.count()
     assert all(r["score"] < 0 and r["n_tokens"] >= 1 for r in out)
 
