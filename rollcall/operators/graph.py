@@ -6,52 +6,41 @@ costs one round at most.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .settled import discard, settle
 
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
-    sc = spark.sparkContext
-    known = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if known:
-        return known.rstrip("/")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def flatten_pointers(nodes: DataFrame, id_col: str, pointer: str, max_rounds: int = 64) -> DataFrame:
+def flatten_pointers(nodes: DataFrame, id_col: str, pointer: str) -> DataFrame:
     """(id, terminal, hops, state) for every node with a pointer.
 
-    state: `ok`, `self` (points at itself), `dangling` (the chain ends at an id that no node has) or `cycle`; terminal is
-    null for cycles. Pointer jumping: every round doubles the steps, so a chain of n takes log2 n joins.
+    state: `ok`, `self` (points at itself), `dangling` (the chain ends at an id that no node has) or `cycle`; terminal and
+    hops are null for cycles. Pointer jumping: every round doubles the steps, so a chain of n takes log2 n joins, and only
+    chains that are still open are written again.
     """
     own = nodes.select(F.col(id_col).alias("id"), F.col(pointer).alias("to")).where("id IS NOT NULL")
     links = settle(own.where("to IS NOT NULL AND to <> id").select("id", "to", F.lit(1).cast("long").alias("hops")))
-    total, now = links.count(), links
-    for _ in range(max_rounds):
-        ahead = now.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
-        moved = now.join(ahead, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.least(F.col("hops") + F.coalesce("more", F.lit(0)), F.lit(total + 1)).alias("hops"), F.col("next").isNotNull().alias("open"))
-        moved = settle(moved)
-        now = moved.select("id", "to", "hops")
-        if moved.where(F.col("open") & (F.col("hops") <= total)).isEmpty():
+    total, done, now = links.count(), [], links
+    rounds = max(1, total).bit_length() + 1  # after these every step that is left is one of a cycle
+    for _ in range(rounds):
+        ahead = now
+        for part in done:
+            ahead = ahead.unionByName(part)
+        ahead = ahead.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
+        further = F.least(F.col("hops") + F.coalesce("more", F.lit(0)), F.lit(total + 1)).alias("hops")
+        moved = settle(now.join(ahead, "to", "left").select("id", F.coalesce("next", "to").alias("to"), further, F.col("next").isNotNull().alias("open")))
+        done.append(moved.where("NOT open").drop("open"))
+        now = moved.where("open").drop("open")
+        if now.isEmpty():
             break
-    known = own.select(F.col("id").alias("to"), F.lit(True).alias("known"))
-    ends = now.join(known, "to", "left")
-    cyclic = F.col("hops") > total
-    state = F.when(cyclic, "cycle").when(F.col("known").isNull(), "dangling").otherwise("ok")
-    out = ends.select("id", F.when(~cyclic, F.col("to")).alias("terminal"), F.when(~cyclic, F.col("hops")).alias("hops"), state.alias("state"))
+    ends = now.withColumn("cyclic", F.lit(True))
+    for part in done:
+        ends = ends.unionByName(part.withColumn("cyclic", F.lit(False)))
+    known = own.select(F.col("id").alias("to"), F.lit(True).alias("known")).distinct()
+    ends = ends.join(known, "to", "left")
+    state = F.when(F.col("cyclic"), "cycle").when(F.col("known").isNull(), "dangling").otherwise("ok")
+    out = ends.select("id", F.when(~F.col("cyclic"), F.col("to")).alias("terminal"), F.when(~F.col("cyclic"), F.col("hops")).alias("hops"), state.alias("state"))
     loops = own.where("to = id").select("id", F.col("to").alias("terminal"), F.lit(0).cast("long").alias("hops"), F.lit("self").alias("state"))
     return out.unionByName(loops).withColumnRenamed("id", id_col)
 
@@ -67,22 +56,23 @@ def break_two_cycles(nodes: DataFrame, id_col: str, pointer: str, richness: str)
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node within reach, for all nodes with an edge to another.
+    """(node, component) for every node that has an edge to another; component is the smallest node within reach.
 
-    Alternates stars: each node's larger neighbours move to its smallest one, then its smaller neighbours do.
+    Alternates stars: each node's larger neighbours move to its smallest one, then its smaller neighbours do. Every round
+    is two aggregations and joins over the edges, written to the shared folder; only a count and a checksum come to the
+    driver. Ends when a round changes nothing. Null ends, self-loops and repeated edges are ignored; no edges give no rows.
     """
-    now = settle(edges.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
+    a, b = F.col(u), F.col(v)
+    now = settle(edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     mark = _mark(now)
     for _ in range(max_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        rest = large.join(floor, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        now = settle(rest.unionByName(floor.select("u", F.col("m").alias("v"))).distinct())
-        before, mark = mark, _mark(now)
+        before, old = mark, now
+        now = settle(_small_star(_large_star(now)), "edges")
+        mark = _mark(now)
+        discard(old)
         if mark == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            child = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return child.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     raise RuntimeError(f"not settled after {max_rounds} rounds")
 
 
@@ -90,35 +80,48 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
 
 
-def ancestors(tree: DataFrame, id_col: str, parent: str, max_depth: int = 100) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each node hands its larger neighbours to the smallest node that it knows of."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node hands its smaller neighbours, and itself, to the smallest of them."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def ancestors(tree: DataFrame, id_col: str, parent: str) -> DataFrame:
     """(descendant, ancestor, distance) for all pairs, each node at distance 0 from itself.
 
-    Level by level up the parents; nodes of a cycle are their own ancestors up to the round in which they would repeat.
+    By doubling: each round puts the jumps of 2^k steps before all pairs known so far, so a tree of depth n takes log2 n
+    rounds. Nodes on a cycle of parents, and those below one, have no ancestor but themselves; `flatten_pointers` names them.
     """
-    links = settle(tree.where(F.col(parent).isNotNull()).select(F.col(id_col).alias("up_id"), F.col(parent).alias("up")))
-    level = tree.select(F.col(id_col).alias("descendant"), F.col(id_col).alias("ancestor"), F.lit(0).alias("distance"))
-    out, depth = level, 0
-    while depth < max_depth:
-        depth += 1
-        level = settle(level.join(links, F.col("ancestor") == F.col("up_id")).select("descendant", F.col("up").alias("ancestor"), F.lit(depth).alias("distance")).where("descendant <> ancestor"))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return out
-
-
-def depths(tree: DataFrame, id_col: str, parent: str, max_depth: int = 100) -> DataFrame:
-    """(id, depth, root) of all nodes that a root (null parent) reaches, level by level down from the roots."""
-    nodes = settle(tree.select(F.col(id_col).alias("id"), F.col(parent).alias("parent")))
-    level = nodes.where("parent IS NULL").select("id", F.lit(0).alias("depth"), F.col("id").alias("root"))
-    out = level
-    for depth in range(1, max_depth + 1):
-        above = level.select(F.col("id").alias("parent"), "root")
-        level = settle(nodes.join(above, "parent").select("id", F.lit(depth).alias("depth"), "root"))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return out.withColumnRenamed("id", id_col)
+    ids = tree.select(F.col(id_col).alias("descendant")).where("descendant IS NOT NULL").distinct()
+    out = ids.select("descendant", F.col("descendant").alias("ancestor"), F.lit(0).alias("distance"))
+    sound = flatten_pointers(tree, id_col, parent).where("state IN ('ok', 'dangling')").select(F.col(id_col).alias("id"))
+    steps = tree.where(F.col(parent).isNotNull()).select(F.col(id_col).alias("id"), F.col(parent).alias("to"))
+    jump, known, size = settle(steps.join(sound, "id", "left_semi")), settle(out), 1
+    while not jump.isEmpty():
+        leap = jump.select(F.col("id").alias("descendant"), F.col("to").alias("middle"))
+        # a parent that no row has is an ancestor all the same, at the end of its chain
+        reach = known.select(F.col("descendant").alias("middle"), "ancestor", "distance")
+        further = leap.join(reach, "middle", "left").select("descendant", F.coalesce("ancestor", "middle").alias("ancestor"), (F.coalesce("distance", F.lit(0)) + size).alias("distance"))
+        known = settle(known.unionByName(further))
+        jump = settle(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")))
+        size *= 2
+    return known
+
+
+def depths(tree: DataFrame, id_col: str, parent: str) -> DataFrame:
+    """(id, depth, root) of all nodes that a root (null parent) reaches, by pointer jumping: log2 of the depth rounds."""
+    roots = tree.where(F.col(parent).isNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.lit(0).cast("long").alias("depth"), F.col(id_col).alias("root"))
+    below = flatten_pointers(tree, id_col, parent).where("state = 'ok'").select(id_col, F.col("hops").alias("depth"), F.col("terminal").alias("root"))
+    # the end of a chain that points at itself is no root
+    return roots.unionByName(below.join(roots.select("root").distinct(), "root", "left_semi").select(id_col, "depth", "root"))
 
 
 def paths(tree: DataFrame, id_col: str, parent: str, name: str, separator: str = " > ") -> DataFrame:
