@@ -2,48 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.settled import discard, shared_dir
+from ..operators.settled import settle as materialize
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset in local mode (tests)."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        if sc.master.split("[")[0] != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+__all__ = ["discard", "materialize", "shared_dir"]
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, and every later pass sees the same rows.
-
-    The files stay until they are discarded or the folder is cleared, as checkpoint files do; a lost executor loses none.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
-
-
-def discard(*written: DataFrame) -> None:
-    """Deletes the files of materialized tables that nothing still to be computed reads."""
-    for df in written:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def split_of(id_col: str, modulus: int) -> Column:

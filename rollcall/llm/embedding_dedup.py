@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import materialize
-from ._graph import components
+from ..operators.graph import connected_components as components
 
 
 #: Cells that every vector visits at least; the smallest grids have no more, and are searched whole.

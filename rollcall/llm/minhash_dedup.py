@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import discard, materialize
-from ._graph import components
+from ..operators.graph import connected_components as components
 from .shingles import WordHashes, band_keys, prob_minhash, similarities, weighted
 
 #: Ids up to this number are broadcast to a scan of the texts (8 bytes each); more are joined by a shuffle.
@@ -62,10 +62,11 @@ def near_duplicate_classes(
     entries = materialize(reps.select("id", "n", F.posexplode("keys").alias("band", "key")), "band-entries")
     leaders = entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
     full = materialize(entries.join(leaders, "key"), "full-buckets")
+    discard(entries)
     fits = (F.col("n") >= threshold * 0.5 * F.col("leader.n")) & (F.col("leader.n") >= threshold * 0.5 * F.col("n")) & (F.col("id") != F.col("leader.id"))
     votes = full.where(fits).groupBy("id", F.col("leader.id").alias("other")).agg(F.count(F.lit(1)).alias("shared"))
     first = votes.groupBy("id").agg(F.max_by("other", F.struct("shared", -F.col("other"))).alias("other"))
-    verify = lambda pairs: materialize(_verified(pairs, source, width, threshold, weighting), "links")
+    verify = lambda pairs: _verified(pairs, source, width, threshold, weighting)
     tried = materialize(first.select("id", "other"), "pairs")
     links = verify(tried)
     parts = components(links, "id", "other")
@@ -78,10 +79,10 @@ def near_duplicate_classes(
             links = links.unionByName(found)
             parts = components(links, "id", "other")
             member = _placed(full, parts)
-    more = materialize(_across(member, signed, source, width, threshold, weighting, slack, block_rows, rows), "block-links")
+    more = _across(member, signed, source, width, threshold, weighting, slack, block_rows, rows)
     if not more.isEmpty():
         parts = components(links.unionByName(more), "id", "other")
-    discard(entries, full)
+    discard(signed, classes, full)
     out = belongs.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
     class_id = F.coalesce("component", "rep")
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("kept"), F.col("n").cast("long").alias("n_shingles"))
@@ -162,7 +163,7 @@ def _signer(width: int, bands: int, rows: int, weighting: str):
 
 
 def _verified(pairs: DataFrame, source: DataFrame, width: int, threshold: float, weighting: str) -> DataFrame:
-    """The pairs (id, other) whose texts are at least threshold alike, by their exact shingles. pairs are a written table."""
+    """The pairs (id, other) whose texts are at least threshold alike, by their exact shingles, as a written table, as pairs are."""
     ids = materialize(pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct(), "pair-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = materialize(source.join(wanted, "id").withColumn("of_text", F.xxhash64("text")).dropDuplicates(["id", "of_text"]).select("id", "text"), "pair-texts")
@@ -190,7 +191,9 @@ def _verified(pairs: DataFrame, source: DataFrame, width: int, threshold: float,
                 keep.append(max(similarities(weighted(mine.as_py(), width, hashes, weighting), last[other][1])) >= threshold)
             yield batch.select(["id", "other"]).filter(pa.array(keep, pa.bool_()))
 
-    return sides.select("id", "other", "text", "other_text").mapInArrow(verify, "id long, other long").distinct()
+    links = materialize(sides.select("id", "other", "text", "other_text").mapInArrow(verify, "id long, other long").distinct(), "links")
+    discard(ids, texts)
+    return links
 
 
 def _across(
@@ -198,7 +201,7 @@ def _across(
 ) -> DataFrame:
     """Links (id, other) between components that share a bucket, enough of them to join all that are linked there.
 
-    In every bucket the largest component stands aside: its members meet all others, but not each other. Blocks travel
+    A written table. In every bucket the largest component stands aside: its members meet all others, but not each other. Blocks travel
     with signatures and exact shingle sets, dealt by pair of blocks. A pair is looked at in the first band it shares.
     """
     of_bucket = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held")).groupBy("key")
@@ -231,7 +234,9 @@ def _across(
     met = left.select("key", "x", F.explode(F.concat(F.slice("others", F.col("i") + 1, F.size("others")), "aside")).alias("y"))
     sides = met.join(blocks.select("key", F.col("block").alias("x"), F.col("rows").alias("a"), "band"), ["key", "x"])
     sides = sides.join(blocks.select("key", F.col("block").alias("y"), F.col("rows").alias("b")), ["key", "y"])
-    return sides.select("a", "b", "band").mapInArrow(_block_links(threshold, slack, band_rows), "id long, other long").distinct()
+    links = materialize(sides.select("a", "b", "band").mapInArrow(_block_links(threshold, slack, band_rows), "id long, other long").distinct(), "block-links")
+    discard(open_members, ids, known, blocks)
+    return links
 
 
 def _block_links(threshold: float, slack: float, band_rows: int):
