@@ -103,15 +103,17 @@ class PrefixCounter:
 
     def pieces(self, text: str) -> Iterator[str | None]:
         """The text between special strings, normalised; None stands for a special string, which is one token."""
-        if not self.special or "<|" not in text:
-            yield self.normal(text)
-            return
+        for piece in self.raw_pieces(text):
+            yield None if piece in self.specials else self.normal(piece)
+
+    def raw_pieces(self, text: str) -> Iterator[str]:
+        """The text cut before and after every special string, as it stands."""
         at = 0
-        for m in self.special.finditer(text):
-            yield self.normal(text[at : m.start()])
-            yield None
+        for m in self.special.finditer(text) if self.special else ():
+            yield text[at : m.start()]
+            yield m.group()
             at = m.end()
-        yield self.normal(text[at:])
+        yield text[at:]
 
     def stand_in(self, word: str) -> str:
         return word.encode("utf-8", "replace").decode("latin-1").translate(self.table)
@@ -121,38 +123,45 @@ class PrefixCounter:
         get = self.cache.__getitem__
         return sum(1 if p is None else sum(map(get, self.words.findall(p))) for p in self.pieces(text))
 
-    def inner_counts(self, word: str) -> list[tuple[int, int]]:
-        """(characters, tokens) of the prefixes that end within a word and have fewer tokens than the whole."""
+    def inner_counts(self, word: str) -> list[int]:
+        """Tokens of the prefixes of a word, by characters, the whole word last."""
+        if word[0] == "'" and len(word) == 3 and word[1:].isalpha():  # 're, 've and 'll are one word, their prefixes are two
+            return [self.cache["'"], self.cache["'"] + self.cache[word[1]], self.cache[word]]
         counts, at, out = self.prefix_counts(self.stand_in(word)), 0, []
-        for i, c in enumerate(word[:-1], 1):
+        for c in word:
             at += len(c.encode("utf-8", "replace"))
-            if counts[at - 1] < counts[-1]:
-                out.append((i, counts[at - 1]))
+            out.append(counts[at - 1])
         return out
 
-    def running(self, text: str) -> tuple[list[int], list[int]]:
-        """Ends of prefixes in the normalised text (characters), and the exact token count of each.
+    def running(self, text: str) -> list[int | None]:
+        """Exact tokens of text[:i] for i = 1.. to its length, in characters of the text itself.
 
-        They end at every word's end, and within words wherever that takes fewer tokens than the whole word: with more
-        it is never the longest prefix of a budget. Within a word counts can fall as the prefix grows.
+        None where a prefix would cut what belongs together: a special string, or a letter and its combining marks.
         """
-        ends, totals, base, total = [], [], 0, 0
-        for p in self.pieces(text):
-            if p is None:
+        import regex
+
+        out: list[int | None] = []
+        total = 0
+        for piece in self.raw_pieces(text):
+            if piece in self.specials:
                 total += 1
-                ends.append(base)
-                totals.append(total)
+                out += [None] * (len(piece) - 1) + [total]
                 continue
-            for m in self.words.finditer(p):
-                n = self.cache[m.group()]
-                for i, k in self.inner[m.group()] if n > 1 else ():
-                    ends.append(base + m.start() + i)
-                    totals.append(total + k)
-                total += n
-                ends.append(base + m.end())
-                totals.append(total)
-            base += len(p)
-        return ends, totals
+            plain = self.normal(piece)
+            counts = []  # of the prefixes of the normalised piece
+            for m in self.words.finditer(plain):
+                counts += [total] * (m.start() - len(counts))
+                counts += [total + k for k in self.inner[m.group()]]
+                total = counts[-1]
+            counts += [total] * (len(plain) - len(counts))
+            if piece.isascii():
+                out += counts
+                continue
+            at = 0
+            for cluster in regex.findall(r"\X", piece):
+                at += len(self.normal(cluster))
+                out += [None] * (len(cluster) - 1) + [counts[at - 1]]
+        return out
 
 
 class _Memo(dict):
@@ -187,30 +196,28 @@ def counter(tokenizer: str) -> PrefixCounter:
 
 
 def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", limit: int = 2048, keep_prefixes: bool = False) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit[, prefix_ends, prefix_tokens]) for every row of docs; other columns are not read.
+    """(id, n_bytes, n_tokens, over_limit[, prefix_tokens]) for every row of docs; other columns are not read.
 
-    prefix_ends, prefix_tokens: the ends of prefixes of the normalised text (NFC, lower case; characters) and the tokens
-    of the text up to there, at each word's end and within words of several tokens, for `truncate_at`. Null and empty texts have 0 bytes, 0 tokens and empty arrays. Rows that
-    repeat are counted each; a null id stays null; an empty table gives no rows. Texts of any length are counted whole.
+    prefix_tokens: for each prefix of the text, by its characters, the tokens that it has by itself; null for prefixes that
+    end within a special string or between a letter and its marks. `truncate_at` reads budgets off it. Null and empty
+    texts have 0 bytes, 0 tokens and an empty array. Rows that repeat are counted each; a null id stays null; an empty
+    table gives no rows. Texts of any length are counted whole.
     """
     out_schema = docs.select(id_col).schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
     if keep_prefixes:
-        out_schema = out_schema.add("prefix_ends", T.ArrayType(T.IntegerType())).add("prefix_tokens", T.ArrayType(T.IntegerType()))
+        out_schema = out_schema.add("prefix_tokens", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gc
-
         import pyarrow.compute as pc
 
         own = counter(tokenizer)
-        gc.disable()  # nothing here makes cycles, and the memos hold many small objects that would be gone through
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             n_bytes = pc.binary_length(texts).cast(pa.int64())
             if keep_prefixes:
                 runs = [own.running(t.as_py()) for t in texts]
-                tokens = [totals[-1] if totals else 0 for _, totals in runs]
-                more = [pa.array([r[k] for r in runs], pa.list_(pa.int32())) for k in (0, 1)]
+                tokens = [counts[-1] if counts else 0 for counts in runs]
+                more = [pa.array(runs, pa.list_(pa.int32()))]
             else:
                 tokens, more = [own.count(t.as_py()) for t in texts], []
             yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_()), *more], names=out_schema.names)
@@ -219,10 +226,11 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def truncate_at(counted: DataFrame, budget: int) -> DataFrame:
-    """Adds kept_chars, kept_tokens: the longest stored prefix within budget tokens, from the stored counts alone.
+    """Adds kept_chars, kept_tokens: the longest prefix of the text within budget tokens, from the stored counts alone.
 
     counted: what count_tokens(keep_prefixes=True) gives. A budget under the first character's tokens keeps nothing (0, 0).
+    Within a word counts can fall as the prefix grows, so the last prefix that fits is taken, not the first that doesn't.
     """
     last = F.coalesce(F.array_max(F.transform("prefix_tokens", lambda n, i: F.when(n <= F.lit(budget), i + 1))), F.lit(0))
-    at = lambda name: F.when(last > 0, F.element_at(name, F.greatest(last, F.lit(1)))).otherwise(F.lit(0))
-    return counted.withColumns({"kept_chars": at("prefix_ends"), "kept_tokens": at("prefix_tokens")})
+    tokens = F.when(last > 0, F.element_at("prefix_tokens", F.greatest(last, F.lit(1)))).otherwise(F.lit(0))
+    return counted.withColumns({"kept_chars": last, "kept_tokens": tokens})
