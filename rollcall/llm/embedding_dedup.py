@@ -22,6 +22,8 @@ from ..operators.graph import connected_components as components
 
 #: Cells that every vector visits at least; the smallest grids have no more, and are searched whole.
 LEAST_VISITS = 4
+#: Distances held at once in a task.
+MOST_DISTANCES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,12 @@ class MultiIndex:
 
     def traverse(self, x: np.ndarray) -> np.ndarray:
         """The `visits` nearest cells of each row of x, nearest first; the first is the row's own cell."""
+        m = min(self.visits, len(self.first), len(self.second))
+        some = max(1, MOST_DISTANCES // max(m * m, len(self.first)))  # rows at a time, so that memory doesn't grow with the batch
+        parts = [self._traverse(x[at : at + some]) for at in range(0, len(x), some)]
+        return np.concatenate(parts) if parts else np.zeros((0, 1), np.int64)
+
+    def _traverse(self, x: np.ndarray) -> np.ndarray:
         d1, d2 = self.distances(x)
         m = min(self.visits, d1.shape[1], d2.shape[1])  # the k-th nearest cell is among the k nearest of either half
         i, j = (np.argsort(d, axis=1, kind="stable")[:, :m] for d in (d1, d2))
@@ -57,21 +65,25 @@ def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 15) -> np.ndarray:
     x = np.unique(x, axis=0)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
+    some = max(1, MOST_DISTANCES // len(c))
     for _ in range(rounds):
-        near = _squared(x, c).argmin(1)
+        near = np.concatenate([_squared(x[at : at + some], c).argmin(1) for at in range(0, len(x), some)])
         sums, n = np.zeros_like(c), np.bincount(near, minlength=len(c))
         np.add.at(sums, near, x)
         c[n > 0] = sums[n > 0] / n[n > 0, None]
     return c
 
 
-def fit_index(units: DataFrame, dim: int, n_rows: int, *, threshold: float, target_recall: float, sample_rows: int, cell_rows: int, max_centroids: int, seed: int) -> MultiIndex | None:
-    """Codebooks from at most sample_rows unit vectors, and the number of visits that reaches target_recall.
+def fit_index(units: DataFrame, dim: int, n_rows: int, *, threshold: float, target_recall: float, sample_rows: int, cell_rows: int, seed: int) -> MultiIndex | None:
+    """Codebooks from sample_rows unit vectors at most (or four for each centroid), and the visits that reach target_recall.
 
+    As many centroids as give cells of cell_rows rows on average, whatever the number of rows. None for under two rows.
     The visits are set for the hardest pairs, those just at the threshold: every vector of the sample gets a partner at
     that cosine in a random direction, and the traversal must reach the partner's cell, or the partner's traversal the
     vector's, in a share target_recall of the cases. This holds whatever pairs the table has.
     """
+    k = max(2, round((n_rows / cell_rows) ** 0.5))
+    sample_rows = max(sample_rows, 4 * k)
     share = min(1.0, 1.2 * sample_rows / max(n_rows, 1))
     picked = units.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
     got = picked.select("id", "x").limit(int(1.5 * sample_rows)).toPandas().sort_values("id")
@@ -79,7 +91,6 @@ def fit_index(units: DataFrame, dim: int, n_rows: int, *, threshold: float, targ
         return None
     x = np.array(got["x"].tolist(), float)[:sample_rows]
     rng, h = np.random.default_rng(seed), dim // 2
-    k = int(np.clip(round((n_rows / cell_rows) ** 0.5), 2, max_centroids))
     index = MultiIndex(_codebook(x[:, :h], k, rng), _codebook(x[:, h:], k, rng), 1, 1.0)
     side = x[rng.choice(len(x), min(len(x), 1500), replace=False)]
     away = rng.standard_normal(side.shape)
@@ -93,8 +104,9 @@ def fit_index(units: DataFrame, dim: int, n_rows: int, *, threshold: float, targ
 
 def _ranks(index: MultiIndex, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     out = []
-    for at in range(0, len(x), 100):
-        (d1, d2), (e1, e2) = index.distances(x[at : at + 100]), index.distances(y[at : at + 100])
+    some = max(1, MOST_DISTANCES // (len(index.first) * len(index.second)))
+    for at in range(0, len(x), some):
+        (d1, d2), (e1, e2) = index.distances(x[at : at + some]), index.distances(y[at : at + some])
         all_cells = d1[:, :, None] + d2[:, None, :]
         rows = np.arange(len(d1))
         goal = d1[rows, e1.argmin(1)] + d2[rows, e2.argmin(1)]
@@ -103,38 +115,41 @@ def _ranks(index: MultiIndex, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def link_embeddings(
-    vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, target_recall: float = 0.98, sample_rows: int = 8000, cell_rows: int = 64, max_centroids: int = 1024, block_rows: int = 256, seed: int = 7
+    vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, target_recall: float = 0.98, sample_rows: int = 8000, cell_rows: int = 64, block_rows: int = 256, seed: int = 7
 ) -> DataFrame:
-    """(id, n_links, component_id, kept) for every row of vectors; other columns are not read.
+    """(id, n_links, component_id, kept, expected_recall) for every row of vectors; other columns are not read.
 
     n_links: other rows with cosine >= threshold that were found; component_id: the smallest id within reach of links;
-    kept: the row is its component's smallest id. Vectors that are null, zero, empty, hold null or non-finite components,
-    or have another length than most, link with nothing. Rows with equal vectors link with each other and are searched as
-    one. Ids must be non-null to link; rows that repeat an id count as links of each other. An empty table gives no rows.
+    kept: the row is its component's smallest id. Vectors that are null, zero, empty, or hold null or non-finite components
+    link with nothing; vectors of each length are searched in an index of their own. Rows with equal vectors link with each
+    other and are searched as one. A row without an id links with nothing and is kept; rows that repeat an id count as links
+    of each other. An empty table gives no rows. expected_recall: of pairs just at the threshold, by the fitted index.
     Found links are never below the threshold; the expected recall at the threshold is target_recall, above it more.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     sound = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists("v", lambda c: c != 0), F.lit(False))
     rows = rows.select("id", F.when(sound, F.col("v")).alias("v"))
-    lengths = rows.where("v IS NOT NULL").groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    dim = lengths["d"] if lengths else 0
-    rows = rows.withColumn("key", F.when(F.size("v") == dim, F.sha2(F.concat_ws(",", F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c).cast("string"))), 256)))
-    classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v")), "vector-classes")
+    text = F.concat_ws(",", F.transform("v", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c).cast("string")))
+    rows = rows.withColumn("key", F.when(F.col("v").isNotNull(), F.sha2(text, 256)))
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
+    classes = materialize(classes.withColumn("d", F.size("v")), "vector-classes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
-    units = classes.select("id", "n", F.transform("v", lambda c: c / norm).alias("x"))
-    n_rows = classes.count()
-    index = fit_index(units, dim, n_rows, threshold=threshold, target_recall=target_recall, sample_rows=sample_rows, cell_rows=cell_rows, max_centroids=max_centroids, seed=seed) if n_rows > 1 else None
-    if index is None:
-        found = rows.sparkSession.createDataFrame([], "u long, v long, more long")
-    else:
-        found = materialize(_meet(units, index, threshold, block_rows), "vector-links")
+    units = classes.select("id", "n", "d", F.transform("v", lambda c: c / norm).alias("x"))
+    found = rows.sparkSession.createDataFrame([], "u long, v long, more long")
+    recall = F.lit(1.0)
+    for r in classes.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("d").collect():  # one row a length
+        own = units.where(F.col("d") == r["d"]).drop("d")
+        index = fit_index(own, r["d"], r["n"], threshold=threshold, target_recall=target_recall, sample_rows=sample_rows, cell_rows=cell_rows, seed=seed)
+        if index is not None:
+            found = found.unionByName(materialize(_meet(own, index, threshold, block_rows), "vector-links"))
+            recall = F.when(F.size("v") == r["d"], F.lit(index.expected_recall)).otherwise(recall)
     counts = found.where("v IS NULL").groupBy(F.col("u").alias("rep")).agg(F.sum("more").alias("linked"))
     labels = components(found.where("v IS NOT NULL")).select(F.col("node").alias("rep"), "component")
     known = classes.select("key", F.col("id").alias("rep"), "n").join(counts, "rep", "left").join(labels, "rep", "left")
     known = known.select("key", "rep", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("id", "key").join(known, "key", "left")
+    out = rows.select("id", "key", recall.alias("expected_recall")).join(known, "key", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"), "expected_recall")
 
 
 def _meet(units: DataFrame, index: MultiIndex, threshold: float, block_rows: int) -> DataFrame:
@@ -153,10 +168,13 @@ def _meet(units: DataFrame, index: MultiIndex, threshold: float, block_rows: int
     def in_blocks(df: DataFrame, name: str, fields: list[str]) -> DataFrame:
         size = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
         dealt = df.join(size, "cell").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
-        return dealt.groupBy("cell", "block").agg(F.collect_list(F.struct(*fields)).alias(name)).drop("block")
+        return dealt.groupBy("cell", "block").agg(F.collect_list(F.struct(*fields)).alias(name), F.first("blocks").alias("blocks"))
 
     residents = in_blocks(at_home, "residents", ["id", "n", "x", "cells"])
-    visitors = in_blocks(calls, "visitors", ["id", "n", "x", F.get("cells", F.lit(0)).alias("home")])
+    visitors = in_blocks(calls, "visitors", ["id", "n", "x", F.get("cells", F.lit(0)).alias("home")]).select("cell", "visitors")
+    # a crowded cell is dealt out by its blocks of residents: visitors go to each of them
+    crowd = residents.groupBy("cell").agg(F.first("blocks").alias("blocks"))
+    visitors = visitors.join(crowd, "cell").select("cell", "visitors", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +205,7 @@ def _meet(units: DataFrame, index: MultiIndex, threshold: float, block_rows: int
                 edge = more == 0
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64(), mask=~edge), pa.array(more, pa.int64())], names=["u", "v", "more"])
 
-    return visitors.join(residents, "cell").select("visitors", "residents").mapInArrow(compare, "u long, v long, more long")
+    return visitors.join(residents.drop("blocks"), ["cell", "block"]).select("visitors", "residents").mapInArrow(compare, "u long, v long, more long")
 
 
 def _block(values: pa.StructArray) -> dict[str, np.ndarray]:

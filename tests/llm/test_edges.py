@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names, for every operator and stage."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,33 @@ def test_vectors_that_link_with_nothing(spark):
     assert embedding_dedup.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_of_two_lengths_and_clashing_names(spark):
+    """Each length has its own links and components; ties, repeats and long chains; other columns are not read."""
+    rng = np.random.default_rng(3)
+    rows, unit = [], lambda v: (np.array(v) / np.linalg.norm(v)).tolist()
+    for d, first in ((6, 0), (10, 1000)):
+        for g in range(12):
+            base = rng.standard_normal(d)
+            rows += [(first + g * 10 + k, unit(base + 0.08 * k * rng.standard_normal(d)), g, "x") for k in range(5)]
+    rows += [(5000, rows[0][1], 1, "copy"), (5001, rows[0][1], 1, "copy"), (5002, [1.0] * 2000, 0, "long"), (5003, [2.0] * 2000, 0, "long")]
+    out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, n long, key string")).collect()}
+    links = {i: set() for i, *_ in rows}
+    for i, x, *_ in rows:
+        for j, y, *_ in rows:
+            if i != j and len(x) == len(y) and np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9:
+                links[i].add(j)
+    least = {}
+    for i in sorted(links):
+        if i not in least:
+            open_ids = [i]
+            while open_ids:
+                k = open_ids.pop()
+                if k not in least:
+                    least[k] = i
+                    open_ids += links[k]
+    assert out == {i: (len(links[i]), least[i], least[i] == i) for i in links}
+
+
 def test_pages(spark):
     rows = [(1, "http://a.org/x", "<html><body><nav>menu</nav><article><p>One &amp; two</p><p>three</p></article></body></html>"), (2, None, None), (None, "http://a.org/y", ""), (3, "no host", "<p>alone   here</p>"), (3, "no host", "<p>alone   here</p>")]
     out = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
