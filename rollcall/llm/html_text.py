@@ -205,8 +205,7 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     kept that are no furniture and that neither neighbour on the host shares. n_shared: lines that a neighbour shares,
     whether kept or not. Neighbours are the rows before and after in the order of (host, path, row); rows that repeat, ids
     that clash or are null and URLs that are null or have no host are each handled as rows of their own, the last two
-    without neighbours. A page of one text with its neighbour keeps its article; without an article element two equal
-    pages share all, and keep nothing.
+    without neighbours. A neighbour with the same lines is the page once more: nothing is deleted for its sake.
     """
     from pyspark.sql import types as T
 
@@ -232,6 +231,8 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     address = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
     host = F.nullif(F.lower(F.regexp_extract("url", address + r"([^/?#]*)", 1)), F.lit(""))
     named = raw.mapInArrow(read, schema).withColumn("host", host).withColumn("path", F.regexp_extract("url", address + r"[^/?#]*([^?#]*)", 1))
+    # the range partitioner samples its input, so every page is parsed twice; writing the parsed pages first would take
+    # as much disk again as the exchange
     ordered = named.repartitionByRange("host", "path", "rid").sortWithinPartitions("host", "path", "rid")
     aligned = materialize(ordered.select("page", "url", "body", "inside", "host", "marks").mapInArrow(_align_in_order, _aligned_schema(schema)), "aligned-pages")
     edges = aligned.where("edge").join(_across_borders(aligned.where("edge")), ["part", "place"], "left")
@@ -268,10 +269,13 @@ def _aligned_schema(read_schema):
 
 
 def _shared_mask(own: list[int], before: list[int] | None, after: list[int] | None) -> tuple[list[int], int]:
-    """For each line 1 if the page before has it in order, plus 2 if the page after has; and the same for pages with lines."""
+    """For each line 1 if the page before has it in order, plus 2 if the page after has; and the same for pages with lines.
+
+    A neighbour with the very same lines is the page once more and says nothing about its furniture.
+    """
     mask, sides = [0] * len(own), 0
     for side, other in ((1, before), (2, after)):
-        if other:
+        if other and other != own:
             sides |= side
             for i in common_places(own, other):
                 mask[i] |= side
@@ -315,11 +319,14 @@ def _align_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _across_borders(edges: DataFrame) -> DataFrame:
     """(part, place, more, more_sides): what a partition's first row shares with the row before it, and its last with the row after.
 
-    Two rows for each partition, in one small window.
+    Every partition that has rows is numbered in their order; then first and last rows meet by that number.
     """
-    order = Window.orderBy("part", "place")
-    near = edges.select("part", "place", "host", "marks", *[f(c).over(order).alias(f"{side}_{c}") for side, f in (("prior", F.lag), ("later", F.lead)) for c in ("part", "host", "marks")])
-    meets = lambda side: F.when((F.col(f"{side}_part") != F.col("part")) & (F.col(f"{side}_host") == F.col("host")), F.col(f"{side}_marks"))
+    order = edges.select("part").distinct().select("part", F.row_number().over(Window.orderBy("part")).alias("number"))  # a row a partition
+    ends = edges.join(F.broadcast(order), "part").groupBy("number").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    rows = edges.join(F.broadcast(order), "part").join(ends, "number").select("part", "place", "host", "marks", "number", (F.col("place") == F.col("low")).alias("first"), (F.col("place") == F.col("high")).alias("last"))
+    other = lambda at, step, name: rows.where(at).select((F.col("number") + step).alias("number"), F.col("host").alias(f"{name}_host"), F.col("marks").alias(f"{name}_marks"))
+    near = rows.join(other("last", 1, "prior").withColumn("first", F.lit(True)), ["number", "first"], "left").join(other("first", -1, "later").withColumn("last", F.lit(True)), ["number", "last"], "left")
+    meets = lambda side: F.when(F.col(f"{side}_host") == F.col("host"), F.col(f"{side}_marks"))
     near = near.select("part", "place", "marks", meets("prior").alias("prior"), meets("later").alias("later")).where("prior IS NOT NULL OR later IS NOT NULL")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
