@@ -15,9 +15,10 @@ SQFT_PER_SQM = 10.7639
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_KM) -> Column:
+    """Great-circle distance; null if any coordinate is."""
     p1, p2 = F.radians(lat1), F.radians(lat2)
     a = F.pow(F.sin((p2 - p1) / 2), F.lit(2.0)) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))
-    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))  # least() would pass over nulls
 
 
 def unit_xyz(lat: Column, lon: Column) -> Column:
@@ -27,7 +28,7 @@ def unit_xyz(lat: Column, lon: Column) -> Column:
 
 
 def chord_to_km(chord: Column, radius: float = EARTH_KM) -> Column:
-    return F.lit(2.0 * radius) * F.asin(F.least(chord / 2, F.lit(1.0)))
+    return F.lit(2.0 * radius) * F.asin(F.when(chord > 2, F.lit(1.0)).otherwise(chord / 2))
 
 
 def km_to_chord(km: Column, radius: float = EARTH_KM) -> Column:

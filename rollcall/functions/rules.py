@@ -70,11 +70,34 @@ def collect_signals(signals: Sequence[tuple[str, Column]]) -> tuple[Column, Colu
     return F.size(found) > 0, F.nullif(F.array_join(found, ","), F.lit(""))
 
 
-def transition_allowed(old: Column, new: Column, allowed: Mapping[str, Sequence[str]], first: Sequence[str]) -> Column:
-    """Whether a status may change from old to new; from null or blank only to `first`; staying is always allowed."""
+# Statuses and where they may go from.
+STATUS_STEPS = {
+    "pending": ("found", "not_found", "error"), "found": ("verified", "not_found", "error"), "not_found": ("found", "error"),
+    "verified": ("error",), "error": ("pending", "found", "not_found"),
+}
+FIRST_STATUS = ("pending",)
+FROM_UNKNOWN = ("found", "not_found", "verified", "error")
+
+
+def transition_allowed(
+    old: Column, new: Column, allowed: Mapping[str, Sequence[str]] = STATUS_STEPS, first: Sequence[str] = FIRST_STATUS, unlisted: Sequence[str] = FROM_UNKNOWN
+) -> Column:
+    """Whether a status may change from old to new: from null or empty to `first`, from one that is not listed to `unlisted`.
+
+    Staying is a change like any other. Never null: a null new status is not allowed.
+    """
     pairs = F.array(*[F.lit(f"{a}>{b}") for a, bs in allowed.items() for b in bs])
-    blank = old.isNull() | (F.trim(old) == "")
-    return F.coalesce(F.when(blank, new.isin(*first)).otherwise((old == new) | F.array_contains(pairs, F.concat(old, F.lit(">"), new))), F.lit(False))
+    step = F.when(old.isNull() | (old == ""), new.isin(*first)).when(old.isin(*allowed), F.array_contains(pairs, F.concat(old, F.lit(">"), new)))
+    return F.coalesce(step.otherwise(new.isin(*unlisted)), F.lit(False))
+
+
+def needs_check(status: Column) -> Column:
+    """Whether a record is still to be looked at: no status yet, pending or in error."""
+    return F.coalesce(status.isin("", "pending", "error"), F.lit(True))
+
+
+def is_done(status: Column) -> Column:
+    return F.coalesce(status.isin("found", "not_found", "verified"), F.lit(False))
 
 
 def capped_score(parts: Sequence[tuple[Column, float, float]], most: float = 100.0, places: int = 1) -> Column:
@@ -93,13 +116,16 @@ def saturation(population: Column, n: Column, served: float = 300.0) -> Column:
 def allocate(reported: Column, organisations: Column, listed: Column) -> Column:
     """A struct (value, confidence) of attendance for one of `listed` entries, from a report over `organisations`.
 
-    Nothing reported gives null; equal numbers share evenly at 0.9; more organisations than entries share among the
-    organisations at 0.7, fewer among the entries at 0.6; a single one takes all at 1.0.
+    A single one on both sides takes all at 1.0; equal numbers share evenly at 0.9; more organisations than entries share
+    among the organisations at 0.7, fewer among the entries at 0.8. Nothing reported, or no organisation (0), gives a null
+    at 0.0; a null number, or no entry, gives null.
     """
     share = lambda n: F.round(reported / n, 0)
     pair = lambda v, c: F.struct(v.cast("double").alias("value"), F.lit(c).alias("confidence"))
-    known = reported.isNotNull() & (organisations > 0) & (listed > 0)
-    return F.when(known & (organisations == 1) & (listed == 1), pair(reported, 1.0)).when(known & (organisations == listed), pair(share(organisations), 0.9)).when(known & (organisations > listed), pair(share(organisations), 0.7)).when(known, pair(share(listed), 0.6))
+    out = F.when(reported.isNull() | organisations.isNull() | F.coalesce(listed <= 0, F.lit(True)), F.lit(None))
+    out = out.when((organisations == 0) | (reported == 0), pair(F.lit(None), 0.0)).when((organisations == 1) & (listed == 1), pair(reported, 1.0))
+    out = out.when(organisations == listed, pair(share(listed), 0.9)).when(organisations > listed, pair(share(organisations), 0.7))
+    return out.otherwise(pair(share(listed), 0.8))
 
 
 def filter_with_reasons(df: DataFrame, steps: Sequence[tuple[str, Column]], out: str = "reason") -> DataFrame:

@@ -49,16 +49,17 @@ def clean_label(c: Column) -> Column:
 
 
 def clean_name(c: Column) -> Column:
-    """clean_text without parentheses and legal words at the end, however many there are."""
-    bare = F.regexp_replace(c, r"\s*\([^)]*\)", " ")
-    return clean_text(F.regexp_replace(clean_text(bare), rf"(?i)(?:[\s,]+(?:{'|'.join(LEGAL_WORDS)})\.?)+\s*$", ""))
+    """clean_text without legal words, wherever they stand, and without parentheses, which become a blank."""
+    bare = F.regexp_replace(clean_text(c), rf"(?i)\b(?:{'|'.join(LEGAL_WORDS)})\b\.?", "")
+    return squeeze(F.regexp_replace(bare, r"\s*\(.*?\)\s*", " "))
 
 
 def match_name(c: Column) -> Column:
-    """Upper case, legal words and a leading THE dropped, punctuation as blanks: a key for equality of names."""
-    words = F.regexp_replace(F.upper(c), r"[^\p{L}\p{N}]+", " ")
-    words = F.regexp_replace(words, rf"\b(?:{'|'.join(LEGAL_WORDS)})\b", " ")
-    return F.regexp_replace(squeeze(words), r"^THE ", "")
+    """Upper case; after the first word INC, LLC, CORP, PC, PA and THE become blanks, then A and AN between words; no leading THE."""
+    words = F.upper(F.trim(c))
+    for gone in (r"\s+INC\b", r"\s+LLC\b", r"\s+CORP\b", r"\s+PC\b", r"\s+PA\b", r"\s+THE\b", r"\s+A\s+", r"\s+AN\s+"):
+        words = F.regexp_replace(words, gone, " ")
+    return F.regexp_replace(squeeze(words), r"^THE\s+", "")
 
 
 def expand_words(c: Column, table: dict[str, str]) -> Column:
@@ -67,12 +68,13 @@ def expand_words(c: Column, table: dict[str, str]) -> Column:
     return F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(entries, w), w)), " ")
 
 
-def linkage_name(c: Column, saints_first: bool = True) -> Column:
-    """Upper case, punctuation dropped, abbreviations spelled out; ST before another word is SAINT if saints_first."""
-    flat = squeeze(F.regexp_replace(F.regexp_replace(F.upper(c), r"['.]", ""), r"[^A-Z0-9 ]+", " "))
-    if saints_first:
-        flat = F.regexp_replace(flat, r"\bST (?=[A-Z]{3,})", "SAINT ")
-    return expand_words(flat, {"CH": "CHURCH", "EV": "EVANGELICAL", "FIRST": "1ST", "MT": "MOUNT", **STREET_WORDS})
+# Abbreviations in names and addresses of old directories.
+DIRECTORY_WORDS = {"ST": "STREET", "MT": "MOUNT", "AVE": "AVENUE", "AV": "AVENUE", "BLVD": "BOULEVARD", "N": "NORTH", "S": "SOUTH", "E": "EAST", "W": "WEST", "CH": "CHURCH"}
+
+
+def linkage_name(c: Column) -> Column:
+    """Upper case, punctuation as blanks, abbreviations spelled out, ST as STREET; empty for null. A key: all sources go through it."""
+    return F.coalesce(expand_words(squeeze(F.regexp_replace(F.upper(c), r"[^\p{L}\p{N}_\s]", " ")), DIRECTORY_WORDS), F.lit(""))
 
 
 def content_words(c: Column, stop: tuple[str, ...], least: int = 3) -> Column:
@@ -128,48 +130,57 @@ def zip_key(c: Column) -> Column:
 
 
 def clean_email(c: Column) -> Column:
-    """Lower case, without mailto:, brackets and dots at the end; null if it is no address."""
-    t = F.regexp_replace(F.lower(F.trim(c)), r"^mailto:", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"[<>()]", ""), r"[.\s]+$", "")
-    return F.when(t.rlike(r"^[a-z0-9._%+-]+@[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,}$"), t)
+    """Lower case, without mailto:, brackets around it, notes in parentheses and dots at the end."""
+    t = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"^mailto:", ""), r"^<(.*)>$", "$1")
+    return F.regexp_replace(F.trim(F.regexp_replace(t, r"\s*\(.*?\)\s*", "")), r"\.+$", "")
 
 
-# How much the part before the @ says that an address is answered.
+# How likely a person answers, by the part before the @.
 MAILBOX_SCORES = {
-    "pastor": 1.0, "minister": 0.95, "rector": 0.95, "priest": 0.95, "office": 0.9, "admin": 0.85, "secretary": 0.85,
-    "contact": 0.8, "info": 0.75, "hello": 0.7, "mail": 0.6, "webmaster": 0.3, "noreply": 0.0, "no-reply": 0.0,
+    "pastor": 1.0, "reverend": 1.0, "rev": 1.0, "fr": 0.9, "father": 0.9, "minister": 1.0, "vicar": 1.0, "rector": 1.0,
+    "canon": 0.9, "deacon": 0.9, "bishop": 1.0, "apostle": 0.9, "evangelist": 0.9, "admin": 0.7, "office": 0.7, "info": 0.6,
+    "contact": 0.6, "hello": 0.5, "secretary": 0.8, "administrator": 0.7, "manager": 0.6, "youth": 0.7, "children": 0.7,
+    "worship": 0.7, "music": 0.7, "outreach": 0.7, "missions": 0.7, "communications": 0.7, "webmaster": 0.4,
+    "hostmaster": 0.3, "support": 0.4, "noreply": 0.0, "no-reply": 0.0, "donotreply": 0.0, "bounce": 0.0,
+    "mailer-daemon": 0.0, "postmaster": 0.0,
 }
 # Mailbox providers, whose domains say nothing about an organisation.
-FREE_MAIL = ("gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com")
+FREE_MAIL = ("gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "verizon.net", "comcast.net", "att.net", "msn.com", "live.com", "icloud.com", "mail.com")
 
 
-def mailbox_score(email: Column) -> Column:
-    """By the part before the @: its listed score, 0.8 for first.last, 0.7 for an initial and a name, else 0.3."""
-    local = F.substring_index(clean_email(email), "@", 1)
+def mailbox_score(local: Column) -> Column:
+    """By the part before the @: its listed score, else 0.8 for a name or two names with a dot, of three letters or more, else 0.3."""
+    local = F.lower(F.trim(local))
     table = F.create_map(*[F.lit(x) for pair in MAILBOX_SCORES.items() for x in pair])
-    by_shape = F.when(local.rlike(r"^[a-z]{2,}[._][a-z]{2,}$"), 0.8).when(local.rlike(r"^[a-z][._]?[a-z]{3,}$"), 0.7).otherwise(0.3)
-    return F.when(local.isNotNull(), F.coalesce(F.try_element_at(table, local), by_shape))
+    by_shape = F.when(local.rlike(r"^[a-z]+(\.[a-z]+)?$") & (F.length(local) > 2), 0.8).otherwise(0.3)
+    return F.coalesce(F.try_element_at(table, local), by_shape)
+
 
+def email_score(email: Column) -> Column:
+    """0.6 mailbox score + 0.4 domain score (free mail 0.4, three dots or more 0.5, other 0.9), to two places.
 
-def email_score(email: Column, own_domain: Column) -> Column:
-    """0.6 mailbox score + 0.4 domain score (own 1, free mail 0.3, other 0.5), to two places; null for no address."""
-    domain = F.substring_index(clean_email(email), "@", -1)
-    by_domain = F.when(domain == clean_domain(own_domain), 1.0).when(domain.isin(*FREE_MAIL), 0.3).otherwise(0.5)
-    return F.round(mailbox_score(email) * 0.6 + by_domain * 0.4, 2)
+    0 for null, empty and what has not one @ between two parts.
+    """
+    whole = F.trim(email)
+    domain = F.lower(F.substring_index(whole, "@", -1))
+    dots = F.length(domain) - F.length(F.replace(domain, F.lit("."), F.lit("")))
+    by_domain = F.when(domain.isin(*FREE_MAIL), 0.4).when(dots > 2, 0.5).otherwise(0.9)
+    score = F.round(mailbox_score(F.substring_index(whole, "@", 1)) * 0.6 + by_domain * 0.4, 2)
+    return F.coalesce(F.when(whole.rlike(r"^[^@]+@[^@]+$"), score), F.lit(0.0))
 
 
 def parse_address(c: Column) -> Column:
     """A struct (number, direction, stem, suffix) of a street address; parts that are missing are null."""
     flat = squeeze(F.regexp_replace(F.upper(c), r"[^A-Z0-9 ]+", " "))
-    number = null_if_empty(F.regexp_extract(flat, r"^(\d+)[A-Z]?\b", 1))
+    number = null_if_empty(F.regexp_extract(flat, r"^(\d+[A-Z]?)\b", 1))
     rest = F.trim(F.regexp_replace(flat, r"^\d+[A-Z]?\b", ""))
     directions = expand_words(F.regexp_extract(rest, rf"^({'|'.join([*DIRECTIONS.values(), *DIRECTIONS])})\s+\S", 1), DIRECTIONS)
     stem = F.trim(F.when(directions != "", F.regexp_replace(rest, r"^\S+\s+", "")).otherwise(rest))
     last = expand_words(F.substring_index(stem, " ", -1), STREET_WORDS)
-    has = stem.contains(" ") & last.isin(*sorted(set(STREET_WORDS.values())))
+    has = last.isin(*sorted(set(STREET_WORDS.values())))
     return F.struct(
         number.alias("number"), null_if_empty(directions).alias("direction"),
-        null_if_empty(F.when(has, F.regexp_replace(stem, r"\s+\S+$", "")).otherwise(stem)).alias("stem"), F.when(has, last).alias("suffix"),
+        null_if_empty(F.when(has, F.regexp_replace(stem, r"\s*\S+$", "")).otherwise(stem)).alias("stem"), F.when(has, last).alias("suffix"),
     )
 
 
@@ -180,9 +191,10 @@ def same_address(a: Column, b: Column) -> Column:
 
 
 def without_po_box(c: Column) -> Column:
-    """An address that begins with a post-office box keeps its last three comma parts."""
-    parts = F.split(c, r"\s*,\s*")
-    return F.when(c.rlike(r"(?i)\bp\.?\s*o\.?\s*box\b"), F.array_join(F.slice(parts, F.greatest(F.size(parts) - 2, F.lit(1)), 3), ", ")).otherwise(c)
+    """An address of three comma parts or more that names a post-office box keeps the last three."""
+    parts = F.transform(F.split(c, ","), lambda p: F.trim(p))
+    boxed = F.upper(c).rlike(r"\b(PO BOX|P\.?O\.?\s*BOX|POB|BOX)\b") & (F.size(parts) >= 3)
+    return F.when(boxed, F.array_join(F.slice(parts, -3, 3), ", ")).otherwise(c)
 
 
 def split_city_state(c: Column) -> Column:

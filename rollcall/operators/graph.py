@@ -131,18 +131,65 @@ def paths(tree: DataFrame, id_col: str, parent: str, name: str, separator: str =
     return up.groupBy(F.col("descendant").alias(id_col)).agg(F.array_join(F.transform(steps, lambda s: s["__n"]), separator).alias("path"))
 
 
-def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str) -> DataFrame:
-    """(issue, id): orphans, self-parents, siblings of one name, names equal to the parent's, and nodes no root reaches."""
-    t = tree.select(F.col(id_col).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("name"))
+def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str, *, depth: str | None = None, members: DataFrame | None = None) -> DataFrame:
+    """(issue, id): orphans, self-parents, siblings of one name, names that nodes under other parents have, names equal to the
+    parent's, nodes no root reaches; with depth (a column) stored depths that differ from those of the tree, roots at 0;
+    with members (a table with id_col) leaves that no member names. Null names are no issue."""
+    t = tree.select(F.col(id_col).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("name"), *([F.col(depth).alias("depth")] if depth else []))
     p = t.select(F.col("id").alias("pid"), F.col("name").alias("pname"))
     joined = t.join(p, F.col("parent") == F.col("pid"), "left")
     issue = lambda text, df: df.select(F.lit(text).alias("issue"), "id")
-    twins = t.groupBy("parent", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twins = t.where("name IS NOT NULL").groupBy("parent", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    spread = t.where("name IS NOT NULL").groupBy("name").agg(F.count_distinct(F.coalesce(F.col("parent").cast("string"), F.lit(""))).alias("n")).where("n > 1")
     found = issue("orphan", joined.where("parent IS NOT NULL AND pid IS NULL"))
     found = found.unionByName(issue("self_parent", t.where("parent = id")))
     found = found.unionByName(issue("same_as_parent", joined.where("parent <> id AND name = pname")))
     found = found.unionByName(issue("duplicate_sibling", t.join(twins, t["parent"].eqNullSafe(twins["parent"]) & (t["name"] == twins["name"]), "left_semi")))
-    return found.unionByName(issue("unreachable", t.join(depths(tree, id_col, parent).select(F.col(id_col).alias("id")), "id", "left_anti")))
+    found = found.unionByName(issue("name_elsewhere", t.join(spread, "name", "left_semi")))
+    reached = depths(tree, id_col, parent).select(F.col(id_col).alias("id"), F.col("depth").alias("real"))
+    found = found.unionByName(issue("unreachable", t.join(reached, "id", "left_anti")))
+    if depth:
+        found = found.unionByName(issue("depth_mismatch", t.join(reached, "id").where("NOT (depth <=> real)")))
+    if members is not None:
+        leaves = t.join(t.select(F.col("parent").alias("id")).where("id IS NOT NULL"), "id", "left_anti")
+        found = found.unionByName(issue("empty", leaves.join(members.select(F.col(id_col).alias("id")).where("id IS NOT NULL"), "id", "left_anti")))
+    return found
+
+
+def path_mismatches(tree: DataFrame, id_col: str, parent: str, name: str, path: str, root: str, separator: str = " > ") -> DataFrame:
+    """(id, expected_path, expected_root): nodes that a root reaches whose stored path or root is not that of the tree."""
+    real = paths(tree, id_col, parent, name, separator).withColumnRenamed("path", "expected_path")
+    top = depths(tree, id_col, parent).select(id_col, F.col("root").alias("expected_root"))
+    both = tree.select(id_col, F.col(path).alias("__p"), F.col(root).alias("__r")).join(top, id_col).join(real, id_col)
+    return both.where(~F.col("__p").eqNullSafe(F.col("expected_path")) | ~F.col("__r").eqNullSafe(F.col("expected_root"))).select(id_col, "expected_path", "expected_root")
+
+
+def rank_chain(nodes: DataFrame, id_col: str, ranks: dict[str, DataFrame]) -> DataFrame:
+    """nodes with the foreign key of each rank set to null where the rank's table (with id_col) has no such row; `parent` is
+    the lowest rank that is left, in the order of ranks, the highest first."""
+    out = nodes
+    for key, known in ranks.items():
+        ids = known.select(F.col(id_col).alias("__k")).distinct().withColumn("__known", F.lit(True))
+        out = out.join(ids, F.col(key) == F.col("__k"), "left").withColumn(key, F.when(F.col("__known"), F.col(key))).drop("__k", "__known")
+    return out.withColumn("parent", F.coalesce(*[F.col(k) for k in reversed(list(ranks))]))
+
+
+def hubs(nodes: DataFrame, id_col: str, group: str) -> DataFrame:
+    """(group, hub, members): the member nearest to the mean lat and lon of its group; members without coordinates only if
+    none has any, the smallest id on ties."""
+    from ..functions.geo import haversine_km
+
+    mean = nodes.groupBy(group).agg(F.avg("lat").alias("__la"), F.avg("lon").alias("__lo"), F.count(F.lit(1)).alias("members"))
+    away = F.coalesce(haversine_km(F.col("lat"), F.col("lon"), F.col("__la"), F.col("__lo")), F.lit(float("inf")))
+    near = nodes.join(mean, group).groupBy(group).agg(F.min(F.struct(F.round(away, 6), F.col(id_col).alias("id"))).alias("m"), F.first("members").alias("members"))
+    return near.select(group, F.col("m.id").alias("hub"), "members")
+
+
+def three_levels(tree: DataFrame, id_col: str, parent: str, name: str, top: str = "(none)") -> DataFrame:
+    """(id, level1, level2, level3): the names of a node's grandparent, parent and itself; what is missing is `top`."""
+    up = lambda k: tree.select(F.col(id_col).alias(f"id{k}"), F.col(parent).alias(f"up{k}"), F.col(name).alias(f"name{k}"))
+    rows = up(3).join(up(2), F.col("up3") == F.col("id2"), "left").join(up(1), F.col("up2") == F.col("id1"), "left")
+    return rows.select(F.col("id3").alias(id_col), *[F.coalesce(f"name{k}", F.lit(top)).alias(f"level{k}") for k in (1, 2, 3)])
 
 
 def rename_subtree(tree: DataFrame, path: str, old: str, new: str, separator: str = " > ") -> DataFrame:

@@ -157,3 +157,15 @@ def keyword_labels(df: DataFrame, text: str, keywords: DataFrame, id_col: str, *
     first = hits.groupBy(id_col).agg(F.max(F.length("keyword")).alias("__len"), F.collect_set(F.struct("keyword", "label")).alias("__all"))
     longest = F.array_min(F.filter("__all", lambda e: F.length(e["keyword"]) == F.col("__len")))
     return first.select(id_col, longest["keyword"].alias("keyword"), longest["label"].alias("label"))
+
+
+def not_in(df: DataFrame, key: str, listed: DataFrame, value: str) -> DataFrame:
+    """The rows of df that SQL's NOT IN keeps: none if the list holds a null, all if it is empty, else those whose key is
+    known and not in it.
+
+    An anti join on the key; whether the list is empty or holds a null is one row that is joined to it.
+    """
+    values = listed.select(F.col(value).alias("__v"))
+    told = F.broadcast(values.agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col("__v").isNull()).alias("__nulls")))  # one row
+    rest = df.join(values, F.col(key) == F.col("__v"), "left_anti").crossJoin(told)
+    return rest.where((F.col("__n") == 0) | ((F.col("__nulls") == 0) & F.col(key).isNotNull())).drop("__n", "__nulls")

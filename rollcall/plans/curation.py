@@ -40,7 +40,7 @@ def clean_phones(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", text.clean_phone(raw).alias("phone"), e["phone"].alias("e164"), e["confidence"].alias("confidence"))
 
 
-@query("clean_names", r"""SELECT s_suppkey, rtrim(regexp_replace(trim(regexp_replace(s_name || ',  Holdings ;', '\s+', ' ', 'g')), '[\s,;:]+$', '')) AS cleaned, upper(regexp_replace(s_name, '[^A-Za-z0-9]+', ' ', 'g')) AS matched FROM supplier""")
+@query("clean_names", r"""SELECT s_suppkey, rtrim(regexp_replace(trim(regexp_replace(s_name || ',  Holdings ;', '\s+', ' ', 'g')), '[\s,;:]+$', '')) AS cleaned, upper(s_name) || ', .' AS matched FROM supplier""")
 def clean_names(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.col("s_name"), F.lit(",  Holdings ;"))
     return table(spark, d, "supplier").select("s_suppkey", text.clean_text(raw).alias("cleaned"), text.match_name(F.concat(F.lit("The "), F.col("s_name"), F.lit(", Inc."))).alias("matched"))
@@ -63,12 +63,12 @@ def longest_code(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", rules.longest_prefix(F.col("p_brand"), {"BRAND#11": "eleven", "BRAND#1": "ten", "BRAND#": "brand"}).alias("label"))
 
 
-@query("status_machine", """SELECT o_orderstatus AS old, l_linestatus AS new, ((o_orderstatus = l_linestatus) OR (o_orderstatus || '>' || l_linestatus) IN ('O>P', 'P>F', 'O>F')) AS allowed, count(*) AS n
+@query("status_machine", """SELECT o_orderstatus AS old, l_linestatus AS new, CASE WHEN o_orderstatus IN ('O', 'P') THEN (o_orderstatus || '>' || l_linestatus) IN ('O>P', 'P>F', 'O>F') ELSE l_linestatus = 'F' END AS allowed, count(*) AS n
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""")
 def status_machine(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linestatus").alias("new")).join(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("old")), "l_orderkey")
     pairs = rows.groupBy("old", "new").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.select("old", "new", rules.transition_allowed(F.col("old"), F.col("new"), {"O": ["P", "F"], "P": ["F"]}, ["O"]).alias("allowed"), "n")
+    return pairs.select("old", "new", rules.transition_allowed(F.col("old"), F.col("new"), {"O": ["P", "F"], "P": ["F"]}, ["O"], ["F"]).alias("allowed"), "n")
 
 
 @query("filter_reasons", """SELECT CASE WHEN coalesce(c_acctbal, -1) <= 0 THEN 'balance' WHEN c_nationkey >= 20 THEN 'nation' ELSE 'passed' END AS reason, count(*) AS n FROM customer GROUP BY 1""")
@@ -219,15 +219,16 @@ def phonetic_blocks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").groupBy(similarity.block_keys(F.col("p_name")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("similar_types")
+@query("similar_types", """WITH n AS (SELECT DISTINCT p_name AS t, string_split(p_name, ' ') AS w FROM part), k AS (SELECT t, unnest([concat_ws(' ', '01', w[1], w[2]), concat_ws(' ', '02', w[1], w[3]), concat_ws(' ', '12', w[2], w[3])]) AS k FROM n),
+    p AS (SELECT DISTINCT a.t AS t, b.t AS other FROM k a JOIN k b ON a.k = b.k AND a.t < b.t) SELECT t, other, round(jaro_winkler_similarity(t, other), 6) AS score FROM p WHERE jaro_winkler_similarity(t, other) >= 0.82""")
 def similar_types(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of distinct part names that share two words of three, with their Jaro-Winkler similarity."""
+    """Pairs of distinct part names that share two words of three, with their Jaro-Winkler similarity from 0.82 on (where both ways to raise it agree)."""
     types = table(spark, d, "part").select(F.col("p_name").alias("t")).distinct()
     words: Column = F.split("t", " ")
     pair = lambda i, j: F.concat_ws(" ", F.lit(f"{i}{j}"), F.get(words, F.lit(i)), F.get(words, F.lit(j)))
     keyed = types.select("t", F.explode(F.array(pair(0, 1), pair(0, 2), pair(1, 2))).alias("k"))
     pairs = keyed.join(keyed.select(F.col("t").alias("other"), "k"), "k").where("t < other").select("t", "other").distinct()
-    return pairs.select("t", "other", F.round(similarity.jaro_winkler(F.col("t"), F.col("other")), 6).alias("score"))
+    return pairs.select("t", "other", F.round(similarity.jaro_winkler(F.col("t"), F.col("other")), 6).alias("score")).where("score >= 0.82")
 
 
 @query("latest_change", """SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1""")
@@ -246,7 +247,10 @@ def session_windows(spark: SparkSession, d: str) -> DataFrame:
     return increments.sessions(table(spark, d, "events"), "user_id", "30 minutes")
 
 
-@query("due_again", """SELECT user_id, max(ts) AS last_ts FROM events GROUP BY 1 HAVING max(ts) < (SELECT date_trunc('month', max(ts)) FROM events)""")
+@query("due_again", """SELECT user_id, max(ts) AS last_ts FROM events GROUP BY 1 HAVING max(ts) < (SELECT date_trunc('month', max(ts)) FROM events) UNION ALL SELECT user_id, max(ts) FROM (SELECT CASE WHEN user_id % 3 = 0 THEN ts - INTERVAL 3 MONTH ELSE ts END AS ts, -user_id - 1 AS user_id FROM events) GROUP BY 1 HAVING max(ts) < (SELECT date_trunc('month', max(ts)) FROM events)""")
 def due_again(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
-    return increments.due(events, "user_id", "ts", months_back=0)
+    # a third of the users, under numbers of their own, was last seen three months before
+    early = F.when(F.col("user_id") % 3 == 0, F.col("ts") - F.expr("INTERVAL 3 MONTH")).otherwise(F.col("ts"))
+    moved = events.select((-F.col("user_id") - 1).alias("user_id"), early.alias("ts"))
+    return increments.due(events.select("user_id", "ts").unionByName(moved), "user_id", "ts", months_back=0)

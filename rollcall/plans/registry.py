@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +29,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def given(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
+    """A small table of stated rows."""
+    return spark.createDataFrame(list(rows), schema)
+
+
+def stated(names: Sequence[str], rows: Sequence[tuple]) -> str:
+    """SQL for a small table of stated rows: inputs, and what must come out for them."""
+
+    def plain(v: object) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return str(v).lower()
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v)
+
+    lines = ", ".join("(" + ", ".join(map(plain, r)) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {lines}) AS t({', '.join(names)})"
+
+
 def _load() -> None:
-    from . import curation, relational  # noqa: F401  (they register themselves)
+    from . import curation, history, places, relational, rules  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict[str, Query]:

@@ -68,12 +68,23 @@ def outer_joins(spark: SparkSession, d: str) -> DataFrame:
 
 @query("semi_anti", """SELECT 'with_orders' AS kind, count(*) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
     UNION ALL SELECT 'without_orders', count(*) FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
-    UNION ALL SELECT 'segment_absent', count(*) FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)""")
+    UNION ALL SELECT 'segment_absent', count(*) FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)
+    UNION ALL SELECT 'null_listed', count(*) FROM customer WHERE c_nationkey NOT IN (SELECT nullif(n_nationkey, 3) FROM nation WHERE n_nationkey < 5)
+    UNION ALL SELECT 'null_key', count(*) FROM customer WHERE nullif(c_nationkey, 7) NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 5)
+    UNION ALL SELECT 'empty_list', count(*) FROM customer WHERE nullif(c_nationkey, 7) NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 0)""")
 def semi_anti(spark: SparkSession, d: str) -> DataFrame:
     c, o = table(spark, d, "customer"), table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
     rich = table(spark, d, "supplier").where("s_acctbal > 9000").select(F.col("s_nationkey").alias("c_nationkey"))
     kind = lambda name, df: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("kind"), "n")
-    return kind("with_orders", c.join(o, "c_custkey", "left_semi")).unionByName(kind("without_orders", c.join(o, "c_custkey", "left_anti"))).unionByName(kind("segment_absent", c.join(rich, "c_nationkey", "left_anti")))
+    n = table(spark, d, "nation").where("n_nationkey < 5").select("n_nationkey", F.nullif("n_nationkey", F.lit(3)).alias("holed"))
+    holed = c.withColumn("k", F.nullif("c_nationkey", F.lit(7)))
+    out = kind("with_orders", c.join(o, "c_custkey", "left_semi")).unionByName(kind("without_orders", c.join(o, "c_custkey", "left_anti")))
+    for name, left, key, right, value in (
+        ("segment_absent", c, "c_nationkey", rich, "c_nationkey"), ("null_listed", c, "c_nationkey", n, "holed"),
+        ("null_key", holed, "k", n, "n_nationkey"), ("empty_list", holed, "k", n.where("n_nationkey < 0"), "n_nationkey"),
+    ):
+        out = out.unionByName(kind(name, R.not_in(left, key, right, value)))
+    return out
 
 
 @query("keyword_join", """WITH k(keyword, label) AS (VALUES ('widget', 'metal'), ('cold widget', 'coated'), ('bolt', 'metal'), ('gear', 'alloy')),
