@@ -117,6 +117,12 @@ def in_polygon(points: DataFrame, polygons: DataFrame, polygon_id: str, *, ring:
     return hits.withColumnRenamed("__pid", polygon_id).drop("__ring", "__cx", "__cy")
 
 
+def with_severity(points: DataFrame, hits: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, severity: str, default: float) -> DataFrame:
+    """(point_id, severity) of every point: the largest of the polygons that hold it, `default` for none."""
+    most = hits.select(point_id, polygon_id).join(polygons.select(polygon_id, severity), polygon_id).groupBy(point_id).agg(F.max(severity).alias("__s"))
+    return points.select(point_id).join(most, point_id, "left").select(point_id, F.coalesce("__s", F.lit(default)).alias(severity))
+
+
 def one_polygon(hits: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, order: Column) -> DataFrame:
     """(point_id, polygon_id): of the polygons that hold a point the first by order (over columns of polygons), then by id."""
     ranked = hits.select(point_id, polygon_id).join(polygons.select(polygon_id, order.alias("__o")), polygon_id)

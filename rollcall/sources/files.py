@@ -12,14 +12,15 @@ from pyspark.sql import types as T
 from ..functions.text import split_city_state
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, *, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: str, *, sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """CSV or TSV with a header, gzip included. Names come from schema, so byte-order marks and padded headers don't matter.
 
     Columns are read as text and cast: values that don't parse are null, rows are kept. Read Latin-1 with its encoding.
+    multi_line: quoted values may hold line ends; such files are read whole, one a task, so it is off unless asked for.
     """
     want = T.StructType.fromDDL(schema)
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in want])
-    df = spark.read.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", encoding).option("multiLine", True).option("escape", '"').schema(raw).csv(path)
+    df = spark.read.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", encoding).option("multiLine", multi_line).option("escape", '"').schema(raw).csv(path)
     return df.select(*[F.trim(f.name).try_cast(f.dataType).alias(f.name) for f in want])
 
 
@@ -41,6 +42,15 @@ def read_zipped_lines(spark: SparkSession, path: str, suffix: str = ".csv") -> D
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(unpack, "path string, member string, line_no long, line string")
 
 
+def read_zipped_csv(spark: SparkSession, path: str, schema: str, *, sep: str = ",", suffix: str = ".csv") -> DataFrame:
+    """The rows of the CSV members of zip files, with header, as read_delimited gives them; one archive is a task's share."""
+    lines = read_zipped_lines(spark, path, suffix).where("line_no > 0 AND trim(line) <> ''")
+    want = T.StructType.fromDDL(schema)
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in want])
+    rows = lines.select(F.from_csv("line", raw.simpleString()[len("struct<") : -1].replace(":", " "), {"sep": sep, "escape": '"'}).alias("r"))
+    return rows.select(*[F.trim(F.col(f"r.{f.name}")).try_cast(f.dataType).alias(f.name) for f in want])
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: str, *, array: bool = False) -> DataFrame:
     """JSON lines, or (array=True) files that each hold one array."""
     return spark.read.schema(schema).option("multiLine", array).json(path)
@@ -53,6 +63,56 @@ def read_geojson_points(spark: SparkSession, path: str, properties: str) -> Data
     return features.select("f.properties.*", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"))
 
 
+def read_geojson_polygons(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
+    """The rings of polygons and multipolygons: properties, part, ring_no (0 is the shell), ring (array of x, y).
+
+    FeatureCollections are read whole, one a task; lines: a feature a line, as `write_geojson_lines` writes them. Other
+    geometries and features without one give no row.
+    """
+    schema = f"geometry struct<type: string, coordinates: string>, properties struct<{properties}>"
+    if lines:
+        features = spark.read.schema(schema).json(path).select(F.struct("geometry", "properties").alias("f"))
+    else:
+        whole = spark.read.schema(f"features array<struct<{schema.replace('geometry ', 'geometry: ').replace(', properties ', ', properties: ')}>>")
+        features = whole.option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+    many = "array<array<array<array<double>>>>"
+    one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
+    parts = F.when(F.col("f.geometry.type") == "Polygon", F.array(one)).when(F.col("f.geometry.type") == "MultiPolygon", F.from_json("f.geometry.coordinates", many))
+    rings = features.select("f.properties.*", F.posexplode(parts).alias("part", "rings"))
+    ring = F.transform("__r", lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    return rings.select("*", F.posexplode("rings").alias("ring_no", "__r")).withColumn("ring", ring).drop("rings", "__r")
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header in every file, quotes doubled, nulls empty; a folder of files, written by all tasks."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_feature_collection(df: DataFrame, path: str, lat: str, lon: str, properties: Sequence[str]) -> None:
+    """One FeatureCollection a file, written by all tasks; partitions without rows write an empty one."""
+    schema = "value string"
+    features = df.select(_point_feature(lat, lon, properties).alias("value"))
+
+    def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            lines = []
+            for value in batch.column(0).to_pylist():
+                lines.append(('{"type":"FeatureCollection","features":[' if first else ",") + value)
+                first = False
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(['{"type":"FeatureCollection","features":[]}' if first else "]}"], pa.string())], names=["value"])
+
+    features.mapInArrow(wrap, schema).write.mode("overwrite").text(path)
+
+
+def _point_feature(lat: str, lon: str, properties: Sequence[str]):
+    here = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    point = F.when(here, F.struct(F.lit("Point").alias("type"), F.array(F.col(lon).cast("double"), F.col(lat).cast("double")).alias("coordinates")))
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*properties).alias("properties")), {"ignoreNullFields": "false"})
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
@@ -120,9 +180,7 @@ def write_csv_by_state(df: DataFrame, path: str, city_state: str) -> None:
 
 def write_geojson_lines(df: DataFrame, path: str, lat: str, lon: str, properties: Sequence[str]) -> None:
     """One GeoJSON feature a line: parallel, whatever the size. Rows without coordinates have a null geometry."""
-    point = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.struct(F.lit("Point").alias("type"), F.array(F.col(lon).cast("double"), F.col(lat).cast("double")).alias("coordinates")))
-    feature = F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*properties).alias("properties"))
-    df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+    df.select(_point_feature(lat, lon, properties).alias("value")).write.mode("overwrite").text(path)
 
 
 def markdown_table(df: DataFrame, rows: int) -> str:
