@@ -20,15 +20,18 @@ def split_of(id_col: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def labelled_sample(docs: DataFrame, label: str, text: str, per_label: int, max_chars: int) -> dict[object, list[str]]:
-    """At most per_label distinct texts of each label, spread evenly over the table by a hash.
+def labelled_sample(docs: DataFrame, label: str, text: str, per_label: int, max_chars: int, slice_chars: int, max_labels: int = 1000) -> dict[object, list[str]]:
+    """The first slice_chars characters of at most per_label distinct texts of each label, spread evenly over the table by a hash.
 
     The bounded sample that a classifier is fitted on: texts over max_chars characters, empty and null texts and null
-    labels are left out of the fit. Two passes: counts by label, then a scan that keeps a share of each label.
+    labels are left out of the fit, and so are all but the max_labels most frequent labels. Two passes: counts by label,
+    then a scan that keeps a share of each label. Texts are cut before they are exchanged; per_label * 1.5 * labels *
+    slice_chars characters come to the driver, or a little more.
     """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars) & (F.length(text) > 0))
-    counts = label_counts(rows, label)
-    picked = rows.where(_even_share(F.xxhash64(text, label), label, counts, per_label)).groupBy(F.xxhash64(text).alias("h"), F.col(label).alias("k")).agg(F.min(text).alias("t"))
+    counts = label_counts(rows, label, max_labels)
+    some = rows.where(_even_share(F.xxhash64(text, label), label, counts, per_label))
+    picked = some.groupBy(F.xxhash64(text).alias("h"), F.col(label).alias("k")).agg(F.min(F.substring(text, 1, slice_chars)).alias("t"))
     return _by_label(picked.orderBy("h", "k").limit(3 * per_label * max(1, len(counts))).collect(), per_label)
 
 
@@ -45,8 +48,10 @@ def joined_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, text
     return _by_label(picked.orderBy("h", "k", "t").limit(3 * per_label * max(1, len(counts))).collect(), per_label)
 
 
-def label_counts(rows: DataFrame, label: str) -> dict[object, int]:
-    return {r["k"]: r["n"] for r in rows.groupBy(F.col(label).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+def label_counts(rows: DataFrame, label: str, most: int = 1000) -> dict[object, int]:
+    """Rows of each of the `most` commonest labels."""
+    counts = rows.groupBy(F.col(label).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["k"]: r["n"] for r in counts.orderBy(F.desc("n"), "k").limit(most).collect()}
 
 
 def _even_share(point: Column, label: str, counts: dict[object, int], per_label: int) -> Column:

@@ -25,11 +25,12 @@ def fit_dictionaries(
 ) -> dict[str, bytes]:
     """One raw-content dictionary of at most dict_bytes for each non-null label, from at most sample_docs texts of it.
 
-    Texts over max_chars are left out of the fit. Each text gives slice_chars characters, so that many texts have a part.
+    Texts over max_chars and labels beyond the thousand commonest are left out of the fit. Each text gives slice_chars
+    characters, so that many texts have a part. Null labels and texts teach nothing; an empty table gives no dictionary.
     """
     out = {}
-    for label, texts in labelled_sample(docs, label_col, text_col, sample_docs, max_chars).items():
-        raw = b" ".join(t[:slice_chars].lower().encode("utf-8", "replace") for t in texts)[:dict_bytes]
+    for label, texts in labelled_sample(docs, label_col, text_col, sample_docs, max_chars, slice_chars).items():
+        raw = b" ".join(t.lower().encode("utf-8", "replace") for t in texts)[:dict_bytes]
         if len(raw) >= 8:
             out[str(label)] = raw
     return out
@@ -84,7 +85,10 @@ def identify_language(
 def keep_identified(
     docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str = "text", window: int = 1024, level: int = 6, min_match: int = 3, min_margin: float = 0.005, sharpness: float = 60.0
 ) -> DataFrame:
-    """The rows of docs, all columns, that identify_language doesn't reject. An empty table stays empty."""
+    """The rows of docs, all columns, that identify_language doesn't reject.
+
+    Null and empty texts and those without a letter go, repeated rows stay or go together, an empty table stays empty.
+    """
     decide = _decider(dictionaries, window, level, min_match, min_margin, sharpness)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
