@@ -283,9 +283,9 @@ def blocked_pairs(spark: SparkSession, d: str) -> DataFrame:
     return linkage.block_pairs(left, right, "c_custkey", "s_suppkey", blocks).select(F.col("c_custkey").alias("a"), F.col("s_suppkey").alias("b"))
 
 
-@query("pending_and_quota", """SELECT 'pending' AS kind, c_custkey::VARCHAR AS k, NULL::BIGINT AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
-def pending_and_quota(spark: SparkSession, d: str) -> DataFrame:
-    done = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+@query("pending_work", """SELECT 'pending' AS kind, c_custkey::VARCHAR AS k, NULL::BIGINT AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 2 = 0)""")
+def pending_work(spark: SparkSession, d: str) -> DataFrame:
+    done = table(spark, d, "orders").where("o_custkey % 2 = 0").select(F.col("o_custkey").alias("c_custkey"))
     left = increments.pending(table(spark, d, "customer").select("c_custkey"), done, "c_custkey")
     return left.select(F.lit("pending").alias("kind"), F.col("c_custkey").cast("string").alias("k"), F.lit(None).cast("long").alias("n"))
 
