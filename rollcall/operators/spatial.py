@@ -105,15 +105,18 @@ def nearest_by_category(left: DataFrame, right: DataFrame, left_id: str, right_i
 def in_polygon(points: DataFrame, polygons: DataFrame, polygon_id: str, *, ring: str = "ring", cell: float = 1.0, edges: bool = False) -> DataFrame:
     """points x polygon_id, for every polygon that holds the point (ring: array of struct(x = lon, y = lat)).
 
-    Polygons are copied to the cells of their bounding boxes, and points look in their own cell. A point in several
-    polygons gives several rows; choose with `first_polygon`, `smallest_polygon` or `severest_polygon`.
+    The ids of polygons are copied to the cells of their bounding boxes, and points look in their own cell; the ring comes
+    to the candidates by its id, once. A point in several polygons gives several rows; choose with `one_polygon` or
+    `with_severity`. Points without coordinates are in none.
     """
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     floor = lambda v: F.floor(v / cell).cast("long")
-    boxed = polygons.select(F.col(polygon_id).alias("__pid"), F.col(ring).alias("__ring"), F.explode(F.sequence(floor(F.array_min(xs)), floor(F.array_max(xs)))).alias("__cx"), F.array_min(ys).alias("__s"), F.array_max(ys).alias("__n"))
-    boxed = boxed.select("__pid", "__ring", "__cx", F.explode(F.sequence(floor(F.col("__s")), floor(F.col("__n")))).alias("__cy"))
-    placed = points.withColumns({"__cx": floor(F.col("lon")), "__cy": floor(F.col("lat"))})
-    hits = placed.join(boxed, ["__cx", "__cy"]).where(ring_holds(F.col("__ring"), F.col("lon"), F.col("lat"), edges))
+    span = lambda v: F.sequence(floor(F.array_min(v)), floor(F.array_max(v)))
+    boxes = polygons.select(F.col(polygon_id).alias("__pid"), span(xs).alias("__xs"), span(ys).alias("__ys"))
+    cells = boxes.select("__pid", F.explode("__xs").alias("__cx"), "__ys").select("__pid", "__cx", F.explode("__ys").alias("__cy"))
+    near = points.withColumns({"__cx": floor(F.col("lon")), "__cy": floor(F.col("lat"))}).join(cells, ["__cx", "__cy"])
+    shapes = polygons.select(F.col(polygon_id).alias("__pid"), F.col(ring).alias("__ring"))
+    hits = near.join(shapes, "__pid").where(ring_holds(F.col("__ring"), F.col("lon"), F.col("lat"), edges))
     return hits.withColumnRenamed("__pid", polygon_id).drop("__ring", "__cx", "__cy")
 
 
