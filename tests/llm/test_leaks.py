@@ -11,7 +11,7 @@ from rollcall.llm._lcs import common_length
 VOCABULARY = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in ("", "ra", "ti", "so", "nen")]
 
 
-def made(seed=4, items=60, docs=400):
+def made(seed=4, items=50, docs=240):
     """(items, documents, planted): a third of the documents hold a paraphrased item: words dropped, swapped and put in."""
     r = random.Random(seed)
     sentence = lambda n: " ".join(r.choices(VOCABULARY, k=n))
@@ -44,7 +44,7 @@ def test_paraphrased_items_are_found(spark, block_items):
             n = 3 * len(words)
             if any(common_length(words, body[at : at + 2 * len(words)]) >= 0.7 * len(words) for at in range(0, max(1, len(body) - len(words)), max(1, n // 6))):
                 want.add((d, k))
-    assert len(want) > 100
+    assert len(want) > 60
     assert len(want & set(got)) >= 0.9 * len(want)
     assert len(planted & set(got)) >= 0.9 * len(planted)
     assert all(r["common"] >= 0.55 for r in got.values())
