@@ -163,18 +163,16 @@ def _meet(units: DataFrame, index: MultiIndex, threshold: float, block_rows: int
 
     placed = materialize(units.mapInArrow(visit, "id long, n long, x array<double>, cells array<long>"), "vector-cells")
     at_home = placed.withColumn("cell", F.get("cells", F.lit(0)))
-    calls = placed.withColumn("cell", F.explode("cells"))
+    calls = placed.withColumn("home", F.get("cells", F.lit(0))).withColumn("cell", F.explode("cells"))
 
-    def in_blocks(df: DataFrame, name: str, fields: list[str]) -> DataFrame:
-        size = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
-        dealt = df.join(size, "cell").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
-        return dealt.groupBy("cell", "block").agg(F.collect_list(F.struct(*fields)).alias(name), F.first("blocks").alias("blocks"))
-
-    residents = in_blocks(at_home, "residents", ["id", "n", "x", "cells"])
-    visitors = in_blocks(calls, "visitors", ["id", "n", "x", F.get("cells", F.lit(0)).alias("home")]).select("cell", "visitors")
-    # a crowded cell is dealt out by its blocks of residents: visitors go to each of them
-    crowd = residents.groupBy("cell").agg(F.first("blocks").alias("blocks"))
-    visitors = visitors.join(crowd, "cell").select("cell", "visitors", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    blocks_of = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias(name))
+    deal = lambda blocks: F.pmod(F.xxhash64("id", F.lit(1)), F.col(blocks))
+    crowds = blocks_of(at_home, "rooms")
+    residents = at_home.join(crowds, "cell").groupBy("cell", deal("rooms").alias("room")).agg(F.collect_list(F.struct("id", "n", "x", "cells")).alias("residents"))
+    # visitors go to every block of a cell's residents, so that a crowded cell is dealt out; empty cells are not visited
+    guests = calls.drop("cells").join(blocks_of(calls, "parties").join(crowds, "cell"), "cell")
+    guests = guests.withColumn("party", deal("parties")).withColumn("room", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)))
+    visitors = guests.groupBy("cell", "room", "party").agg(F.collect_list(F.struct("id", "n", "x", "home")).alias("visitors"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,7 +203,7 @@ def _meet(units: DataFrame, index: MultiIndex, threshold: float, block_rows: int
                 edge = more == 0
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64(), mask=~edge), pa.array(more, pa.int64())], names=["u", "v", "more"])
 
-    return visitors.join(residents.drop("blocks"), ["cell", "block"]).select("visitors", "residents").mapInArrow(compare, "u long, v long, more long")
+    return visitors.join(residents, ["cell", "room"]).select("visitors", "residents").mapInArrow(compare, "u long, v long, more long")
 
 
 def _block(values: pa.StructArray) -> dict[str, np.ndarray]:
