@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import split_of, table
+from .centroids import cluster_rows, cluster_vectors, clustering_sql
 from .decontaminate import find_leaks
 from .embedding_dedup import link_embeddings
 from .html_text import extract_main_text
@@ -15,6 +16,7 @@ from .language_id import fit_dictionaries, identify_language
 from .lm_score import score_texts
 from .minhash_dedup import near_duplicate_classes
 from .mixture import PRODUCTION, mix_sources, mixture_sql
+from .sharding import Shard, equal_shards, shard_rows, sharding_sql
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, score_toxicity
@@ -67,6 +69,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), equal_shards(40), added=Shard(40))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_rows(cluster_vectors(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed="3"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -78,6 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_strings": op8_repeated_strings,
     "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
+    "op12_rendezvous_shards": op12_rendezvous_shards,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
-ORACLES: dict[str, str] = {"op4_mixture": mixture_sql(PRODUCTION)}
+ORACLES: dict[str, str] = {
+    "op4_mixture": mixture_sql(PRODUCTION),
+    "op12_rendezvous_shards": sharding_sql(40),
+    "op13_centroid_clusters": clustering_sql(k=8, rounds=10, dim=64, scale=1024, seed="3"),
+}
