@@ -16,6 +16,7 @@ from .language_id import fit_dictionaries, identify_language
 from .lm_score import score_texts
 from .minhash_dedup import near_duplicate_classes
 from .mixture import PRODUCTION, mix_sources, mixture_sql
+from .periodic_runs import find_runs, repeat_tail, runs_digest
 from .sharding import Shard, equal_shards, shard_rows, sharding_sql
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -69,6 +70,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = find_runs(docs.select("doc_id", repeat_tail(F.col("text"), h).alias("text")), carry=("doc_id",))
+    return found.select("doc_id", *runs_digest())
+
+
 def op12_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), equal_shards(40), added=Shard(40))
 
@@ -88,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_strings": op8_repeated_strings,
     "op9_main_text": op9_main_text,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_rendezvous_shards": op12_rendezvous_shards,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
