@@ -59,11 +59,13 @@ def shard_rows(docs: DataFrame, shards: list[Shard], *, added: Shard | None = No
     """
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    keys = rows.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
+    grown = rendezvous(F.col("id"), [*shards, added]) if added else F.lit(None)
+    # the draws are made where the rows are read, by as many tasks; the exchange after it is small and gets few
+    rows = rows.withColumns({"shard": rendezvous(F.col("id"), shards), "grown_shard": grown.cast("int")})
+    keys = rows.groupBy("id", "size", "text_crc32", "shard", "grown_shard").agg(F.count(F.lit(1)).alias("copies"))
     name = F.coalesce(F.col("id").cast("string"), F.lit(""))
     order = F.md5(F.concat_ws(":", name, F.col("size").cast("string"), F.col("text_crc32").cast("string")).cast("binary"))
-    grown = rendezvous(F.col("id"), [*shards, added]) if added else F.lit(None)
-    keys = materialize(keys.select("*", rendezvous(F.col("id"), shards).alias("shard"), grown.cast("int").alias("grown_shard"), order.alias("place")), "shard-keys")
+    keys = materialize(keys.withColumn("place", order), "shard-keys")
 
     digits, n = 1, keys.count()
     while len(shards) * 16**digits * bucket_rows < n:
