@@ -1,4 +1,4 @@
-"""Spatial joins as equi-joins on grid cells: within a radius, nearest, radius sums, points in polygons.
+"""Spatial joins as equi-joins on grid cells: within a radius, radius sums, points in polygons; `nearest` is in pyramid.py.
 
 Points live in square cells of a size in degrees. The side that has to look around explodes into the cells that it can
 reach, so that Spark joins on cells by hash, and the exact distance is a filter after the join. Longitudes wrap at 180
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_km, ring_holds
+from .pyramid import nearest
 
 
 def _cell(lat: Column, lon: Column, size: float, columns: int) -> tuple[Column, Column]:
@@ -63,35 +64,6 @@ def radius_sums(centres: DataFrame, points: DataFrame, centre_id: str, value: st
     return centres.select(centre_id).join(sums, centre_id, "left").fillna(0, [name(r) for r in radii])
 
 
-def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, *, k: int = 1, first_km: float = 25.0, exclude_equal_ids: bool = False, same: Sequence[str] = (), max_km: float | None = None) -> DataFrame:
-    """(left_id, right_id, km, rank): the k nearest of right for each row of left, ties to the smaller id.
-
-    Searches within first_km, then doubles the radius for the rows that found fewer than k; a row is done when it has k
-    within the radius, as nothing outside can be nearer. The search ends at max_km, or when the radius holds the Earth.
-    same: columns that must be equal on both sides. Coordinates are columns lat and lon; rows without them find nothing.
-    """
-    out: DataFrame | None = None
-    open_rows, km = left.where("lat IS NOT NULL AND lon IS NOT NULL"), first_km if max_km is None else min(first_km, max_km)
-    while True:
-        pairs = within_radius(open_rows, right, km)
-        for c in same:
-            pairs = pairs.where(F.col(f"l.{c}") == F.col(f"r.{c}"))
-        if exclude_equal_ids:
-            pairs = pairs.where(F.col(f"l.{left_id}") != F.col(f"r.{right_id}"))
-        # the k smallest by (distance, id), kept while aggregating
-        best = pairs.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.array_sort(F.collect_list(F.struct(F.col("km"), F.col(f"r.{right_id}").alias("rid")))).alias("all")) if k > 1 else pairs.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.array(F.min(F.struct(F.col("km"), F.col(f"r.{right_id}").alias("rid")))).alias("all"))
-        last = km >= (max_km or 20_100.0)
-        found = best if last else best.where(F.size("all") >= k)
-        rows = found.select(left_id, F.posexplode(F.slice("all", 1, k)).alias("p", "e")).select(left_id, F.col("e.rid").alias(right_id), F.col("e.km").alias("km"), (F.col("p") + 1).alias("rank"))
-        out = rows if out is None else out.unionByName(rows)
-        if last:
-            return out
-        open_rows = open_rows.join(found.select(left_id), left_id, "left_anti").persist()
-        if open_rows.isEmpty():
-            return out
-        km = min(km * 4, max_km or 20_100.0)
-
-
 def nearest_by_category(left: DataFrame, right: DataFrame, left_id: str, right_id: str, category: str, categories: Sequence[str], **options) -> DataFrame:
     """(left_id, km_<category>..., km_other): the distance to the nearest of each category but the row's own, and their least."""
     out = left.select(left_id, category)

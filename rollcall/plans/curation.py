@@ -129,11 +129,11 @@ def radius_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("nearest_supplier", f"""WITH a AS ({_points('customer', 'c_custkey')}), b AS ({_points('supplier', 's_suppkey')}), p AS (SELECT a.id, b.id AS sid, {KM} AS km FROM a, b),
-    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), sid) AS rank FROM p) SELECT id, round(km, 4) AS km FROM r WHERE rank = 1""")
+    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), sid) AS rank FROM p) SELECT id, sid, round(km, 4) AS km FROM r WHERE rank = 1""")
 def nearest_supplier(spark: SparkSession, d: str) -> DataFrame:
     s = _places(table(spark, d, "supplier"), "s_suppkey").withColumnRenamed("id", "sid")
-    found = spatial.nearest(_places(table(spark, d, "customer"), "c_custkey"), s, "id", "sid", first_km=1000.0)
-    return found.select("id", F.round("km", 4).alias("km"))
+    found = spatial.nearest(_places(table(spark, d, "customer"), "c_custkey"), s, "id", "sid")
+    return found.select("id", "sid", F.round("km", 4).alias("km"))
 
 
 def _squares(df: DataFrame) -> DataFrame:

@@ -216,9 +216,8 @@ def polygon_areas(spark: SparkSession, d: str) -> DataFrame:
 def two_nearest(spark: SparkSession, d: str) -> DataFrame:
     """The two nearest others within 3,000 km."""
     s = _places(table(spark, d, "supplier"), "s_suppkey")
-    found = spatial.nearest(s, s.withColumnRenamed("id", "partner"), "id", "partner", k=3, max_km=3000.0)
-    others = found.where("id <> partner").withColumn("rank", F.row_number().over(linkage.Window.partitionBy("id").orderBy("km", "partner"))).where("rank <= 2")
-    return others.select("id", "partner", F.round("km", 6).alias("km"), "rank")
+    found = spatial.nearest(s, s.withColumnRenamed("id", "partner"), "id", "partner", k=2, max_km=3000.0, exclude_equal_ids=True)
+    return found.select("id", "partner", F.round("km", 6).alias("km"), "rank")
 
 
 @query("nearest_of_kinds", f"""WITH s AS (SELECT *, 'k' || id % 3 AS kind FROM ({_points('supplier', 's_suppkey')})), d AS (SELECT a.id AS id, a.kind AS kind, b.kind AS other, {KM} AS km FROM s a JOIN s b ON a.kind <> b.kind)

@@ -86,7 +86,7 @@ def test_radius_join_and_nearest_close_to_the_date_line(spark, km):
     apart = a.alias("a").crossJoin(b.alias("b")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), geo.haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")).alias("km")).collect()
     got = {(r["a"], r["b"]) for r in spatial.within_radius(a, b, km).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()}
     assert got == {(r["a"], r["b"]) for r in apart if r["km"] <= km}
-    near = {r["id"]: r["km"] for r in spatial.nearest(a, b.withColumnRenamed("id", "rid"), "id", "rid", first_km=km).collect()}
+    near = {r["id"]: r["km"] for r in spatial.nearest(a, b.withColumnRenamed("id", "rid"), "id", "rid").collect()}
     assert near == {k: min(r["km"] for r in apart if r["a"] == k) for k in range(200)}
 
 
