@@ -66,19 +66,6 @@ def missing_report(df: DataFrame, columns: Sequence[str], blank_is_missing: bool
     return one.select("total", pairs.alias("p")).select("p.column", "p.missing", "total", F.round(F.try_divide(F.col("p.missing") * 100.0, F.col("total")), 2).alias("pct_missing"))
 
 
-def percentile_at_offset(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str) -> DataFrame:
-    """The value at place int(n * share), counted from 0, among the non-null values of each key in ascending order.
-
-    Values are counted first and ranked by their running counts, so that ties of a hot key stay one row.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    in_key = Window.partitionBy(*keys)
-    upto = F.sum("__n").over(in_key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    place = F.least(F.floor(F.sum("__n").over(in_key) * F.lit(share)), F.sum("__n").over(in_key) - 1)
-    ranked = counts.withColumn("__upto", upto).withColumn("__place", place)
-    return ranked.where((F.col("__upto") > F.col("__place")) & (F.col("__upto") - F.col("__n") <= F.col("__place"))).select(*keys, F.col(value).alias(out))
-
-
 def share_of(df: DataFrame, value: str, within: Sequence[str], out: str) -> DataFrame:
     """Adds value as a share of its sum within the keys `within` (all rows if empty); null where that sum is 0.
 

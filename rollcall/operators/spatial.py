@@ -1,4 +1,4 @@
-"""Spatial joins as equi-joins on grid cells: within a radius, radius sums, points in polygons; `nearest` is in pyramid.py.
+"""Spatial joins as equi-joins on grid cells: within a radius, radius sums; `nearest` is in pyramid.py, `in_polygon` in cover.py.
 
 Points live in square cells of a size in degrees. The side that has to look around explodes into the cells that it can
 reach, so that Spark joins on cells by hash, and the exact distance is a filter after the join. Longitudes wrap at 180
@@ -12,9 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import KM_PER_DEGREE, haversine_km, ring_holds
+from ..functions.geo import KM_PER_DEGREE, haversine_km
+from .cover import in_polygon
 from .pyramid import nearest
 
+__all__ = ["dbscan", "in_polygon", "nearest", "nearest_by_category", "nearest_pivot", "one_polygon", "radius_sums", "with_severity", "within_radius"]
+
 
 def _cell(lat: Column, lon: Column, size: float, columns: int) -> tuple[Column, Column]:
     """Row of a height of size degrees, and one of the columns of equal width: so no column at 180 degrees is a mere rest."""
@@ -74,24 +77,6 @@ def nearest_by_category(left: DataFrame, right: DataFrame, left_id: str, right_i
     return out.withColumn("km_other", F.least(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0]))
 
 
-def in_polygon(points: DataFrame, polygons: DataFrame, polygon_id: str, *, ring: str = "ring", cell: float = 1.0, edges: bool = False) -> DataFrame:
-    """points x polygon_id, for every polygon that holds the point (ring: array of struct(x = lon, y = lat)).
-
-    The ids of polygons are copied to the cells of their bounding boxes, and points look in their own cell; the ring comes
-    to the candidates by its id, once. A point in several polygons gives several rows; choose with `one_polygon` or
-    `with_severity`. Points without coordinates are in none.
-    """
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    floor = lambda v: F.floor(v / cell).cast("long")
-    span = lambda v: F.sequence(floor(F.array_min(v)), floor(F.array_max(v)))
-    boxes = polygons.select(F.col(polygon_id).alias("__pid"), span(xs).alias("__xs"), span(ys).alias("__ys"))
-    cells = boxes.select("__pid", F.explode("__xs").alias("__cx"), "__ys").select("__pid", "__cx", F.explode("__ys").alias("__cy"))
-    near = points.withColumns({"__cx": floor(F.col("lon")), "__cy": floor(F.col("lat"))}).join(cells, ["__cx", "__cy"])
-    shapes = polygons.select(F.col(polygon_id).alias("__pid"), F.col(ring).alias("__ring"))
-    hits = near.join(shapes, "__pid").where(ring_holds(F.col("__ring"), F.col("lon"), F.col("lat"), edges))
-    return hits.withColumnRenamed("__pid", polygon_id).drop("__ring", "__cx", "__cy")
-
-
 def with_severity(points: DataFrame, hits: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, severity: str, default: float) -> DataFrame:
     """(point_id, severity) of every point: the largest of the polygons that hold it, `default` for none."""
     most = hits.select(point_id, polygon_id).join(polygons.select(polygon_id, severity), polygon_id).groupBy(point_id).agg(F.max(severity).alias("__s"))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import geocode, matching
+from ..operators import geocode, matching, spatial
+from ..operators.settled import shared_dir
+from ..sources import files
+from .curation import _places as _around
+from .curation import _points
 from .registry import given, query, stated, table
 
 #: Suppliers and customers on a lattice so that some share cells, some lie next to each other, and some lack a place.
@@ -161,3 +167,45 @@ def county_attributes(spark: SparkSession, d: str) -> DataFrame:
     attributes = table(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.lpad(k.cast("string"), 5, "0").alias("fips"), (k * 1.5).cast("string").alias("rate"), F.when(k % 3 == 0, "n/a").otherwise(k.cast("string")).alias("flag"))
     rows = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("fips"))
     return geocode.with_attributes(rows, attributes, "fips", {"rate": "double", "flag": "bigint"}).select("c_custkey", "rate", "flag")
+
+
+#: A square of 20 degrees around each nation's place with a diamond as a hole, a square island in the hole, and a second part.
+FEATURES = "SELECT n_nationkey::BIGINT AS nation, (n_nationkey * 37) % 100 - 50 AS qlat, (n_nationkey * 101) % 320 - 160 AS qlon FROM nation"
+IN_FEATURE = "(abs(lon - qlon) < 10.05 AND abs(lat - qlat) < 10.05 AND NOT abs(lon - qlon) + abs(lat - qlat) < 6.05) OR (abs(lon - qlon) < 1.55 AND abs(lat - qlat) < 1.55) OR abs(lon - qlon) + abs(lat - qlat - 24) < 7.05"
+
+
+def _features(df: DataFrame, wider: float = 0.0) -> DataFrame:
+    k = F.col("n_nationkey")
+    lat, lon = (k * 37) % 100 - 50, (k * 101) % 320 - 160
+    ring = lambda corners: F.array(*[F.struct((lon + x).cast("double").alias("x"), (lat + y).cast("double").alias("y")) for x, y in corners])
+    square = lambda r: ring([(-r, -r), (r, -r), (r, r), (-r, r)])
+    diamond = lambda r, up: ring([(0, up - r), (r, up), (0, up + r), (-r, up)])
+    return df.select(k.cast("long").alias("nation"), F.array(square(10 + wider), diamond(6 + wider, 0), square(1.5 + wider), diamond(7 + wider, 24)).alias("rings"))
+
+
+@query(
+    "points_in_features",
+    f"""WITH p AS ({_points('customer', 'c_custkey')}), q AS ({FEATURES}) SELECT p.id, q.nation FROM p JOIN q ON {IN_FEATURE}""",
+)
+def points_in_features(spark: SparkSession, d: str) -> DataFrame:
+    """Polygons with a hole, an island in it and a second part, written as GeoJSON and read back."""
+    path = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
+    files.write_geojson_polygons(_features(table(spark, d, "nation"), 0.05), path, "rings", ["nation"])
+    shapes = files.read_geojson_features(spark, path, "nation: long", lines=True)
+    return spatial.in_polygon(_around(table(spark, d, "customer"), "c_custkey"), shapes, "nation", ring="rings", cell=2.0).select("id", "nation")
+
+
+@query(
+    "edge_points",
+    """WITH p AS (SELECT s_suppkey::BIGINT AS id, s_nationkey::BIGINT AS nation, (s_nationkey * 37) % 100 - 50 + CASE s_suppkey % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 24 ELSE 1 END AS lat,
+        (s_nationkey * 101) % 320 - 160 + CASE s_suppkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 7 ELSE 0.5 END AS lon FROM supplier)
+    SELECT id, true AS touches, id % 4 = 3 AS inside FROM p""",
+)
+def edge_points(spark: SparkSession, d: str) -> DataFrame:
+    """Points on the shell, on the hole's slope and at a corner of the second part touch their nation's feature, and only those within are inside."""
+    k, kind = F.col("s_nationkey"), F.col("s_suppkey") % 4
+    at = lambda a, b, c, e: F.when(kind == 0, a).when(kind == 1, b).when(kind == 2, c).otherwise(e)
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("id"), k.cast("long").alias("own"), ((k * 37) % 100 - 50 + at(10.0, 3.0, 24.0, 1.0)).alias("lat"), ((k * 101) % 320 - 160 + at(2.0, 3.0, 7.0, 0.5)).alias("lon"))
+    shapes = _features(table(spark, d, "nation"))
+    found = lambda edges, name: spatial.in_polygon(s, shapes, "nation", ring="rings", cell=2.5, edges=edges).where("own = nation").select("id", F.lit(True).alias(name))
+    return s.select("id").join(found(True, "touches"), "id", "left").join(found(False, "inside"), "id", "left").fillna(False)

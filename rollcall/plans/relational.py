@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
+from ..operators import selection
 from .registry import query, table
 
 
@@ -132,14 +133,15 @@ def joined_names(spark: SparkSession, d: str) -> DataFrame:
     SELECT segment, c_acctbal AS p90 FROM r WHERE i = floor(n * 0.9)""")
 def percentile_by_offset(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").withColumnRenamed("c_mktsegment", "segment")
-    return R.percentile_at_offset(rows, ["segment"], "c_acctbal", 0.9, "p90")
+    return selection.percentile_at_offset(rows, ["segment"], "c_acctbal", 0.9, "p90")
 
 
 @query("exact_quantiles", """SELECT c_mktsegment AS segment, round(median(c_acctbal), 6) AS med, round(quantile_cont(c_acctbal, 0.25), 6) AS q1, round(stddev_samp(c_acctbal), 4) AS sd, round(stddev_pop(c_acctbal), 4) AS sdp, round(corr(c_acctbal, c_nationkey), 6) AS r FROM customer GROUP BY 1""")
 def exact_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(
-        F.round(F.median("c_acctbal"), 6).alias("med"), F.round(F.percentile("c_acctbal", F.lit(0.25)), 6).alias("q1"), F.round(F.stddev_samp("c_acctbal"), 4).alias("sd"), F.round(F.stddev_pop("c_acctbal"), 4).alias("sdp"), F.round(F.corr("c_acctbal", "c_nationkey"), 6).alias("r"),
-    )
+    c = table(spark, d, "customer").withColumnRenamed("c_mktsegment", "segment")
+    spread = c.groupBy("segment").agg(F.round(F.stddev_samp("c_acctbal"), 4).alias("sd"), F.round(F.stddev_pop("c_acctbal"), 4).alias("sdp"), F.round(F.corr("c_acctbal", "c_nationkey"), 6).alias("r"))
+    found = selection.quantiles(c, ["segment"], "c_acctbal", {"med": 0.5, "q1": 0.25})
+    return found.join(spread, "segment").select("segment", F.round("med", 6).alias("med"), F.round("q1", 6).alias("q1"), "sd", "sdp", "r")
 
 
 @query("share_of_total", """SELECT n_name AS nation, r_name AS region, n, round(n * 1.0 / sum(n) OVER (PARTITION BY r_name), 8) AS in_region FROM

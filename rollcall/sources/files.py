@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,12 +63,8 @@ def read_geojson_points(spark: SparkSession, path: str, properties: str) -> Data
     return features.select("f.properties.*", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"))
 
 
-def read_geojson_polygons(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
-    """The rings of polygons and multipolygons: properties, part, ring_no (0 is the shell), ring (array of x, y).
-
-    FeatureCollections are read whole, one a task; lines: a feature a line, as `write_geojson_lines` writes them. Other
-    geometries and features without one give no row.
-    """
+def _polygon_parts(spark: SparkSession, path: str, properties: str, lines: bool) -> DataFrame:
+    """(f, parts) of polygons and multipolygons: parts of rings of [x, y] pairs; other geometries have null parts."""
     schema = f"geometry struct<type: string, coordinates: string>, properties struct<{properties}>"
     if lines:
         features = spark.read.schema(schema).json(path).select(F.struct("geometry", "properties").alias("f"))
@@ -78,9 +74,34 @@ def read_geojson_polygons(spark: SparkSession, path: str, properties: str, *, li
     many = "array<array<array<array<double>>>>"
     one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
     parts = F.when(F.col("f.geometry.type") == "Polygon", F.array(one)).when(F.col("f.geometry.type") == "MultiPolygon", F.from_json("f.geometry.coordinates", many))
-    rings = features.select("f.properties.*", F.posexplode(parts).alias("part", "rings"))
-    ring = F.transform("__r", lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return rings.select("*", F.posexplode("rings").alias("ring_no", "__r")).withColumn("ring", ring).drop("rings", "__r")
+    return features.select("f", parts.alias("parts"))
+
+
+def _corners(ring: Column) -> Column:
+    return F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+
+
+def read_geojson_polygons(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
+    """The rings of polygons and multipolygons: properties, part, ring_no (0 is the shell), ring (array of x, y).
+
+    FeatureCollections are read whole, one a task; lines: a feature a line, as `write_geojson_lines` writes them. Other
+    geometries and features without one give no row.
+    """
+    rings = _polygon_parts(spark, path, properties, lines).select("f.properties.*", F.posexplode("parts").alias("part", "rings"))
+    return rings.select("*", F.posexplode("rings").alias("ring_no", "__r")).withColumn("ring", _corners(F.col("__r"))).drop("rings", "__r")
+
+
+def read_geojson_features(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
+    """Polygons and multipolygons whole: properties, and rings, all rings of all parts as one array, for `in_polygon`."""
+    rings = F.transform(F.flatten("parts"), _corners)
+    return _polygon_parts(spark, path, properties, lines).where("parts IS NOT NULL").select("f.properties.*", rings.alias("rings"))
+
+
+def write_geojson_polygons(df: DataFrame, path: str, rings: str, properties: Sequence[str]) -> None:
+    """One GeoJSON polygon a line, with all its rings; parallel, whatever the size."""
+    pairs = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"].cast("double"), p["y"].cast("double"))))
+    shape = F.struct(F.lit("Polygon").alias("type"), pairs.alias("coordinates"))
+    df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*properties).alias("properties")), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
