@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine_km
-from ..functions.similarity import jaro_winkler, sequence_ratio, token_sort_ratio
+from ..functions.geo import KM_PER_DEGREE, haversine_km
+from ..functions.similarity import jaro_winkler, token_sort_ratio
+from .fuzzy import ratio_pairs
 
 
 def _best(pairs: DataFrame, score: str, left_id: str, right_id: str, *more: str) -> DataFrame:
@@ -18,13 +19,17 @@ def _best(pairs: DataFrame, score: str, left_id: str, right_id: str, *more: str)
 def near_alike(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: str, *, km: float = 0.5, least: float = 0.90, cell: float = 0.01) -> DataFrame:
     """(left_id, right_id, score): of the places within km whose names are alike (Jaro-Winkler), the one most alike.
 
-    Candidates come from the 3 x 3 grid cells around a place, so km must not exceed a cell's sides. Both tables have lat
-    and lon; rows without them match nothing. Cells are joined by equality, distances go first, names last.
+    Candidates come from the 3 x 3 grid cells around a place, so km must not exceed a cell's height, which is an error.
+    Rows look at as many columns of cells as km spans at their latitude. Both tables have lat and lon; rows without them match
+    nothing. Cells are joined by equality, distances go first, names last. Longitudes don't wrap.
     """
+    if km > cell * KM_PER_DEGREE:
+        raise ValueError(f"{km} km reach beyond the neighbours of cells of {cell} degrees")
     at = lambda c: F.floor(F.col(c) / cell).cast("long")
     steps = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+    wide = F.ceil(F.lit(km / KM_PER_DEGREE / cell) / F.greatest(F.cos(F.radians(F.least(F.abs("la") + cell, F.lit(89.9)))), F.lit(1e-3)))
     l = left.where("lat IS NOT NULL AND lon IS NOT NULL").select(F.col(left_id).alias("a"), F.col("lat").alias("la"), F.col("lon").alias("lo"), F.col(name).alias("na"), at("lat").alias("y"), at("lon").alias("x0"))
-    l = l.withColumn("y", F.explode(F.transform(steps, lambda k: F.col("y") + k))).withColumn("x", F.explode(F.transform(steps, lambda k: F.col("x0") + k)))
+    l = l.withColumn("y", F.explode(F.transform(steps, lambda k: F.col("y") + k))).withColumn("x", F.explode(F.sequence(F.col("x0") - wide, F.col("x0") + wide)))
     r = right.where("lat IS NOT NULL AND lon IS NOT NULL").select(F.col(right_id).alias("b"), F.col("lat").alias("ra"), F.col("lon").alias("ro"), F.col(name).alias("nb"), at("lat").alias("y"), at("lon").alias("x"))
     close = l.join(r, ["y", "x"]).where(haversine_km(F.col("la"), F.col("lo"), F.col("ra"), F.col("ro")) <= km)
     scored = close.select("a", "b", jaro_winkler(F.col("na"), F.col("nb")).alias("s")).where(F.col("s") >= least)
@@ -69,18 +74,20 @@ def scored_neighbours(pairs: DataFrame, left_id: str, right_id: str, names: tupl
 
 def exact_then_alike(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: str, city: str, *, least: float = 0.75) -> DataFrame:
     """(left_id, right_id, score): in one city, an equal name (1.0), else the name most alike by sequence_ratio, `least` at
-    least; the smallest id on ties. Names and cities are compared in lower case, trimmed; nulls match nothing.
+    least; the smallest id on ties. Names and cities are compared in lower case, trimmed; nulls and empty names match nothing.
 
-    Names that differ meet on a shared word, so a city's rows are not all paired: names alike by 0.75 without one are rare,
-    and they are not found.
+    The search is complete, also among names without a shared word, and compares each name of a city once.
     """
     key = lambda c: F.lower(F.trim(F.col(c)))
-    word = lambda: F.explode(F.array_distinct(F.regexp_extract_all("n", F.lit(r"[\p{L}\p{N}]+"), 0)))
-    l = left.select(F.col(left_id).alias("a"), key(name).alias("n"), key(city).alias("k")).withColumn("w", word())
-    r = right.select(F.col(right_id).alias("b"), key(name).alias("n"), key(city).alias("k")).withColumn("w", word()).withColumnRenamed("n", "m")
-    pairs = l.join(r, ["k", "w"]).select("a", "b", "n", "m").distinct()
-    score = F.when(F.col("n") == F.col("m"), 1.0).otherwise(sequence_ratio(F.col("n"), F.col("m")))
-    return _best(pairs.select("a", "b", score.alias("s")).where(F.col("s") >= least), "s", left_id, right_id)
+    side = lambda df, id_col: df.select(F.col(id_col).alias("id"), key(name).alias("n"), key(city).alias("k")).where("n <> '' AND k IS NOT NULL")
+    l, r = side(left, left_id), side(right, right_id)
+    listed = r.groupBy("k", "n").agg(F.min("id").alias("b"))
+    asked = l.select("k", "n").distinct()
+    exact = asked.join(listed, ["k", "n"]).withColumn("score", F.lit(1.0))
+    alike = ratio_pairs(asked.join(listed, ["k", "n"], "left_anti"), listed, ["k"], "n", least)
+    alike = alike.join(listed.withColumnRenamed("n", "b_name").withColumnRenamed("b", "id"), (alike["b"] == F.col("b_name")) & (alike["k"] == listed["k"])).select(alike["k"], alike["a"].alias("n"), "id", "score")
+    top = alike.groupBy("k", "n").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("id").alias("b"))).alias("m")).select("k", "n", F.col("m.b").alias("b"), (-F.col("m.s")).alias("score"))
+    return l.join(exact.unionByName(top), ["k", "n"]).select(F.col("id").alias(left_id), F.col("b").alias(right_id), "score")
 
 
 def same_cell_first(left: DataFrame, right: DataFrame, left_id: str, right_id: str, places: int = 4) -> DataFrame:
