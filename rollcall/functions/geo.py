@@ -1,11 +1,14 @@
-"""Geographic expressions on latitude and longitude columns in degrees. All are built-in functions; nulls give null."""
+"""Geographic expressions on latitude and longitude columns in degrees. All but simplify are built-in functions; nulls give null."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Mean radii in use, in km.
 EARTH_KM = 6371.0
@@ -90,7 +93,64 @@ def ring_holds(ring: Column, x: Column, y: Column, edges: bool = False) -> Colum
 
 
 def raster_cell(lat: Column, lon: Column, side: int = 1201) -> Column:
-    """The one-degree tile of a point, named by its south-west corner, and row and column in a side x side raster."""
+    """The one-degree tile of a point, named by its south-west corner, and row and column in a side x side raster, halves to even."""
     south, west = F.floor(lat), F.floor(lon)
     tile = F.concat(F.when(south >= 0, F.lit("N")).otherwise(F.lit("S")), F.lpad(F.abs(south).cast("string"), 2, "0"), F.when(west >= 0, F.lit("E")).otherwise(F.lit("W")), F.lpad(F.abs(west).cast("string"), 3, "0"))
-    return F.struct(tile.alias("tile"), F.round((F.lit(1.0) - (lat - south)) * (side - 1)).cast("int").alias("row"), F.round((lon - west) * (side - 1)).cast("int").alias("col"))
+    return F.struct(tile.alias("tile"), F.rint((south + 1 - lat) * (side - 1)).cast("int").alias("row"), F.rint((lon - west) * (side - 1)).cast("int").alias("col"))
+
+
+def simplify(line: Column, tolerance: float) -> Column:
+    """A line or ring of (x, y) structs without the corners that lie within tolerance of what stays (Douglas-Peucker).
+
+    Ends stay, so closed rings stay closed. A ring's first piece is cut at the corner farthest from its start, and a ring that
+    would keep fewer than three corners keeps the three that span it most. Nulls give null, nothing is added or moved.
+    """
+    return _simplified(line, F.lit(float(tolerance)))
+
+
+def simplified_corners(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
+    """The places of the corners that stay, in order; pieces wait on a stack, so that depth is no limit."""
+    n = len(x)
+    keep = np.zeros(n, bool)
+    if n <= 2:
+        return np.arange(n)
+    keep[[0, n - 1]] = True
+    closed = x[0] == x[-1] and y[0] == y[-1]
+    pieces = [(0, n - 1)]
+    if closed:
+        far = int(np.hypot(x - x[0], y - y[0]).argmax())
+        keep[far] = True
+        pieces = [(0, far), (far, n - 1)]
+    gaps = np.zeros(n)
+    while pieces:
+        a, b = pieces.pop()
+        if b - a < 2:
+            continue
+        d = _off_segment(x[a + 1 : b], y[a + 1 : b], x[a], y[a], x[b], y[b])
+        at = int(d.argmax())
+        gaps[a + 1 + at] = d[at]
+        if d[at] > tolerance:
+            keep[a + 1 + at] = True
+            pieces += [(a, a + 1 + at), (a + 1 + at, b)]
+    if closed and n >= 4 and keep.sum() < 4:
+        gaps[keep] = -1
+        keep[int(gaps.argmax())] = True
+    return np.flatnonzero(keep)
+
+
+def _off_segment(x: np.ndarray, y: np.ndarray, x1: float, y1: float, x2: float, y2: float) -> np.ndarray:
+    dx, dy = x2 - x1, y2 - y1
+    length = dx * dx + dy * dy
+    t = np.clip(((x - x1) * dx + (y - y1) * dy) / length, 0, 1) if length > 0 else np.zeros(len(x))
+    return np.hypot(x - x1 - t * dx, y - y1 - t * dy)
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
+def _simplified(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
+    def one(line, most):
+        if line is None:
+            return None
+        x, y = (np.array([p[c] for p in line], float) for c in ("x", "y"))
+        return [{"x": x[i], "y": y[i]} for i in simplified_corners(x, y, most)]
+
+    return pd.Series([one(line, most) for line, most in zip(lines, tolerance, strict=True)])

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import linkage_name, parse_address
+
 
 def jaro_winkler_of(a: str, b: str, weight: float = 0.1, most: int = 4) -> float:
     """Jaro similarity raised by the common prefix (at most four characters), whatever the Jaro similarity is."""
@@ -71,23 +73,29 @@ SOUND_CLASSES = {"BFPV": "1", "CGJKQSXZ": "2", "DT": "3", "L": "4", "MN": "5", "
 
 
 def phonetic_key(c: Column) -> Column:
-    """A letter and three digits: the first letter, then the classes of the others, repeats in a row once.
+    """A letter and three digits: the first character of a word, then the classes of the others, repeats in a row once.
 
-    Unlike F.soundex, the first letter's own class doesn't silence the next letter, and vowels don't part repeats. Texts
-    without a letter give XXXX.
+    Unlike F.soundex, the first letter's own class doesn't silence the next letter, and vowels don't part repeats. The empty
+    word gives 0000.
     """
-    letters = F.regexp_replace(F.upper(c), r"[^A-Z]", "")
+    word = F.upper(c)
     table = F.create_map(*[F.lit(x) for group, digit in SOUND_CLASSES.items() for letter in group for x in (letter, digit)])
-    digits = F.filter(F.transform(F.filter(F.split(F.substring(letters, 2, 1 << 20), ""), lambda x: x != ""), lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull())
+    rest = F.filter(F.split(F.substring(word, 2, 1 << 20), ""), lambda x: x != "")
+    digits = F.filter(F.transform(rest, lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull())
     once = F.filter(digits, lambda d, i: (i == 0) | (d != F.get(digits, i - 1)))
-    return F.when(letters == "", F.lit("XXXX")).otherwise(F.concat(F.substring(letters, 1, 1), F.rpad(F.array_join(F.slice(once, 1, 3), ""), 3, "0")))
+    return F.when(word == "", F.lit("0000")).otherwise(F.concat(F.substring(word, 1, 1), F.rpad(F.array_join(F.slice(once, 1, 3), ""), 3, "0")))
 
 
 def block_keys(name: Column) -> Column:
-    """The phonetic keys of the first two words over two letters, joined; XXXX if there is none."""
-    words = F.filter(F.split(F.trim(F.regexp_replace(F.upper(name), r"[^A-Z]+", " ")), " "), lambda w: F.length(w) > 2)
-    first = lambda i: phonetic_key(F.get(words, F.lit(i)))
-    return F.when(F.size(words) == 0, F.lit("XXXX")).otherwise(F.concat_ws("-", first(0), F.when(F.size(words) > 1, first(1))))
+    """The phonetic keys of the first two words of over two letters of the linkage_name, joined by a bar; XXXX if there is none."""
+    words = F.filter(F.split(linkage_name(name), " "), lambda w: F.length(w) > 2)
+    return F.when(F.size(words) == 0, F.lit("XXXX")).otherwise(F.array_join(F.transform(F.slice(words, 1, 2), phonetic_key), "|"))
+
+
+def street_block_key(address: Column) -> Column:
+    """The phonetic key of the first word of an address's street name; XXXX if there is none."""
+    first = F.substring_index(parse_address(address)["stem"], " ", 1)
+    return F.coalesce(phonetic_key(first), F.lit("XXXX"))
 
 
 # Words of an organisation's name that say nothing, and words that tell its page.

@@ -5,30 +5,33 @@ Null in gives null out unless said otherwise; texts that become empty become nul
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Legal words that end or fill names.
 LEGAL_WORDS = ("INC", "LLC", "CORP", "CORPORATION", "ORG")
 
-# Street abbreviations, spelled out.
-STREET_WORDS = {
-    "AVE": "AVENUE", "AV": "AVENUE", "BLVD": "BOULEVARD", "CT": "COURT", "DR": "DRIVE", "HWY": "HIGHWAY", "LN": "LANE",
-    "PKWY": "PARKWAY", "PL": "PLACE", "RD": "ROAD", "SQ": "SQUARE", "ST": "STREET", "TER": "TERRACE",
-}
-DIRECTIONS = {"N": "NORTH", "S": "SOUTH", "E": "EAST", "W": "WEST", "NE": "NORTHEAST", "NW": "NORTHWEST", "SE": "SOUTHEAST", "SW": "SOUTHWEST"}
+# Words that end a street's name, and directions before it.
+STREET_SUFFIXES = ("AVENUE", "STREET", "BOULEVARD", "ROAD", "DRIVE", "PLACE", "COURT", "LANE", "TERRACE", "PARKWAY", "SQUARE")
+DIRECTIONS = ("NORTH", "SOUTH", "EAST", "WEST")
 
-# Unicode ranges of scripts, in the order in which they are tried.
+# Scripts and their Unicode ranges, in the order in which they are listed.
 SCRIPTS = {
-    "cyrillic": r"Ѐ-ԯ", "greek": r"Ͱ-Ͽ", "arabic": r"؀-ۿ", "hebrew": r"֐-׿",
-    "devanagari": r"ऀ-ॿ", "bengali": r"ঀ-৿", "gurmukhi": r"਀-੿", "gujarati": r"઀-૿",
-    "tamil": r"஀-௿", "telugu": r"ఀ-౿", "kannada": r"ಀ-೿", "malayalam": r"ഀ-ൿ",
-    "sinhala": r"඀-෿", "thai": r"฀-๿", "lao": r"຀-໿", "georgian": r"Ⴀ-ჿ",
-    "armenian": r"԰-֏", "ethiopic": r"ሀ-፿", "khmer": r"ក-៿", "hangul": r"가-힯",
-    "kana": r"぀-ヿ", "han": r"一-鿿",
+    "Cyrillic": "\u0400-\u04FF", "Greek": "\u0370-\u03FF", "Arabic": "\u0600-\u06FF", "Hebrew": "\u0590-\u05FF",
+    "CJK": "\u4E00-\u9FFF\u3400-\u4DBF", "Hiragana": "\u3040-\u309F", "Katakana": "\u30A0-\u30FF", "Hangul": "\uAC00-\uD7AF",
+    "Thai": "\u0E00-\u0E7F", "Tamil": "\u0B80-\u0BFF", "Gurmukhi": "\u0A00-\u0A7F", "Bengali": "\u0980-\u09FF",
+    "Devanagari": "\u0900-\u097F", "Georgian": "\u10A0-\u10FF", "Armenian": "\u0530-\u058F", "Myanmar": "\u1000-\u109F",
+    "Khmer": "\u1780-\u17FF", "Lao": "\u0E80-\u0EFF", "Sinhala": "\u0D80-\u0DFF", "Tibetan": "\u0F00-\u0FFF", "Ethiopic": "\u1200-\u137F",
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def null_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -44,8 +47,8 @@ def clean_text(c: Column) -> Column:
 
 
 def clean_label(c: Column) -> Column:
-    """clean_text, with doubled apostrophes halved and a code in parentheses at the end, as (X20), dropped."""
-    return clean_text(F.regexp_replace(F.regexp_replace(clean_text(c), "''", "'"), r"\s*\([A-Z]\d{1,3}\)\s*$", ""))
+    """clean_text, with doubled apostrophes halved and a code of capitals and digits in parentheses at the end, as (X20), dropped."""
+    return F.trim(F.regexp_replace(F.regexp_replace(clean_text(c), "''", "'"), r"\s*\([A-Z0-9]+\)\s*$", ""))
 
 
 def clean_name(c: Column) -> Column:
@@ -170,18 +173,32 @@ def email_score(email: Column) -> Column:
 
 
 def parse_address(c: Column) -> Column:
-    """A struct (number, direction, stem, suffix) of a street address; parts that are missing are null."""
-    flat = squeeze(F.regexp_replace(F.upper(c), r"[^A-Z0-9 ]+", " "))
-    number = null_if_empty(F.regexp_extract(flat, r"^(\d+[A-Z]?)\b", 1))
-    rest = F.trim(F.regexp_replace(flat, r"^\d+[A-Z]?\b", ""))
-    directions = expand_words(F.regexp_extract(rest, rf"^({'|'.join([*DIRECTIONS.values(), *DIRECTIONS])})\s+\S", 1), DIRECTIONS)
-    stem = F.trim(F.when(directions != "", F.regexp_replace(rest, r"^\S+\s+", "")).otherwise(rest))
-    last = expand_words(F.substring_index(stem, " ", -1), STREET_WORDS)
-    has = last.isin(*sorted(set(STREET_WORDS.values())))
-    return F.struct(
-        number.alias("number"), null_if_empty(directions).alias("direction"),
-        null_if_empty(F.when(has, F.regexp_replace(stem, r"\s*\S+$", "")).otherwise(stem)).alias("stem"), F.when(has, last).alias("suffix"),
-    )
+    """A struct (number, direction, stem, suffix) of a street address; parts that are missing are null.
+
+    Words are those of linkage_name, so that the same abbreviations are spelled out in every place, and no others.
+    """
+    first, last = lambda ws: F.get(ws, F.lit(0)), lambda ws: F.get(ws, F.size(ws) - 1)
+    after = lambda ws, found: F.when(found.isNotNull(), F.slice(ws, F.lit(2), F.size(ws))).otherwise(ws)
+
+    def ended(ws: Column, number: Column, direction: Column) -> Column:
+        suffix = F.when(last(ws).isin(*STREET_SUFFIXES), last(ws))
+        stem = F.when(suffix.isNotNull(), F.slice(ws, F.lit(1), F.size(ws) - 1)).otherwise(ws)
+        return F.struct(number.alias("number"), direction.alias("direction"), null_if_empty(F.array_join(stem, " ")).alias("stem"), suffix.alias("suffix"))
+
+    def directed(ws: Column, number: Column) -> Column:
+        direction = F.when(first(ws).isin(*DIRECTIONS), first(ws))
+        return let(after(ws, direction), lambda rest: ended(rest, number, direction))
+
+    def numbered(ws: Column) -> Column:
+        number = F.when(first(ws).rlike(r"^\d+[A-Z]?$"), first(ws))
+        return let(after(ws, number), lambda rest: directed(rest, number))
+
+    return let(F.filter(F.split(linkage_name(c), " "), lambda w: w != ""), numbered)
+
+
+def address_key(parsed: Column) -> Column:
+    """The four parts of a parsed address in one text, parted by bars; missing parts are empty."""
+    return F.concat_ws("|", *[F.coalesce(parsed[p], F.lit("")) for p in ("number", "direction", "stem", "suffix")])
 
 
 def same_address(a: Column, b: Column) -> Column:
@@ -205,22 +222,33 @@ def split_city_state(c: Column) -> Column:
 
 
 def split_address_line(c: Column) -> Column:
-    """A struct (street, city, state, zip) of `street, city, ST 12345[-6789]`, read from the right."""
-    code = F.regexp_extract(c, r"(\d{5})(?:-\d{4})?\s*$", 1)
-    rest = F.regexp_replace(c, r"[\s,]*\d{5}(?:-\d{4})?\s*$", "")
-    state = F.upper(F.regexp_extract(rest, r"[\s,]([A-Za-z]{2})\s*$", 1))
-    rest = F.when(state != "", F.regexp_replace(rest, r"[\s,]+[A-Za-z]{2}\s*$", "")).otherwise(rest)
-    many = rest.contains(",")
-    city = F.when(many, F.trim(F.substring_index(rest, ",", -1))).otherwise(F.trim(rest))
-    return F.struct(null_if_empty(F.when(many, F.trim(F.regexp_replace(rest, r",[^,]*$", "")))).alias("street"), null_if_empty(city).alias("city"), null_if_empty(state).alias("state"), null_if_empty(code).alias("zip"))
-
-
-def script_of(c: Column) -> Column:
-    """The first listed script of which the text holds a character, `latin` for other letters, else null."""
-    out = F.when(c.isNull(), F.lit(None).cast("string"))
-    for name, span in SCRIPTS.items():
-        out = out.when(c.rlike(f"[{span}]"), F.lit(name))
-    return out.when(c.rlike(r"\p{L}"), F.lit("latin"))
+    """A struct (street, city, state, zip) of `street, city, ST, 12345[-6789]`.
+
+    Parts between commas: the street is the first, the ZIP the last if it is one, then the state the last of the others if it
+    is two capitals, and the city the second of what is left. Nulls and texts without a part give four nulls.
+    """
+    last = lambda a: F.get(a, F.size(a) - 1)
+    before = lambda a, found: F.when(found.isNotNull(), F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a)
+
+    def named(rest: Column, street: Column, state: Column, code: Column) -> Column:
+        city = F.when(F.size(rest) > 1, F.get(rest, F.lit(1))).when(F.get(rest, F.lit(0)) != street, F.get(rest, F.lit(0)))
+        return F.struct(street.alias("street"), city.alias("city"), state.alias("state"), code.alias("zip"))
+
+    def stated(rest: Column, street: Column, code: Column) -> Column:
+        state = F.when(last(rest).rlike(r"^[A-Z]{2}$"), last(rest))
+        return let(before(rest, state), lambda others: named(others, street, state, code))
+
+    def coded(parts: Column) -> Column:
+        code = F.when(last(parts).rlike(r"^\d{5}(-\d{4})?$"), F.substring(last(parts), 1, 5))
+        return let(before(parts, code), lambda rest: stated(rest, F.get(parts, F.lit(0)), code))
+
+    split = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
+    return let(split, coded)
+
+
+def scripts_in(c: Column) -> Column:
+    """The listed scripts of which the text holds a character, in the order of the list; empty for Latin text."""
+    return F.array_compact(F.array(*[F.when(c.rlike(f"[{span}]"), F.lit(name)) for name, span in SCRIPTS.items()]))
 
 
 def list_items(c: Column) -> Column:

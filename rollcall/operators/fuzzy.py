@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import sequence_ratio
+from ..functions.text import let
 
 #: Left rows of one item and block that one task compares with the right rows of it.
 CROWD = 5_000
@@ -23,8 +24,7 @@ MOST_ITEMS = 200_000
 
 def as_set(items: Column) -> Column:
     """A multiset as a set: every item with the number of equal ones before it. Quadratic in the number of items: for names."""
-    ordered = F.array_sort(items)
-    return F.transform(ordered, lambda g, i: F.concat(g, F.lit("\x01"), (i - F.array_position(ordered, g)).cast("string")))
+    return let(F.array_sort(items), lambda ordered: F.transform(ordered, lambda g, i: F.concat(g, F.lit("\x01"), (i - F.array_position(ordered, g)).cast("string"))))
 
 
 def letter_grams(text: Column, q: int) -> Column:

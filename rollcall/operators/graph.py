@@ -133,9 +133,10 @@ def paths(tree: DataFrame, id_col: str, parent: str, name: str, separator: str =
 
 def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str, *, depth: str | None = None, members: DataFrame | None = None) -> DataFrame:
     """(issue, id): orphans, self-parents, siblings of one name, names that nodes under other parents have, names equal to the
-    parent's, nodes no root reaches; with depth (a column) stored depths that differ from those of the tree, roots at 0;
-    with members (a table with id_col) leaves that no member names. Null names are no issue."""
-    t = tree.select(F.col(id_col).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("name"), *([F.col(depth).alias("depth")] if depth else []))
+    parent's, nodes no root reaches; with depth (a column) stored depths that differ from those of the tree, roots and orphans
+    at 0; with members (a table with id_col) leaves that no member names. Names are compared trimmed and in lower case; null
+    names are no issue."""
+    t = tree.select(F.col(id_col).alias("id"), F.col(parent).alias("parent"), F.lower(F.trim(name)).alias("name"), *([F.col(depth).alias("depth")] if depth else []))
     p = t.select(F.col("id").alias("pid"), F.col("name").alias("pname"))
     joined = t.join(p, F.col("parent") == F.col("pid"), "left")
     issue = lambda text, df: df.select(F.lit(text).alias("issue"), "id")
@@ -149,7 +150,10 @@ def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str, *, depth: s
     reached = depths(tree, id_col, parent).select(F.col(id_col).alias("id"), F.col("depth").alias("real"))
     found = found.unionByName(issue("unreachable", t.join(reached, "id", "left_anti")))
     if depth:
-        found = found.unionByName(issue("depth_mismatch", t.join(reached, "id").where("NOT (depth <=> real)")))
+        # an orphan begins a tree of its own
+        rooted = joined.select(F.col("id").alias(id_col), F.when(F.col("pid").isNotNull(), F.col("parent")).alias(parent))
+        real = depths(rooted, id_col, parent).select(F.col(id_col).alias("id"), F.col("depth").alias("real"))
+        found = found.unionByName(issue("depth_mismatch", t.join(real, "id").where("NOT (depth <=> real)")))
     if members is not None:
         leaves = t.join(t.select(F.col("parent").alias("id")).where("id IS NOT NULL"), "id", "left_anti")
         found = found.unionByName(issue("empty", leaves.join(members.select(F.col(id_col).alias("id")).where("id IS NOT NULL"), "id", "left_anti")))

@@ -213,12 +213,6 @@ def tree_closure(spark: SparkSession, d: str) -> DataFrame:
     return graph.ancestors(tree, "id", "parent").groupBy("ancestor").agg(F.count(F.lit(1)).alias("subtree"), F.max("distance").cast("long").alias("height"))
 
 
-@query("phonetic_blocks")
-def phonetic_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Block keys of part names, with how many names share each."""
-    return table(spark, d, "part").groupBy(similarity.block_keys(F.col("p_name")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("similar_types", """WITH n AS (SELECT DISTINCT p_name AS t, string_split(p_name, ' ') AS w FROM part), k AS (SELECT t, unnest([concat_ws(' ', '01', w[1], w[2]), concat_ws(' ', '02', w[1], w[3]), concat_ws(' ', '12', w[2], w[3])]) AS k FROM n),
     p AS (SELECT DISTINCT a.t AS t, b.t AS other FROM k a JOIN k b ON a.k = b.k AND a.t < b.t) SELECT t, other, round(jaro_winkler_similarity(t, other), 6) AS score FROM p WHERE jaro_winkler_similarity(t, other) >= 0.82""")
 def similar_types(spark: SparkSession, d: str) -> DataFrame:

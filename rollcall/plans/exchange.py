@@ -289,26 +289,6 @@ def pending_work(spark: SparkSession, d: str) -> DataFrame:
     return left.select(F.lit("pending").alias("kind"), F.col("c_custkey").cast("string").alias("k"), F.lit(None).cast("long").alias("n"))
 
 
-SCRIPTS = [("Храм Божий", "cyrillic"), ("Ναός", "greek"), ("كنيسة", "arabic"), ("教会", "han"), ("교회", "hangul"), ("カトリック", "kana"), ("Grace", "latin"), ("ไทย", "thai"), ("12 !", None), (None, None)]
-
-
-@query("scripts", stated(["raw", "script"], SCRIPTS))
-def scripts(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "raw string", [(r[0],) for r in SCRIPTS]).select("raw", text.script_of(F.col("raw")).alias("script"))
-
-
-LINES = [
-    ("1 Oak Ave, Springfield, IL 62704-1000", "1 Oak Ave", "Springfield", "IL", "62704"), ("Gary, in 46401", None, "Gary", "IN", "46401"), ("12 Elm, Flat 3, Ohio City, OH", "12 Elm, Flat 3", "Ohio City", "OH", None),
-    ("Nowhere", None, "Nowhere", None, None), (None, None, None, None, None),
-]
-
-
-@query("address_lines", stated(["raw", "street", "city", "state", "zip"], LINES))
-def address_lines(spark: SparkSession, d: str) -> DataFrame:
-    x = text.split_address_line(F.col("raw"))
-    return given(spark, "raw string", [(r[0],) for r in LINES]).select("raw", *[x[c].alias(c) for c in ("street", "city", "state", "zip")])
-
-
 @query("page_contacts", stated(["id", "emails", "phones", "plain"], [(1, "a@b.org;c.d@e.co.uk", "(312) 555-0199;(800) 555-0100", "Write a@b.org, A@B.org or c.d@e.co.uk"), (2, "", "", "x < y & z"), (3, None, None, None)]))
 def page_contacts(spark: SparkSession, d: str) -> DataFrame:
     pages = given(spark, "id long, html string, loose string", [(1, "<p>Write a@b.org, A@B.org</p> or <b>c.d@e.co.uk</b><script>no@no.org</script>", "312-555-0199 or 1 (800) 555-0100, logo@2x.png"), (2, "x &lt; y &amp; z", ""), (3, None, None)])

@@ -239,15 +239,3 @@ SCORES = [
 @query("name_similarity", stated(["a", "b", "score"], SCORES))
 def name_similarity(spark: SparkSession, d: str) -> DataFrame:
     return given(spark, "a string, b string", [r[:2] for r in SCORES]).select("a", "b", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6).alias("score"))
-
-
-SPLITS = [
-    ("1200 N. Main St.", "1200", "NORTH", "MAIN", "STREET"), ("12B West Oak Ave", "12B", "WEST", "OAK", "AVENUE"), ("Broadway", None, None, "BROADWAY", None),
-    ("44 Park", "44", None, "PARK", None), ("E Street", None, "EAST", None, "STREET"), ("", None, None, None, None), (None, None, None, None, None),
-]
-
-
-@query("address_parts", stated(["raw", "number", "direction", "stem", "suffix"], SPLITS))
-def address_parts(spark: SparkSession, d: str) -> DataFrame:
-    x = text.parse_address(F.col("raw"))
-    return given(spark, "raw string", [(r[0],) for r in SPLITS]).select("raw", *[x[c].alias(c) for c in ("number", "direction", "stem", "suffix")])

@@ -23,21 +23,28 @@ def one(spark, column, *values):
         (text.clean_text, "  a   b ,; ", "a b"), (text.clean_label, "Friends ''Old'' (X20)", "Friends 'Old'"), (text.clean_name, "Grace (North) Chapel Inc. LLC", "Grace Chapel"),
         (text.clean_domain, "HTTPS://www.Example.org:80/a?b", "example.org"), (text.clean_phone, "1-312-555-0199", "(312) 555-0199"), (text.clean_phone, " 555-0199 ", "555-0199"),
         (text.clean_zip, "60614-1234", "60614"), (text.zip_key, "1234-55", "01234"), (text.clean_email, "mailto:<A@B.org>", "a@b.org"), (text.clean_email, "bad", "bad"),
-        (text.match_name, "The Hope Inc", "HOPE"), (text.without_po_box, "Hall, PO Box 9, Town, IL, 60000", "Town, IL, 60000"), (text.script_of, "Храм", "cyrillic"), (text.script_of, "Hall", "latin"),
+        (text.match_name, "The Hope Inc", "HOPE"), (text.without_po_box, "Hall, PO Box 9, Town, IL, 60000", "Town, IL, 60000"), (text.scripts_in, "Храм カ教会 ひ", ["Cyrillic", "CJK", "Hiragana", "Katakana"]), (text.scripts_in, "Hall", []),
+        (text.scripts_in, "\u1000 \u0f40 \u3400", ["CJK", "Myanmar", "Tibetan"]), (text.clean_label, "Old (ABC) ;", "Old"), (text.clean_label, "Old (2010)", "Old"), (text.clean_label, "Old (a1)", "Old (a1)"),
         (text.strip_tags, "<p>a&amp;b</p><script>x</script> c", "a&b c"), (text.ensure_url, "x.org", "https://x.org"), (text.mailbox_score, "noreply", 0.0), (similarity.phonetic_key, "Robert", "R163"),
-        (similarity.block_keys, "12 of", "XXXX"), (text.linkage_name, "St. Mary Ch", "STREET MARY CHURCH"),
+        (similarity.block_keys, "12 of", "XXXX"), (similarity.block_keys, "St. Mark", "S363|M620"), (similarity.block_keys, "Mt Zion Ch", "M530|Z500"), (similarity.phonetic_key, "", "0000"),
+        (similarity.street_block_key, "12 N. Mt Oak Rd", "M530"), (similarity.street_block_key, "12", "XXXX"), (text.linkage_name, "St. Mary Ch", "STREET MARY CHURCH"),
     ],
 )
 def test_text(spark, column, value, want):
     assert one(spark, column, value) == want
-    assert one(spark, column, None) is None or column in (similarity.block_keys, text.linkage_name, text.mailbox_score)
+    assert one(spark, column, None) is None or column in (similarity.block_keys, text.linkage_name, text.mailbox_score, text.scripts_in, similarity.street_block_key)
 
 
 def test_structs(spark):
     a = one(spark, text.parse_address, "1200 N. Main St.")
     assert (a["number"], a["direction"], a["stem"], a["suffix"]) == ("1200", "NORTH", "MAIN", "STREET")
-    line = one(spark, text.split_address_line, "1 Oak Ave, Springfield, IL 62704-1000")
-    assert tuple(line) == ("1 Oak Ave", "Springfield", "IL", "62704")
+    for raw, parts in (("12B West Oak Ave", ("12B", "WEST", "OAK", "AVENUE")), ("Broadway", (None, None, "BROADWAY", None)), ("12 NE Oak Rd", ("12", None, "NE OAK RD", None)), ("E Mt Road", (None, "EAST", "MOUNT", "ROAD")), ("E Street", (None, "EAST", None, "STREET")), ("", (None,) * 4)):
+        assert tuple(one(spark, text.parse_address, raw)) == parts
+    for raw, parts in (
+        ("1200 SWINGINGDALE DR, COLUMBIA, SC, 29210", ("1200 SWINGINGDALE DR", "COLUMBIA", "SC", "29210")), ("12 Elm, Flat 3, Ohio City, OH", ("12 Elm", "Flat 3", "OH", None)), ("Nowhere", ("Nowhere", None, None, None)),
+        ("1 Oak Ave, Springfield, IL 62704-1000", ("1 Oak Ave", "Springfield", None, None)), ("1 Oak,, IL , 62704-1000", ("1 Oak", None, "IL", "62704")), ("46401", ("46401", None, None, "46401")), (" , ", (None,) * 4),
+    ):
+        assert tuple(one(spark, text.split_address_line, raw)) == parts
     assert tuple(one(spark, text.split_city_state, "Gary, in")) == ("Gary", "IN")
     assert tuple(one(spark, text.phone_e164, "(312) 555-0199")) == ("+13125550199", 1.0)
     assert one(spark, text.emails_in, "Write a@b.org, A@B.org or logo@2x.png") == ["a@b.org"]
@@ -118,9 +125,9 @@ def test_components_are_those_of_union_find(spark):
 
 
 def test_tree_audit(spark):
-    tree = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 1, "b"), (4, 9, "c"), (5, 5, "d"), (6, 1, "a")], "id long, parent long, name string")
+    tree = spark.createDataFrame([(1, None, " A"), (2, 1, "b"), (3, 1, "B "), (4, 9, "c"), (5, 5, "d"), (6, 1, "a")], "id long, parent long, name string")
     found = {(r["issue"], r["id"]) for r in graph.audit_tree(tree, "id", "parent", "name").collect()}
-    assert found == {("orphan", 4), ("self_parent", 5), ("same_as_parent", 6), ("duplicate_sibling", 2), ("duplicate_sibling", 3), ("unreachable", 4), ("unreachable", 5)}
+    assert found == {("orphan", 4), ("self_parent", 5), ("same_as_parent", 6), ("name_elsewhere", 1), ("name_elsewhere", 6), ("duplicate_sibling", 2), ("duplicate_sibling", 3), ("unreachable", 4), ("unreachable", 5)}
 
 
 def test_ambiguous_links_are_held(spark):
