@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,13 +19,13 @@ from pyspark.sql import functions as F
 from ._common import materialize
 from ._lcs import common_places
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|object|select|canvas|noembed|noframes|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
-    re.S | re.I,
-)
+#: A tag whose quotes close before another tag begins or ends: what almost all are. No part of it can be matched in two ways.
+TAG = re.compile(r"""</?([a-zA-Z][\w:-]*)(?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+>""")
 NAME = re.compile(r"</?([a-zA-Z][\w:-]*)")
+STOP = re.compile(r"""[>"']""")
+#: Elements whose content is no markup.
+RAW = frozenset("script style noscript template textarea title iframe svg math object select canvas noembed noframes xmp".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>/=])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
@@ -43,6 +44,55 @@ TEXTUAL = frozenset("header masthead form notice notices alert legal copyright b
 OPTIONAL_END = frozenset("p li dt dd tr td th option".split())
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, name) of the markup of a page, in one pass: the name of a tag in lower case, with / before that of an end tag
+    and + before that of an element whose content is no markup, which is part of the token; empty for comments and declarations.
+
+    Quotes in a tag may hold angle brackets. A tag with a quote that never closes ends at its first >; one without any > is text,
+    as is a < that begins no tag. Quotes that lead nowhere are remembered, so that no piece of a broken page is read again
+    and again.
+    """
+    last = {c: page.rfind(c) for c in ">\"'"}
+    lost: set[int] = set()  # opening quotes after which no tag ends
+
+    def tag_end(i: int) -> int:
+        passed = []
+        while i <= last[">"]:
+            m = STOP.search(page, i)
+            if m.group() == ">":
+                return m.end()
+            at = m.start()
+            if at in lost or last[m.group()] == at:
+                break
+            passed.append(at)
+            i = page.find(m.group(), at + 1) + 1
+        lost.update(passed)
+        return 0
+
+    at = page.find("<")
+    while at >= 0:
+        end, name = 0, ""
+        m = TAG.match(page, at)
+        if m:
+            end = m.end()
+        elif page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
+            close = "-->" if page[at + 2] == "-" else "]]>"
+            found = page.find(close, at)
+            end = found + len(close) if found >= 0 else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            end = page.find(">", at) + 1 if at < last[">"] else 0
+        elif (m := NAME.match(page, at)) is not None:
+            end = tag_end(m.end()) or (page.find(">", at) + 1 if at < last[">"] else 0)
+        if end:
+            if m:
+                name = ("/" if page[at + 1] == "/" else "") + m.group(1).lower()
+                if name in RAW:
+                    close = RAW_END[name].search(page, end)
+                    end, name = close.end() if close else len(page), f"+{name}"
+            yield at, end, name
+        at = page.find("<", end or at + 1)
+
+
 OUTSIDE, INSIDE, DOUBTFUL = 0, 1, 2
 
 
@@ -81,29 +131,30 @@ def parse(page: str) -> tuple[list[str], list[int]]:
             named.pop()
 
     at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at and skip_at < 0:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        tag = m.group()
-        if m.group(1) is not None or tag[1] in "!?":
-            if m.group(1) is not None and m.group(1).lower() in {"title", "textarea", "iframe", "select", "object", "noscript"}:
+    opened: Counter[str] = Counter()  # how often each name is on the stack
+    for start, end, name in tokens(page):
+        if start > at and skip_at < 0:
+            parts.append(page[at:start])
+        at = end
+        if name[:1] in ("", "+"):
+            if name in {"+title", "+textarea", "+iframe", "+select", "+object", "+noscript"}:
                 flush()
             continue
-        name = NAME.match(tag).group(1).lower()
+        tag, closing, name = page[start:end], name[0] == "/", name.lstrip("/")
         if name not in INLINE:
             if skip_at < 0:
                 flush()
             else:
                 parts.clear()
-        if tag[1] == "/":
-            if name in stack:
+        if closing:
+            if opened[name]:
                 while stack:
                     top = stack.pop()
+                    opened[top] -= 1
                     close(len(stack))
                     if top == name:
                         break
-                if name == "article" and "article" not in stack:
+                if name == "article" and not opened["article"]:
                     article = 0
                 if name == "main":
                     main = 0
@@ -111,7 +162,7 @@ def parse(page: str) -> tuple[list[str], list[int]]:
         if name in VOID or tag.endswith("/>"):
             continue
         if name in OPTIONAL_END and stack and stack[-1] == name:
-            stack.pop()
+            opened[stack.pop()] -= 1
             close(len(stack))
         if skip_at < 0:
             if name not in {"html", "body"} and HIDDEN.search(tag) or name in FURNITURE and name != "form" or name == "header" and not article:
@@ -134,6 +185,7 @@ def parse(page: str) -> tuple[list[str], list[int]]:
                     named.append((len(stack), len(sure)))
                     sure.append(told == SURE)
         stack.append(name)
+        opened[name] += 1
     if skip_at < 0:
         parts.append(page[at:])
     flush()

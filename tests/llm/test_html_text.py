@@ -1,6 +1,9 @@
 """Main text by differencing neighbours, against an alignment by brute force and on sites without any telling tag."""
 
 import random
+import time
+
+import pytest
 
 from rollcall.llm import html_text
 from rollcall.llm._lcs import common_length, common_places
@@ -58,3 +61,35 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, "http://a.org/1", long, "x", 1), (None, None, None, "y", 2), (2, "http://a.org/1", "", None, 3)], "page_id long, url string, html string, text string, rid long")
     out = {r["page_id"]: r["n_chars"] for r in html_text.extract_main_text(df).collect()}
     assert out == {1: len(" ".join(f"line {k}" for k in range(50_000))), None: 0, 2: 0}
+
+
+def text_of(page):
+    lines, inside = html_text.parse(page)
+    return " ".join(x for x, k in zip(lines, html_text.kept_lines(lines, inside, [0] * len(lines), 0), strict=True) if k)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<p>one</p><a href="x>two</a><p>three</p>', "one two three"),
+        ("<p>a < b and c > d</p>", "a < b and c > d"),
+        ('<p title="a > b">one</p><p title=\'<p>\'>two</p>', "one two"),
+        ("<p>one</p><p two", "one <p two"),
+        ("<p>one<!-- two </p><p>three", "one"),
+        ("<p>one<!-- two --></p><!DOCTYPE x><?php y ?><p>three<![CDATA[ four ]]></p>", "one three"),
+        ("<script>if (a < b) { '</p>' }</script  ><p>one</p><style>p > a {}", "one"),
+        ('<a \'"><p>one</p><b "x\'>two</b>', "two"),
+        ("<div></div></div></p></x><p>one</p></html><p>two", "one two"),
+        ("<><p>one</p></><p>two</p><3", "<> one </> two <3"),
+    ],
+)
+def test_broken_markup(html, text):
+    assert text_of(html) == text
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a '\">", "<!", "<?x", '<a "x>" <b', "</div", "<script", "<a href='\"", "<div>", '<p class="', "<a '<b \">\" '>", "<!-- ", '<b"><i\'>', "<p", "<div></x>"])
+def test_broken_pages_take_time_in_proportion(unit):
+    """A megabyte or so of the worst pieces, on which patterns that go back and forth take hours."""
+    start = time.process_time()
+    html_text.parse(unit * (1_000_000 // len(unit)) + "'")
+    assert time.process_time() - start < 60
