@@ -12,6 +12,7 @@ from ..functions import geo, rules, similarity, text
 from ..operators import dml, graph, linkage, spatial
 from ..streaming import increments
 from .registry import query, table
+from .shapes import WINKLER
 
 LAT, LON = "(({k} * 37) % 1200) / 10.0 - 60", "(({k} * 101) % 3600) / 10.0 - 180"
 KM = "2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"
@@ -214,15 +215,15 @@ def tree_closure(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("similar_types", """WITH n AS (SELECT DISTINCT p_name AS t, string_split(p_name, ' ') AS w FROM part), k AS (SELECT t, unnest([concat_ws(' ', '01', w[1], w[2]), concat_ws(' ', '02', w[1], w[3]), concat_ws(' ', '12', w[2], w[3])]) AS k FROM n),
-    p AS (SELECT DISTINCT a.t AS t, b.t AS other FROM k a JOIN k b ON a.k = b.k AND a.t < b.t) SELECT t, other, round(jaro_winkler_similarity(t, other), 6) AS score FROM p WHERE jaro_winkler_similarity(t, other) >= 0.82""")
+    p AS (SELECT DISTINCT a.t AS t, b.t AS other FROM k a JOIN k b ON a.k = b.k AND a.t < b.t) SELECT t, other, score FROM (SELECT t, other, round(""" + WINKLER.format(a="t", b="other") + """, 6)::DOUBLE AS score FROM p) WHERE score >= 0.7""")
 def similar_types(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of distinct part names that share two words of three, with their Jaro-Winkler similarity from 0.82 on (where both ways to raise it agree)."""
+    """Pairs of distinct part names that share two words of three, with their Jaro-Winkler similarity from 0.7 on."""
     types = table(spark, d, "part").select(F.col("p_name").alias("t")).distinct()
     words: Column = F.split("t", " ")
     pair = lambda i, j: F.concat_ws(" ", F.lit(f"{i}{j}"), F.get(words, F.lit(i)), F.get(words, F.lit(j)))
     keyed = types.select("t", F.explode(F.array(pair(0, 1), pair(0, 2), pair(1, 2))).alias("k"))
     pairs = keyed.join(keyed.select(F.col("t").alias("other"), "k"), "k").where("t < other").select("t", "other").distinct()
-    return pairs.select("t", "other", F.round(similarity.jaro_winkler(F.col("t"), F.col("other")), 6).alias("score")).where("score >= 0.82")
+    return pairs.select("t", "other", F.round(similarity.jaro_winkler(F.col("t"), F.col("other")), 6).alias("score")).where("score >= 0.7")
 
 
 @query("latest_change", """SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1""")

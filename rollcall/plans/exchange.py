@@ -7,13 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geo, text
-from ..operators import dml, graph, linkage, spatial
+from ..operators import dml, linkage, spatial
 from ..operators.settled import shared_dir
 from ..sources import files
 from ..streaming import increments
 from .curation import KM, _places, _points, _squares
-from .registry import given, query, stated, table
+from .registry import query, stated, table
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -37,23 +36,6 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_delimited(spark, path, "id long, name string, price double")
 
 
-@query("csv_dialects", stated(["kind", "id", "name"], [("bom", 1, "Zoë"), ("bom", 2, None), ("latin", 1, "Zoë"), ("tabs", 3, "a, b"), ("tabs", None, "x")]))
-def csv_dialects(spark: SparkSession, d: str) -> DataFrame:
-    """A byte-order mark, padded headers, Latin-1, tabs, and a value that is no number."""
-    out = None
-    for kind, body, options in (
-        ("bom", "﻿id, name \n1,Zoë\n2,\n", {}),
-        ("latin", "id,name\n1,Zoë\n", {"encoding": "ISO-8859-1"}),
-        ("tabs", " id\tname\n3\ta, b\nfour\tx\n", {"sep": "\t"}),
-    ):
-        path = _folder(spark, kind)
-        writer = given(spark, "value string", [(body.rstrip("\n"),)]).coalesce(1).write.option("encoding", options.get("encoding", "UTF-8"))
-        writer.text(path) if kind != "latin" else _write_bytes(spark, path, body.encode("latin-1"))
-        part = files.read_delimited(spark, path, "id long, name string", **options).select(F.lit(kind).alias("kind"), "id", "name")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def _write_bytes(spark: SparkSession, path: str, body: bytes) -> None:
     """One small file in a shared folder, through Spark's own file system."""
     jvm = spark._jvm
@@ -118,24 +100,6 @@ def feature_collections(spark: SparkSession, d: str) -> DataFrame:
     return files.read_geojson_points(spark, path, "id: long").select("id", "lon", "lat")
 
 
-SHAPES = '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"id":1},"geometry":{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[0,0]],[[1,0.5],[2,0.5],[2,1],[1,0.5]]]}},{"type":"Feature","properties":{"id":2},"geometry":{"type":"MultiPolygon","coordinates":[[[[9,9],[9.5,9],[9,9.5],[9,9]]],[[[7,7],[8,7],[7,8],[7,7]]]]}},{"type":"Feature","properties":{"id":3},"geometry":{"type":"Point","coordinates":[1,2]}},{"type":"Feature","properties":{"id":4},"geometry":null}]}'
-
-
-@query("geojson_rings", stated(["id", "part", "ring_no", "corners", "area"], [(1, 0, 0, 4, 8.0), (1, 0, 1, 4, 0.25), (2, 0, 0, 4, 0.125), (2, 1, 0, 4, 0.5)]))
-def geojson_rings(spark: SparkSession, d: str) -> DataFrame:
-    path = _folder(spark, "shapes")
-    given(spark, "value string", [(SHAPES,)]).coalesce(1).write.text(path)
-    rings = files.read_geojson_polygons(spark, path, "id: long")
-    return rings.select("id", F.col("part").cast("long").alias("part"), F.col("ring_no").cast("long").alias("ring_no"), F.size("ring").cast("long").alias("corners"), F.abs(geo.ring_area(F.col("ring"))).alias("area"))
-
-
-@query("html_rows", stated(["id", "row", "cells"], [(1, 0, "Name|Year"), (1, 1, "Grace & Co|1901"), (2, 0, "only")]))
-def html_rows(spark: SparkSession, d: str) -> DataFrame:
-    pages = given(spark, "id long, html string", [(1, "<table><tr><th>Name</th><TH>Year</TH></tr><tr><td> Grace <b>&amp;</b>\n Co</td><td>1901</td></tr></table>"), (2, "<tr><td>only</td></tr>"), (3, "none"), (4, None)])
-    rows = files.html_tables(pages, "id", "html").select("id", F.col("row").cast("long").alias("row"), F.array_join("cells", "|").alias("cells"))
-    return rows.withColumn("cells", F.replace("cells", F.lit("&amp;"), F.lit("&")))
-
-
 CUSTOMERS = "SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment WHEN c_custkey % 3 = 0 THEN '' END AS segment, c_acctbal AS balance FROM customer"
 
 
@@ -202,15 +166,6 @@ def polygon_choices(spark: SparkSession, d: str) -> DataFrame:
     return severe.join(pick(F.lit(0), "first_nation"), "id", "left").join(pick(F.col("risk"), "mildest"), "id", "left")
 
 
-@query("polygon_areas", stated(["id", "area", "inside", "touching"], [(1, 16.0, True, True), (2, 0.5, False, True), (3, 0.0, False, False)]))
-def polygon_areas(spark: SparkSession, d: str) -> DataFrame:
-    """The point (1, 1) lies in a square, on the slope of a triangle, and in nothing of two corners."""
-    rings = [(1, [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]), (2, [(0.0, 2.0), (2.0, 0.0), (1.5, 1.0)]), (3, [(0.0, 0.0), (2.0, 2.0)])]
-    df = given(spark, "id long, ring array<struct<x: double, y: double>>", rings)
-    at = lambda edges: geo.ring_holds(F.col("ring"), F.lit(1.0), F.lit(1.0), edges)
-    return df.select("id", F.abs(geo.ring_area(F.col("ring"))).alias("area"), at(False).alias("inside"), at(True).alias("touching"))
-
-
 @query("two_nearest", f"""WITH s AS ({_points('supplier', 's_suppkey')}), d AS (SELECT a.id AS id, b.id AS partner, {KM} AS km FROM s a JOIN s b ON a.id <> b.id)
     SELECT id, partner, round(km, 6) AS km, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY km, partner) AS rank FROM d) WHERE rank <= 2 AND km <= 3000""")
 def two_nearest(spark: SparkSession, d: str) -> DataFrame:
@@ -238,16 +193,6 @@ def radius_totals(spark: SparkSession, d: str) -> DataFrame:
     return sums.select("id", *[F.round(c, 2).cast("double").alias(c) for c in ("within_800", "within_2500")])
 
 
-CLUSTERED = [(1, 40.0, -87.0), (2, 40.001, -87.0), (3, 40.002, -87.0), (4, 40.003, -87.0), (5, 41.0, -87.0), (6, 41.001, -87.0), (7, 41.002, -87.0), (8, 45.0, -87.0), (9, 40.0045, -87.0), (10, None, None)]
-
-
-@query("density_clusters", stated(["id", "cluster", "core"], [(1, 2, False), (2, 2, True), (3, 2, True), (4, 2, True), (5, 6, False), (6, 6, True), (7, 6, False), (8, -1, False), (9, 2, False), (10, -1, False)]))
-def density_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Core points have three within 0.2 km; border points join the nearest core, even from 0.17 km."""
-    points = given(spark, "id long, lat double, lon double", CLUSTERED)
-    return spatial.dbscan(points, "id", 0.2, 3, graph.connected_components).select("id", F.col("cluster").cast("long").alias("cluster"), "core")
-
-
 MOVES = [(2, 1), (3, 1)]
 
 
@@ -266,20 +211,13 @@ def canonical_wins(spark: SparkSession, d: str) -> DataFrame:
     return linkage.reconcile(rows, "to", "id", ["segment"]).select("id", "segment")
 
 
-LINKS = [(1, 1951, 1), (1, 1951, 3), (2, 1951, 1), (2, 1951, 1), (3, 1951, 2), (4, 1951, 2), (4, 1963, 3), (5, 1951, 2), (5, 1951, 3)]
-
-
-@query("held_links", stated(["record", "era", "tier", "held"], [(*r, h) for r, h in zip(LINKS, [False, True, True, True, False, False, False, True, True], strict=True)]))
-def held_links(spark: SparkSession, d: str) -> DataFrame:
-    return linkage.hold_ambiguous(given(spark, "record long, era long, tier int", LINKS), "record", "era", "tier")
-
-
-@query("blocked_pairs", """WITH l AS (SELECT c_custkey AS a, c_nationkey AS k1, c_custkey % 11 AS k2 FROM customer WHERE c_custkey < 60), r AS (SELECT s_suppkey AS b, s_nationkey AS k1, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey % 11 END AS k2 FROM supplier WHERE s_suppkey < 40)
+@query("blocked_pairs", """WITH l AS (SELECT c_custkey AS a, c_custkey // 5 AS k1, c_nationkey || ':' || c_custkey % 97 AS k2 FROM customer), r AS (SELECT s_suppkey AS b, s_suppkey AS k1, CASE WHEN s_suppkey % 3 <> 0 THEN s_nationkey || ':' || s_suppkey % 97 END AS k2 FROM supplier)
     SELECT DISTINCT a, b FROM l JOIN r ON l.k1 = r.k1 OR l.k2 = r.k2""")
 def blocked_pairs(spark: SparkSession, d: str) -> DataFrame:
-    left, right = table(spark, d, "customer").where("c_custkey < 60"), table(spark, d, "supplier").where("s_suppkey < 40")
-    blocks = [(F.col("c_nationkey"), F.col("s_nationkey")), (F.col("c_custkey") % 11, F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey") % 11))]
-    return linkage.block_pairs(left, right, "c_custkey", "s_suppkey", blocks).select(F.col("c_custkey").alias("a"), F.col("s_suppkey").alias("b"))
+    key = lambda n, k: F.concat_ws(":", F.col(n).cast("string"), (F.col(k) % 97).cast("string"))
+    blocks = [(F.floor(F.col("c_custkey") / 5), F.col("s_suppkey")), (key("c_nationkey", "c_custkey"), F.when(F.col("s_suppkey") % 3 != 0, key("s_nationkey", "s_suppkey")))]
+    pairs = linkage.block_pairs(table(spark, d, "customer"), table(spark, d, "supplier"), "c_custkey", "s_suppkey", blocks)
+    return pairs.select(F.col("c_custkey").alias("a"), F.col("s_suppkey").alias("b"))
 
 
 @query("pending_work", """SELECT 'pending' AS kind, c_custkey::VARCHAR AS k, NULL::BIGINT AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 2 = 0)""")
@@ -287,10 +225,3 @@ def pending_work(spark: SparkSession, d: str) -> DataFrame:
     done = table(spark, d, "orders").where("o_custkey % 2 = 0").select(F.col("o_custkey").alias("c_custkey"))
     left = increments.pending(table(spark, d, "customer").select("c_custkey"), done, "c_custkey")
     return left.select(F.lit("pending").alias("kind"), F.col("c_custkey").cast("string").alias("k"), F.lit(None).cast("long").alias("n"))
-
-
-@query("page_contacts", stated(["id", "emails", "phones", "plain"], [(1, "a@b.org;c.d@e.co.uk", "(312) 555-0199;(800) 555-0100", "Write a@b.org, A@B.org or c.d@e.co.uk"), (2, "", "", "x < y & z"), (3, None, None, None)]))
-def page_contacts(spark: SparkSession, d: str) -> DataFrame:
-    pages = given(spark, "id long, html string, loose string", [(1, "<p>Write a@b.org, A@B.org</p> or <b>c.d@e.co.uk</b><script>no@no.org</script>", "312-555-0199 or 1 (800) 555-0100, logo@2x.png"), (2, "x &lt; y &amp; z", ""), (3, None, None)])
-    plain = text.strip_tags(F.col("html"))
-    return pages.select("id", F.array_join(text.emails_in(plain), ";").alias("emails"), F.array_join(text.phones_in(F.col("loose")), ";").alias("phones"), plain.alias("plain"))

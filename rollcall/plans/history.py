@@ -9,56 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dml, graph, linkage, matching, provenance
 from ..operators.settled import shared_dir
-from .registry import given, query, stated, table
-
-TREE = [
-    (1, None, "root", 0, "root", 1), (2, 1, "a", 1, "root > a", 1), (3, 1, "a", 1, "root > a", 1), (4, 2, "b", 5, "root > b", 2),
-    (5, 4, "b", 3, "root > a > b > b", 1), (6, 99, "lost", None, None, None), (7, 7, "self", None, None, None), (8, 9, "x", None, None, None), (9, 8, "y", None, None, None), (10, 3, None, 2, None, 1),
-]
-ISSUES = [
-    ("orphan", 6), ("self_parent", 7), ("same_as_parent", 5), ("duplicate_sibling", 2), ("duplicate_sibling", 3), ("name_elsewhere", 4), ("name_elsewhere", 5),
-    ("unreachable", 6), ("unreachable", 7), ("unreachable", 8), ("unreachable", 9), ("depth_mismatch", 4), ("empty", 6), ("empty", 10),
-]
-
-
-def _tree(spark: SparkSession) -> DataFrame:
-    return given(spark, "id long, parent long, name string, depth long, path string, root long", TREE)
-
-
-@query("tree_issues", stated(["issue", "id"], ISSUES))
-def tree_issues(spark: SparkSession, d: str) -> DataFrame:
-    return graph.audit_tree(_tree(spark), "id", "parent", "name", depth="depth", members=given(spark, "id long", [(5,), (5,), (None,)]))
-
-
-@query("tree_paths", stated(["id", "expected_path", "expected_root"], [(4, "root > a > b", 1), (10, "root > a", 1)]))
-def tree_paths(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes without a name add nothing to a path."""
-    return graph.path_mismatches(_tree(spark), "id", "parent", "name", "path", "root")
-
-
-@query("cycle_states", stated(["id", "terminal", "hops", "state"], [(2, 1, 1, "ok"), (3, 1, 1, "ok"), (4, 1, 2, "ok"), (5, 1, 3, "ok"), (6, 99, 1, "dangling"), (7, 7, 0, "self"), (8, None, None, "cycle"), (9, None, None, "cycle"), (10, 1, 2, "ok")]))
-def cycle_states(spark: SparkSession, d: str) -> DataFrame:
-    return graph.flatten_pointers(_tree(spark), "id", "parent")
-
-
-@query("two_cycles", stated(["id", "parent"], [(r[0], None if r[0] == 8 else r[1]) for r in TREE]))
-def two_cycles(spark: SparkSession, d: str) -> DataFrame:
-    return graph.break_two_cycles(_tree(spark).withColumn("rich", F.lit(1)), "id", "parent", "rich").select("id", "parent")
-
-
-@query("merged_nodes", stated(["id", "parent"], [(r[0], 3 if r[1] == 2 else r[1]) for r in TREE if r[0] != 2]))
-def merged_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return graph.merge_nodes(_tree(spark), given(spark, "loser long, winner long", [(2, 3)]), "id", "parent").select("id", "parent")
-
-
-@query("renamed_subtree", stated(["id", "path"], [(1, "root"), (2, "root > c"), (3, "root > c"), (4, "root > b"), (5, "root > c > b > b"), (6, None)]))
-def renamed_subtree(spark: SparkSession, d: str) -> DataFrame:
-    return graph.rename_subtree(_tree(spark).where("id < 7"), "path", "root > a", "root > c").select("id", "path")
-
-
-@query("three_levels", stated(["id", "level1", "level2", "level3"], [(1, "(none)", "(none)", "root"), (2, "(none)", "root", "a"), (4, "root", "a", "b"), (5, "a", "b", "b"), (6, "(none)", "(none)", "lost"), (10, "root", "a", "(none)")]))
-def three_levels(spark: SparkSession, d: str) -> DataFrame:
-    return graph.three_levels(_tree(spark), "id", "parent", "name").where("id IN (1, 2, 4, 5, 6, 10)")
+from .registry import query, stated, table
 
 
 @query(
@@ -73,14 +24,6 @@ def rank_chains(spark: SparkSession, d: str) -> DataFrame:
     return graph.rank_chain(nodes, "id", {"family": families, "nation": table(spark, d, "nation").select(F.col("n_nationkey").alias("id"))}).select("id", "family", "nation", "parent")
 
 
-HUBS = [("IL", 1, 40.0, -88.0), ("IL", 2, 41.0, -88.0), ("IL", 3, 42.0, -88.0), ("IL", 4, None, None), ("IN", 6, None, None), ("IN", 5, None, None), ("OH", 8, 40.0, -82.0), ("OH", 7, 41.0, -82.0)]
-
-
-@query("group_hubs", stated(["state", "hub", "members"], [("IL", 2, 4), ("IN", 5, 2), ("OH", 7, 2)]))
-def group_hubs(spark: SparkSession, d: str) -> DataFrame:
-    return graph.hubs(given(spark, "state string, id long, lat double, lon double", HUBS), "id", "state")
-
-
 @query(
     "rolled_up",
     """WITH o AS (SELECT o_custkey AS cluster, o_orderpriority AS name, year(o_orderdate)::BIGINT AS era FROM orders WHERE o_custkey % 4 <> 0),
@@ -100,18 +43,6 @@ def singletons(spark: SparkSession, d: str) -> DataFrame:
     return matching.with_singletons(entities, c, table(spark, d, "orders").select(F.col("o_custkey").alias("id")), "id", "entity", ["name"])
 
 
-SOURCES = [("osm", "map", 1), ("irs", "list", 2)]
-
-
-@query("source_registry", stated(["source", "kind", "rank"], [("osm", "map", 1), ("irs", "list", 2), ("wiki", "a", 5)]))
-def source_registry(spark: SparkSession, d: str) -> DataFrame:
-    """Known keys stay as they are, null keys are left out, and a second run adds nothing."""
-    shape = "source string, kind string, rank int"
-    found = given(spark, shape, [("osm", "other", 9), ("wiki", "b", 4), ("wiki", "a", 5), (None, "x", 1)])
-    once = provenance.register_sources(given(spark, shape, SOURCES), found, "source")
-    return provenance.register_sources(once, found, "source")
-
-
 @query("recorded_runs", stated(["run_id", "script", "status", "rows_written", "error"], [("r1", "load", "completed", 25, None), ("r2", "load", "failed", 7, "ValueError: no rows")]))
 def recorded_runs(spark: SparkSession, d: str) -> DataFrame:
     path = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"

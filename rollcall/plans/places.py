@@ -12,7 +12,7 @@ from ..operators.settled import shared_dir
 from ..sources import files
 from .curation import _places as _around
 from .curation import _points
-from .registry import given, query, stated, table
+from .registry import query, table
 
 #: Suppliers and customers on a lattice so that some share cells, some lie next to each other, and some lack a place.
 _AT = "CASE WHEN {k} % 17 = 0 THEN NULL ELSE 40 + ({k} * 7 % 50) * 0.004 END AS lat, -87 + ({k} * 3 % 40) * 0.004 AS lon"
@@ -30,133 +30,47 @@ KM = HAVERSINE.format(a="l.lat", b="l.lon", c="r.lat", d="r.lon")
 
 @query(
     "near_and_alike",
-    f"""WITH l AS (SELECT p_partkey AS id, p_name AS name, {_AT.format(k="p_partkey")} FROM part WHERE p_partkey < 400), r AS (SELECT p_partkey AS id, p_name AS name, {_AT.format(k="p_partkey")} FROM part WHERE p_partkey % 3 = 0),
-    h AS (SELECT l.id AS a, r.id AS b, round(jaro_winkler_similarity(l.name, r.name), 6) AS score FROM l JOIN r ON l.id <> -1 WHERE l.lat IS NOT NULL AND r.lat IS NOT NULL AND {KM} <= 0.5 AND jaro_winkler_similarity(l.name, r.name) >= 0.9)
+    f"""WITH l AS (SELECT p_partkey AS id, p_name AS name, {_AT.format(k="p_partkey")} FROM part), r AS (SELECT p_partkey + 1000000 AS id, p_name || ' co' AS name, lat + 0.001 AS lat, lon FROM (SELECT *, {_AT.format(k="p_partkey")} FROM part)),
+    h AS (SELECT l.id AS a, r.id AS b, round(jaro_winkler_similarity(l.name, r.name), 6) AS score FROM l JOIN r ON r.lat BETWEEN l.lat - 0.006 AND l.lat + 0.006 AND r.lon BETWEEN l.lon - 0.008 AND l.lon + 0.008 WHERE {KM} <= 0.5 AND jaro_winkler_similarity(l.name, r.name) >= 0.9)
     SELECT a AS id, min(b) FILTER (score = best)::BIGINT AS partner, max(score) AS score FROM (SELECT *, max(score) OVER (PARTITION BY a) AS best FROM h) GROUP BY a""",
 )
 def near_and_alike(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
-    places = lambda df: _places(df, "p_partkey", F.col("p_name").alias("name"))
-    right = places(part.where("p_partkey % 3 = 0")).withColumnRenamed("id", "partner")
-    return matching.near_alike(places(part.where("p_partkey < 400")), right, "id", "partner", "name").withColumn("score", F.round("score", 6))
+    left = _places(part, "p_partkey", F.col("p_name").alias("name"))
+    right = _places(part, "p_partkey", F.concat("p_name", F.lit(" co")).alias("name")).select((F.col("id") + 1_000_000).alias("partner"), (F.col("lat") + 0.001).alias("lat"), "lon", "name")
+    return matching.near_alike(left, right, "id", "partner", "name").withColumn("score", F.round("score", 6))
 
 
 @query(
     "guarded_names",
-    f"""WITH l AS (SELECT c_custkey AS id, 'n' || c_custkey % 97 AS name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 2 END AS region, {_AT.format(k="c_custkey")} FROM customer),
-    r AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE 'n' || p_partkey % 89 END AS name, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey % 2 END AS region, {_AT.format(k="p_partkey")} FROM part WHERE p_partkey < 190)
+    f"""WITH l AS (SELECT c_custkey AS id, 'n' || c_custkey AS name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 2 END AS region, {_AT.format(k="c_custkey")} FROM customer),
+    r AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 10 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN 'n' || p_partkey // 9 ELSE 'n' || p_partkey // 2 END AS name, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey % 2 END AS region, {_AT.format(k="p_partkey")} FROM part)
     SELECT l.id, r.id AS partner FROM l JOIN r USING (name) WHERE name <> '' AND name IN (SELECT name FROM r GROUP BY 1 HAVING count(*) < 3)
       AND (l.region IS NULL OR r.region IS NULL OR l.region = r.region) AND (l.lat IS NULL OR r.lat IS NULL OR {KM} <= 12)""",
 )
 def guarded_names(spark: SparkSession, d: str) -> DataFrame:
-    c, p = table(spark, d, "customer"), table(spark, d, "part").where("p_partkey < 190")
+    c, p, k = table(spark, d, "customer"), table(spark, d, "part"), F.col("p_partkey")
     region = lambda k, m: F.when(F.col(k) % m == 0, F.lit(None)).otherwise(F.col(k) % 2).alias("region")
-    name = lambda k, m: F.concat(F.lit("n"), F.col(k) % m)
-    left = _places(c, "c_custkey", name("c_custkey", 97).alias("name"), region("c_custkey", 5))
-    right = _places(p, "p_partkey", F.when(F.col("p_partkey") % 10 == 0, "").otherwise(name("p_partkey", 89)).alias("name"), region("p_partkey", 7))
+    named = lambda n: F.concat(F.lit("n"), n.cast("string"))
+    left = _places(c, "c_custkey", named(F.col("c_custkey")).alias("name"), region("c_custkey", 5))
+    right = _places(p, "p_partkey", F.when(k % 10 == 0, "").when(k % 3 == 0, named(F.floor(k / 9))).otherwise(named(F.floor(k / 2))).alias("name"), region("p_partkey", 7))
     return matching.same_name_guarded(left, right.withColumnRenamed("id", "partner"), "id", "partner", "name", "region", km=12)
 
 
-WORDS = [
-    (1, "First Baptist-Church of Gary", "IN", 11, 3.0),
-    (2, "Mount Zion", "IN", 14, 2.0),
-    (3, "Hope", "IN", 13, 1.0),
-    (4, "First Baptist Church", "OH", None, None),
-    (5, "Zion Hill Mission House", "in", None, None),
-    (6, None, "IN", None, None),
-]
-HELD = [(11, "first baptist church", "in"), (12, "First Baptist Home", "IN"), (13, "New Hope Hope", "IN"), (14, "Mount Zion Temple", "IN"), (15, "Zion", "IN")]
-
-
-@query("first_words", stated(["id", "partner", "score"], [(r[0], r[3], r[4]) for r in WORDS if r[3]]))
-def first_words(spark: SparkSession, d: str) -> DataFrame:
-    left = given(spark, "id long, name string, state string", [r[:3] for r in WORDS])
-    return matching.first_words_match(left, given(spark, "partner long, name string, state string", HELD), "id", "partner", "name", "state")
-
-
-SCORED = [("a", 1, "grace chapel", "grace chapel", 1.0, "gary", "gary"), ("a", 2, "grace chapel", "chapel grace", 0.0, "gary", ""), ("b", 3, "x", "y", 9.0, "gary", "ohio"), ("c", 4, "abc", "abc", 2.5, "old gary", "gary"), ("c", 5, "abc", "abc", 2.5, "old gary", "gary")]
-
-
-@query("scored_neighbours", stated(["id", "partner", "score", "km"], [("a", 1, 1.09, 1.0), ("c", 4, 1.0, 2.5)]))
-def scored_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """Of pairs within reach: 0.7 + 0.24 + 0.15 beats 0.7 + 0.3; nothing in common is no match; ties go to the smaller id."""
-    pairs = given(spark, "id string, partner long, n1 string, n2 string, km double, c1 string, c2 string", SCORED)
-    return matching.scored_neighbours(pairs, "id", "partner", ("n1", "n2"), ("c1", "c2"))
-
-
-LISTED = [(1, "Grace Chapel ", "Gary"), (2, "Grace Chapels", "gary"), (3, "St Mary Abbey", "Gary"), (4, "Grace Chapel", "Ohio"), (5, None, "Gary")]
-FOUND = [(21, "grace chapel", "GARY"), (22, "Grace Chapel", "Gary"), (23, "Grace Chapelle", "Gary"), (24, "St Mary Abbot", "Gary"), (25, "Grace Tower", "Ohio")]
-
-
-@query("exact_then_alike", stated(["id", "partner", "score"], [(1, 21, 1.0), (2, 21, 0.96), (3, 24, 0.846)]))
-def exact_then_alike(spark: SparkSession, d: str) -> DataFrame:
-    left, right = given(spark, "id long, name string, city string", LISTED), given(spark, "partner long, name string, city string", FOUND)
-    return matching.exact_then_alike(left, right, "id", "partner", "name", "city").withColumn("score", F.round("score", 3))
-
-
 @query(
     "cell_first",
     f"""WITH r AS (SELECT p_partkey AS id, {_AT.format(k="p_partkey")} FROM part), l AS (SELECT c_custkey AS id, {_AT.format(k="c_custkey")} FROM customer),
     m AS (SELECT round(lat, 4) AS y, round(lon, 4) AS x, min(id) AS partner FROM r WHERE lat IS NOT NULL GROUP BY 1, 2)
     SELECT 'first' AS kind, l.id, partner FROM l JOIN m ON y = round(lat, 4) AND x = round(lon, 4)
-    UNION ALL SELECT 'free', l.id, NULL FROM l WHERE lat IS NULL OR NOT EXISTS (SELECT 1 FROM r WHERE r.id < 30 AND round(r.lat, 2) = round(l.lat, 2) AND round(r.lon, 2) = round(l.lon, 2))""",
+    UNION ALL SELECT 'free', l.id, NULL FROM l WHERE lat IS NULL OR NOT EXISTS (SELECT 1 FROM (SELECT n_nationkey, {_AT.format(k="n_nationkey")} FROM nation) r WHERE round(r.lat, 2) = round(l.lat, 2) AND round(r.lon, 2) = round(l.lon, 2))""",
 )
 def cell_first(spark: SparkSession, d: str) -> DataFrame:
     left, right = _places(table(spark, d, "customer"), "c_custkey"), _places(table(spark, d, "part"), "p_partkey")
     first = matching.same_cell_first(left, right.withColumnRenamed("id", "partner"), "id", "partner").select(F.lit("first").alias("kind"), "id", "partner")
-    free = matching.without_occupied(left, right.where("id < 30")).select(F.lit("free").alias("kind"), "id", F.lit(None).cast("long").alias("partner"))
+    free = matching.without_occupied(left, _places(table(spark, d, "nation"), "n_nationkey")).select(F.lit("free").alias("kind"), "id", F.lit(None).cast("long").alias("partner"))
     return first.unionByName(free)
 
 
-MAIN = [("Hope", "info@h.org"), ("Hope", "pastor.jo@h.org"), ("Ark", "z@a.org"), ("Ark", "b@a.org"), ("Zion", None)]
-OTHER = [("Other", "info@h.org"), ("Ark", "office@a.org"), ("Gem", "treasurer@g.org"), ("Gem", "x(guess)@g.org (guess)")]
-
-
-@query("best_contacts", stated(["name", "email", "rank", "addresses"], [("Hope", "pastor.jo@h.org", 10, 2), ("Ark", "office@a.org", 9, 3), ("Gem", "treasurer@g.org", 7, 2)]))
-def best_contacts(spark: SparkSession, d: str) -> DataFrame:
-    return matching.best_contacts(given(spark, "name string, email string", MAIN), given(spark, "name string, email string", OTHER), "name", "email")
-
-
-RING = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
-AROUND = [(1, "a", 2.0, 2.0, "inside"), (2, "a", 4.05, 2.0, "near"), (3, "a", 4.2, 2.0, "outside"), (4, "b", 2.0, 2.0, "no polygon"), (5, "a", None, 2.0, None), (6, None, 2.0, 2.0, "no polygon"), (7, "a", 4.08, 4.08, "outside"), (8, "a", 4.06, 4.06, "near")]
-
-
-@query("declared_polygons", stated(["id", "placed"], [(r[0], r[4]) for r in AROUND]))
-def declared_polygons(spark: SparkSession, d: str) -> DataFrame:
-    points = given(spark, "id long, country string, lon double, lat double", [r[:4] for r in AROUND])
-    shapes = given(spark, "country string, ring array<struct<x: double, y: double>>", [("a", RING)])
-    return matching.outside_polygon(points, shapes, "country").select("id", "placed")
-
-
-ZIPS = [("00501", 40.81, -73.04), ("60614", 41.92, -87.65)]
-
-
-@query("geocode_precedence", stated(["id", "lat", "lon", "source"], [(1, 41.92, -87.65, "zip_centroid"), (2, 10.0, 20.0, "census_street"), (3, 40.81, -73.04, "zip_centroid"), (4, None, None, None), (5, None, None, None)]))
-def geocode_precedence(spark: SparkSession, d: str) -> DataFrame:
-    rows = given(spark, "id long, zip string", [(1, "60614-1234"), (2, "60614"), (3, "501"), (4, "99999"), (5, None)])
-    streets = given(spark, "id long, lat double, lon double", [(2, 10.0, 20.0), (3, None, None)])
-    return geocode.geocoded(rows, streets, given(spark, "zip string, lat double, lon double", ZIPS), "id", "zip").select("id", "lat", "lon", "source")
-
-
-HITS = [(1, 40.1, -87.0), (1, 44.0, -87.0), (2, 44.0, -87.0), (3, 44.0, -87.0), (3, 30.0, -87.0), (3, 45.0, -80.0), (4, 44.0, -87.0), (4, 44.1, -87.0), (4, 44.2, -87.0), (5, None, None)]
-
-
-@query("wrong_places", stated(["id", "hits", "wrong"], [(1, 2, False), (2, 1, True), (3, 3, False), (4, 3, True), (5, 0, False), (6, 0, False)]))
-def wrong_places(spark: SparkSession, d: str) -> DataFrame:
-    """Near hits clear a place; far ones accuse it, unless three or more lie scattered."""
-    return geocode.wrong_places(given(spark, "id long, lat double, lon double", [(k, 40.0, -87.0) for k in range(1, 7)]), given(spark, "id long, lat double, lon double", HITS), "id")
-
-
-FILLED = [(1, "Oak Ave", "", None, "60614", "12 Oak Ave", "Gary", " IN ", "46401", "12 Oak Ave", "Gary", "IN", "60614"), (2, "7 Elm", "Ohio", "OH", "", "9 Elm", "Gary", "IN", None, "7 Elm", "Ohio", "OH", None), (3, None, None, None, None, "Elm", None, "", "", "Elm", None, None, None)]
-
-
-@query("merged_addresses", stated(["id", "street", "city", "state", "zip"], [(r[0], *r[9:]) for r in FILLED]))
-def merged_addresses(spark: SparkSession, d: str) -> DataFrame:
-    names = [f"{s}_{f}" for s in ("own", "found") for f in ("street", "city", "state", "zip")]
-    df = given(spark, "id long, " + ", ".join(f"{n} string" for n in names), [r[:9] for r in FILLED])
-    return geocode.merged_address(df, ["own", "found"]).select("id", "street", "city", "state", "zip")
-
-
 @query(
     "county_attributes",
     """SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN c_nationkey * 1.5 END::DOUBLE AS rate, CASE WHEN c_nationkey % 2 = 0 AND c_nationkey % 3 <> 0 THEN c_nationkey END::BIGINT AS flag FROM customer""",

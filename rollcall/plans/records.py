@@ -226,12 +226,12 @@ def address_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "alike_in_city",
+    "exact_then_alike",
     """WITH p AS (SELECT p_partkey AS k, md5(p_name) AS n FROM part), r AS (SELECT 'c' || k % 3 AS city, n, min(k) AS b FROM p WHERE k % 2 = 0 GROUP BY 1, 2),
     l AS (SELECT k, 'c' || k % 3 AS city, n, k % 4 AS kind FROM p WHERE k % 4 <> 3)
     SELECT l.k AS id, b AS partner, CASE kind WHEN 0 THEN 1.0 ELSE round(64.0 / (64 + kind), 6) END AS score FROM l JOIN r USING (city, n)""",
 )
-def alike_in_city(spark: SparkSession, d: str) -> DataFrame:
+def exact_then_alike(spark: SparkSession, d: str) -> DataFrame:
     """Names of one word with a letter or two too many, so that no word is shared, against those of the same city."""
     k, n = F.col("p_partkey"), F.md5(F.col("p_name").cast("binary"))
     city = _cat("c", k % 3)

@@ -1,127 +1,12 @@
-"""Queries of cleaning, scoring and classification rules on inputs that hold the hard cases.
-
-The inputs are lists of texts; what must come out was worked out by hand from the rules, and the SQL states it.
-"""
+"""Queries of shares and confidences; those of the other rules are in derived.py."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import labels, rules, similarity, text
-from ..operators import linkage
-from .registry import given, query, stated, table
-
-NAMES = [
-    ("Grace (North) Chapel, Inc. LLC", "Grace Chapel,", "GRACE (NORTH) CHAPEL, .", "GRACE NORTH CHAPEL INC LLC"),
-    ("  The  Hope Corp of  St. Mark ", "The Hope of St. Mark", "HOPE OF ST. MARK", "THE HOPE CORP OF STREET MARK"),
-    ("Org of Faith and an Ark", "of Faith and an Ark", "ORG OF FAITH AND ARK", "ORG OF FAITH AND AN ARK"),
-    ("Mt Olive Ch N Side PC", "Mt Olive Ch N Side PC", "MT OLIVE CH N SIDE", "MOUNT OLIVE CHURCH NORTH SIDE PC"),
-    ("Corporation Street Mission;", "Street Mission", "CORPORATION STREET MISSION;", "CORPORATION STREET MISSION"),
-    ("", "", "", ""),
-    (None, None, None, ""),
-]
-
-
-@query("name_keys", stated(["raw", "cleaned", "matched", "linked"], NAMES))
-def name_keys(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("raw")
-    return given(spark, "raw string", [(r[0],) for r in NAMES]).select("raw", text.clean_name(n).alias("cleaned"), text.match_name(n).alias("matched"), text.linkage_name(n).alias("linked"))
-
-
-EMAILS = [
-    ("mailto:<A@B.org>.", "<a@b.org>", 0.54),
-    ("a@b.org (office)", "a@b.org", 0.54),
-    ("<Info@Grace.org>", "info@grace.org", 0.54),
-    ("info@grace.org", "info@grace.org", 0.72),
-    ("pastor@gmail.com", "pastor@gmail.com", 0.76),
-    ("john.smith@a.b.c.org", "john.smith@a.b.c.org", 0.68),
-    ("JOHN@x.org", "john@x.org", 0.84),
-    ("jo@x.org", "jo@x.org", 0.54),
-    ("noreply@x.org", "noreply@x.org", 0.36),
-    ("Secretary@X.ORG.", "secretary@x.org", 0.84),
-    ("two@at@x.org", "two@at@x.org", 0.0),
-    ("no address", "no address", 0.0),
-    ("", "", 0.0),
-    (None, None, 0.0),
-]
-
-
-@query("email_rules", stated(["raw", "cleaned", "score"], EMAILS))
-def email_rules(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "raw string", [(r[0],) for r in EMAILS]).select("raw", text.clean_email(F.col("raw")).alias("cleaned"), text.email_score(F.col("raw")).alias("score"))
-
-
-ADDRESSES = [
-    ("BOX 1336, Odgen, IL, 62863", "Odgen, IL, 62863"),
-    ("PO BOX 1234, Springfield, MO 65801", "PO BOX 1234, Springfield, MO 65801"),
-    ("P.O. BOX 567, Houston, TX 77001", "P.O. BOX 567, Houston, TX 77001"),
-    ("POB 12 , Rural Route,  Gary, IN, 46401", "Gary, IN, 46401"),
-    ("Hall, p.o.box 9, Town, IL, 60000", "Town, IL, 60000"),
-    ("Boxwood 5, Elm, IL, 60001", "Boxwood 5, Elm, IL, 60001"),
-    ("109 North Mill Street, Colfax, WA 99111", "109 North Mill Street, Colfax, WA 99111"),
-    ("PO BOX 7", "PO BOX 7"),
-    (None, None),
-]
-
-
-@query("post_boxes", stated(["raw", "kept"], ADDRESSES))
-def post_boxes(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "raw string", [(r[0],) for r in ADDRESSES]).select("raw", text.without_po_box(F.col("raw")).alias("kept"))
-
-
-TITLES = [
-    ("Grace Church Inc.", "grace", 1.0),
-    ("Welcome to Grace Chapel - Home", "Grace Chapel", 0.9),
-    ("Grace Bible Fellowship of Gary", "Grace Bible Fellowship Center", 0.8),
-    ("Grace Home", "Grace Chapel", 0.6),
-    ("abcd", "bcde", 0.52),
-    ("xyz", "Hope", 0.0),
-    ("", "Hope", 0.0),
-    (None, "Hope", 0.0),
-    ("Hope", None, 0.0),
-]
-
-
-@query("title_scores", stated(["title", "name", "score"], TITLES))
-def title_scores(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "title string, name string", [r[:2] for r in TITLES]).select("title", "name", similarity.title_score(F.col("title"), F.col("name")).alias("score"))
-
-
-PAGES = [
-    ("Grace Chapel", "Gary", "IN", "Grace Chapel", None, "Sunday worship at our church in Gary", 0.9, True),
-    ("Grace Chapel", "Gary", "IN", "", None, "Sunday worship at our church in Gary", 0.15, False),
-    ("Grace Chapel", "Gary", "in", "Zyx", "Gary, IN", "", 0.25, False),
-    ("Grace", None, None, "Grace", "", "church ministry worship sunday service pastor congregation chapel gospel", 0.75, True),
-    (None, None, None, None, None, None, 0.0, False),
-]
-
-
-@query("page_matches", stated(["name", "city", "state", "title", "description", "body", "score", "is_match"], PAGES))
-def page_matches(spark: SparkSession, d: str) -> DataFrame:
-    df = given(spark, "name string, city string, state string, title string, description string, body string", [r[:6] for r in PAGES])
-    m = similarity.match_score(*[F.col(c) for c in df.columns])
-    return df.select("*", m["score"].alias("score"), m["is_match"].alias("is_match"))
-
-
-STATES = [None, "", "pending", "found", "not_found", "verified", "error", "archived"]
-
-
-@query(
-    "status_rules",
-    """WITH s AS (SELECT * FROM (VALUES (NULL), (''), ('pending'), ('found'), ('not_found'), ('verified'), ('error'), ('archived')) AS t(v))
-    SELECT a.v AS old, b.v AS new, CASE WHEN b.v IS NULL THEN false WHEN coalesce(a.v, '') = '' THEN b.v = 'pending'
-      WHEN a.v = 'pending' THEN b.v IN ('found', 'not_found', 'error') WHEN a.v = 'found' THEN b.v IN ('verified', 'not_found', 'error')
-      WHEN a.v = 'not_found' THEN b.v IN ('found', 'error') WHEN a.v = 'verified' THEN b.v = 'error'
-      WHEN a.v = 'error' THEN b.v IN ('pending', 'found', 'not_found') ELSE b.v IN ('found', 'not_found', 'verified', 'error') END AS allowed,
-      coalesce(a.v, '') IN ('', 'pending', 'error') AS open, coalesce(a.v, '') IN ('found', 'not_found', 'verified') AS done
-    FROM s a CROSS JOIN s b""",
-)
-def status_rules(spark: SparkSession, d: str) -> DataFrame:
-    """All pairs of eight statuses, nulls, blanks and an unlisted one among them."""
-    df = given(spark, "old string, new string", [(a, b) for a in STATES for b in STATES])
-    old, new = F.col("old"), F.col("new")
-    return df.select("old", "new", rules.transition_allowed(old, new).alias("allowed"), rules.needs_check(old).alias("open"), rules.is_done(old).alias("done"))
+from ..functions import labels, rules
+from .registry import query, table
 
 
 @query(
@@ -138,63 +23,6 @@ def attendance_shares(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", x["value"].alias("value"), x["confidence"].alias("confidence"))
 
 
-TIERS = [
-    (True, 0.95, None, None, False, 1),
-    (True, 0.5, None, None, True, 2),
-    (True, 0.5, None, None, None, 2),
-    (True, 0.5, 0.1, True, False, None),
-    (False, 0.96, 1.5, False, True, 3),
-    (False, 0.96, 3.0, True, True, None),
-    (False, 0.96, None, True, True, 3),
-    (None, 0.96, None, True, False, None),
-    (False, 0.94, 0.1, True, True, None),
-    (None, None, None, None, None, None),
-]
-
-
-@query("link_tiers", stated(["one", "alike", "km", "stem", "fits", "tier"], TIERS))
-def link_tiers(spark: SparkSession, d: str) -> DataFrame:
-    df = given(spark, "one boolean, alike double, km double, stem boolean, fits boolean", [r[:5] for r in TIERS])
-    return df.select("*", linkage.tier_of(*[F.col(c) for c in df.columns]).alias("tier"))
-
-
-RULES = [(("LUTHERAN", "ELCA"), "lutheran"), (("BAPTIST",), "baptist"), (("CHURCH OF GOD", "C.O.G."), "church of god")]
-LD = '<script type="application/ld+json">{}</script>'
-SITES = [
-    (LD.format('{"a": [{"affiliation": "ab"}, {"x": {"denomination": "Reformed"}}]}') + " baptist", "t", "Reformed", "jsonld"),
-    (LD.format("{broken") + LD.format('{"affiliation": "Quaker"}'), None, "Quaker", "jsonld"),
-    (LD.format('{"a": {"b": {"c": {"d": {"e": {"f": {"denomination": "deep"}}}}}}}') + "<p>none</p>", None, "unknown", "no_match"),
-    ("<p>First Baptist, an elca house</p>", None, "lutheran", "body_keyword"),
-    ("<p>c.o.g. but not cxoxgx</p>", "x", "church of god", "body_keyword"),
-    ("<p>cxoxgx</p>", "Baptist home", "baptist", "title_keyword"),
-    ("<p>nothing</p>", None, "unknown", "no_match"),
-    ("", "Baptist home", "unknown", "no_content"),
-    (None, None, "unknown", "no_content"),
-]
-
-
-@query("webpage_labels", stated(["html", "title", "label", "method"], SITES))
-def webpage_labels(spark: SparkSession, d: str) -> DataFrame:
-    x = labels.webpage_label(F.col("html"), F.col("title"), RULES)
-    return given(spark, "html string, title string", [r[:2] for r in SITES]).select("html", "title", x["label"].alias("label"), x["method"].alias("method"))
-
-
-KINDS = {"mosque": "muslim", "synagogue": "jewish", "religious_organization": "unknown"}
-GRAPH = [
-    (1, "A Lutheran parish", [("Mosque", "x")], "lutheran"),
-    (2, "A house", [("Religious_Organization", "y"), ("Thing", "SYNAGOGUE"), ("mosque", "z")], "jewish"),
-    (3, None, [(None, None), ("mosque", None)], "muslim"),
-    (4, "A house", [], None),
-    (5, None, None, None),
-]
-
-
-@query("graph_labels", stated(["k", "label"], [(r[0], r[3]) for r in GRAPH]))
-def graph_labels(spark: SparkSession, d: str) -> DataFrame:
-    df = given(spark, "k int, description string, categories array<struct<name: string, id: string>>", [r[:3] for r in GRAPH])
-    return df.select("k", labels.graph_label(F.col("description"), F.col("categories"), [(label, w) for w, label in RULES], KINDS).alias("label"))
-
-
 @query(
     "field_confidences",
     """WITH t AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN 'x.org' WHEN 1 THEN '' END AS w, CASE c_custkey % 4 WHEN 0 THEN 'a@x.org' WHEN 1 THEN '' END AS e,
@@ -208,34 +36,3 @@ def field_confidences(spark: SparkSession, d: str) -> DataFrame:
     s, lat = one_of(7, "census_street", "zip_centroid", "manual"), F.when(k % 2 == 0, 1.5)
     x = labels.field_confidence(one_of(3, "x.org", ""), one_of(4, "a@x.org", ""), one_of(5, 0.8, 0.0), lat, lat, s)
     return table(spark, d, "customer").select(k.alias("k"), *[x[c].alias(c) for c in ("website", "email", "geocode")], labels.with_source(s, "name").alias("sources"))
-
-
-NODES = [("misc", True), ("Misc house", False), ("node 7", True), ("12", True), ("Room 12", False), ("Contest", True), ("What?", True), ("", False), (None, False)]
-
-
-@query("suspicious_names", stated(["name", "suspicious"], NODES))
-def suspicious_names(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "name string", [(r[0],) for r in NODES]).select("name", labels.suspicious_name(F.col("name")).alias("suspicious"))
-
-
-TEXTS = [
-    ("1-312-555-0199", "(312) 555-0199", "+13125550199", 1.0), ("(312) 555 0199", "(312) 555-0199", "+13125550199", 1.0), (" 555-0199 ", "555-0199", "555-0199", 0.3),
-    ("23125550199", "23125550199", "23125550199", 0.3), ("", "", None, None), (None, None, None, None),
-]
-
-
-@query("phone_shapes", stated(["raw", "phone", "e164", "confidence"], TEXTS))
-def phone_shapes(spark: SparkSession, d: str) -> DataFrame:
-    e = text.phone_e164(F.col("raw"))
-    return given(spark, "raw string", [(r[0],) for r in TEXTS]).select("raw", text.clean_phone(F.col("raw")).alias("phone"), e["phone"].alias("e164"), e["confidence"].alias("confidence"))
-
-
-SCORES = [
-    ("MARTHA", "MARHTA", 0.961111), ("DWAYNE", "DUANE", 0.84), ("DIXON", "DICKSONX", 0.813333), ("ABCD", "DCBA", 0.5), ("JELLYFISH", "SMELLYFISH", 0.896296),
-    ("A", "A", 1.0), ("", "A", 0.0), ("ABC", "XYZ", 0.0), (None, "A", None),
-]
-
-
-@query("name_similarity", stated(["a", "b", "score"], SCORES))
-def name_similarity(spark: SparkSession, d: str) -> DataFrame:
-    return given(spark, "a string, b string", [r[:2] for r in SCORES]).select("a", "b", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6).alias("score"))
