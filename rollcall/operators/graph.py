@@ -104,16 +104,24 @@ def ancestors(tree: DataFrame, id_col: str, parent: str) -> DataFrame:
     out = ids.select("descendant", F.col("descendant").alias("ancestor"), F.lit(0).alias("distance"))
     sound = flatten_pointers(tree, id_col, parent).where("state IN ('ok', 'dangling')").select(F.col(id_col).alias("id"))
     steps = tree.where(F.col(parent).isNotNull()).select(F.col(id_col).alias("id"), F.col(parent).alias("to"))
-    jump, known, size = settle(steps.join(sound, "id", "left_semi")), settle(out), 1
+    jump, parts, size = settle(steps.join(sound, "id", "left_semi")), [out], 1
     while not jump.isEmpty():
         leap = jump.select(F.col("id").alias("descendant"), F.col("to").alias("middle"))
         # a parent that no row has is an ancestor all the same, at the end of its chain
-        reach = known.select(F.col("descendant").alias("middle"), "ancestor", "distance")
+        reach = _stacked(parts).select(F.col("descendant").alias("middle"), "ancestor", "distance")
         further = leap.join(reach, "middle", "left").select("descendant", F.coalesce("ancestor", "middle").alias("ancestor"), (F.coalesce("distance", F.lit(0)) + size).alias("distance"))
-        known = settle(known.unionByName(further))
-        jump = settle(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")))
-        size *= 2
-    return known
+        parts.append(settle(further))  # pairs that are known are not written again
+        after = settle(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")))
+        discard(jump)
+        jump, size = after, 2 * size
+    return _stacked(parts)
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def depths(tree: DataFrame, id_col: str, parent: str) -> DataFrame:

@@ -23,8 +23,8 @@ from .settled import discard, settle
 LEVELS = 20
 #: The search starts at the deepest level with so few pairs of cubes, all of which are looked at.
 FIRST_PAIRS = 100_000
-#: A cube of askers is done when its candidates are at most this many times k, and its askers at most ASKERS.
-CROWD, ASKERS = 48, 20_000
+#: A cube of askers is done when its candidates are at most CROWD, or PER_WANTED for each one wanted, and its askers at most ASKERS.
+CROWD, PER_WANTED, ASKERS = 256, 16, 20_000
 #: Rows at one place beyond which their answers are broadcast to them, not joined: at most a row for each MANY rows of left.
 MANY = 200_000
 AXES = ("x", "y", "z")
@@ -43,11 +43,13 @@ def _at_level(c: str) -> Column:
     return F.expr(f"shiftright({c}, {LEVELS} - level)")
 
 
-def _pyramid(cells: DataFrame, groups: list[str], n: str, tag: str) -> DataFrame:
-    """(groups, level, x, y, z, n) of every cube with something in it."""
-    last = cells.groupBy(*groups, "cx", "cy", "cz").agg(F.sum(n).alias("n"))
+def _pyramids(askers: DataFrame, partners: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, side, level, x, y, z, n) of every cube with something in it, of both sides in one pass: side is a or p."""
+    cells = ["cx", "cy", "cz"]
+    both = askers.select(*groups, F.lit("a").alias("side"), *cells, F.lit(1).alias("n")).unionByName(partners.select(*groups, F.lit("p").alias("side"), *cells, F.size("ids").alias("n")))
+    last = both.groupBy(*groups, "side", *cells).agg(F.sum("n").alias("n"))
     every = last.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(LEVELS))))
-    return settle(every.groupBy(*groups, "level", *[_at_level(f"c{a}").alias(a) for a in AXES]).agg(F.sum("n").alias("n")), tag)
+    return settle(every.groupBy(*groups, "side", "level", *[_at_level(f"c{a}").alias(a) for a in AXES]).agg(F.sum("n").alias("n")), "cubes-of-all-levels")
 
 
 def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, *, k: int = 1, exclude_equal_ids: bool = False, same: Sequence[str] = (), max_km: float | None = None) -> DataFrame:
@@ -69,8 +71,8 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, *, k
     kept = near_ids.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= wanted)
     partners = kept.groupBy(*place, "cx", "cy", "cz").agg(F.array_sort(F.collect_list("rid")).alias("ids"))
 
-    there = _pyramid(partners.withColumn("n", F.size("ids")), groups, "n", "partner-cubes")
-    here = _pyramid(spots.withColumn("n", F.lit(1)), groups, "n", "asker-cubes")
+    cubes = _pyramids(spots, partners, groups)
+    here, there = cubes.where("side = 'a'").drop("side"), cubes.where("side = 'p'").drop("side")
     found = _descend(here, there, groups, wanted, max_km)
     # every done cube of askers with the positions of its partners, then with its own
     cube = ["level", *AXES]
@@ -88,7 +90,7 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, *, k
     first = Window.partitionBy(*groups, "level", *AXES, "__lat", "__lon").orderBy("km", "rid")
     best = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= wanted)
     answers = settle(best.groupBy(*place).agg(F.first("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("km", "rid"))).alias("answer")), "answers")
-    discard(here, there)
+    discard(cubes)
     asked = askers.select(F.col(left_id).alias("__id"), *place)
     told = _told(asked, answers, place)
     answer = F.filter("answer", lambda e: F.col("__id") != e["rid"]) if exclude_equal_ids else F.col("answer")
@@ -120,7 +122,7 @@ def _descend(here: DataFrame, there: DataFrame, groups: list[str], wanted: int,
     done: DataFrame | None = None
     for level in range(start, LEVELS + 1):
         state = settle(_pruned(pairs, groups, wanted, level, max_km), "cubes")
-        open_pairs = (F.col("candidates") > CROWD * wanted) | (F.col("askers") > ASKERS) if level < LEVELS else F.lit(False)
+        open_pairs = (F.col("candidates") > max(CROWD, PER_WANTED * wanted)) | (F.col("askers") > ASKERS) if level < LEVELS else F.lit(False)
         closed = state.where(~open_pairs).select(*groups, F.lit(level).alias("level"), "qx", "qy", "qz", *AXES, "reach")
         done = closed if done is None else done.unionByName(closed)
         rest = state.where(open_pairs)

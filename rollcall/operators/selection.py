@@ -34,9 +34,12 @@ def values_at(df: DataFrame, keys: Sequence[str], value: str, places: dict[str,
     path = [*[f"{n}" for n in key_names], "path"]
     first = rows.groupBy(*key_names).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
     wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.greatest(F.lit(0), F.least(F.floor(at).cast("long"), F.col("n") - 1)).alias("rank")) for name, at in places.items()]))
-    targets = settle(first.select(*key_names, F.lit("").alias("path"), "n", "low", "high", wanted.alias("t")).select(*path, "n", "low", "high", "t.name", "t.rank"), "targets")
+    targets = first.select(*key_names, F.lit("").alias("path"), "n", "low", "high", wanted.alias("t")).select(*path, "n", "low", "high", "t.name", "t.rank")
     rows, held = rows.withColumn("path", F.lit("")), []
-    while True:
+    crowded = not first.where((F.col("n") > FEW) & (F.col("high") > F.col("low"))).isEmpty()
+    if crowded:
+        targets = settle(targets, "targets")
+    while crowded:
         open_targets = targets.where((F.col("n") > FEW) & (F.col("high") > F.col("low")))
         if open_targets.isEmpty():
             break
@@ -60,7 +63,9 @@ def values_at(df: DataFrame, keys: Sequence[str], value: str, places: dict[str,
         rows = settle(_beside(still, kept, path).unionByName(rest), "selected")
         discard(targets, *held)
         targets, held = after, [rows]
-    counts = _beside(rows, targets.select(*path).distinct(), path).groupBy(*path, "v").agg(F.count(F.lit(1)).alias("n"))
+    if crowded:  # else every group is one that is ranked whole
+        rows = _beside(rows, targets.select(*path).distinct(), path)
+    counts = rows.groupBy(*path, "v").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*path).orderBy("v"))
     ranked = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
     on = [targets[c].eqNullSafe(ranked[c]) for c in path] + [targets["rank"] >= ranked["before"], targets["rank"] < ranked["upto"]]
