@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from rollcall.functions import geo, labels, rules, similarity, text
 from rollcall.operators import geocode, graph, linkage, matching, provenance, spatial
 from rollcall.operators.settled import shared_dir
+from rollcall.plans.exchange import _folder, _write_bytes
+from rollcall.sources import files
 from tests.compare import rows
 
 CASES = {}
