@@ -109,6 +109,17 @@ def test_toxicity_scores(spark, docs):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out)
 
 
+def test_held_out_toxic_labels(spark):
+    """Of labelled texts that no dictionary or threshold has seen: most toxic ones are caught, clean ones left alone."""
+    folder = f"{DATA}/sf0.1"
+    toxic = dict(views(folder).execute("SELECT doc_id, toxic FROM labels WHERE toxic IS NOT NULL").fetchall())
+    held = [(r["predicted"], toxic[r["doc_id"]]) for r in entry.queries()["op6_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in toxic]
+    caught, bad = sum(p and t for p, t in held), sum(t for _, t in held)
+    spared, good = sum(not p and not t for p, t in held), sum(not t for _, t in held)
+    assert bad > 90 and good > 700
+    assert caught >= 0.7 * bad and spared >= 0.98 * good
+
+
 def test_mixture_equals_its_sql(spark):
     columns, got, names, want = both(spark, entry.queries()["op4_mixture"], entry.oracle_sql()["op4_mixture"], SF)
     assert columns == names and got == want
