@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import sequence_ratio
 from ..functions.text import let
+from .settled import settle
 
 #: Left rows of one item and block that one task compares with the right rows of it.
 CROWD = 5_000
@@ -40,7 +41,7 @@ def prefix_pairs(left: DataFrame, right: DataFrame, block: list[str], items: str
     Rows with fewer items than they need, null blocks and null items meet nobody.
     """
     usable = lambda df: df.where((F.col(need) >= 1) & (F.size(items) >= F.col(need))).dropna(subset=block)
-    l, r = usable(left), usable(right)
+    l, r = settle(usable(left), "items"), settle(usable(right), "items")  # items are dear, and read three times
     every = l.select(F.explode(items).alias("g")).unionByName(r.select(F.explode(items).alias("g")))
     counts = every.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     counts = F.broadcast(counts) if counts.limit(MOST_ITEMS + 1).count() <= MOST_ITEMS else counts
