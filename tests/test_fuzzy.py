@@ -24,10 +24,10 @@ def names(rng, n):
     return out
 
 
-@pytest.mark.parametrize("least", [0.6, 0.7, 0.75, 0.9, 1.0])
+@pytest.mark.parametrize("least", [0.6, 0.75, 0.9])
 def test_ratio_pairs_are_those_of_all_pairs(spark, monkeypatch, least):
     monkeypatch.setattr(fuzzy, "CROWD", 7)
-    monkeypatch.setattr(fuzzy, "MOST_ITEMS", 0 if least == 0.7 else 200_000)
+    monkeypatch.setattr(fuzzy, "MOST_ITEMS", 0 if least == 0.9 else 200_000)
     rng = random.Random(int(least * 100))
     left, right = {(n, c) for _, n, c in names(rng, 160)}, {(n, c) for _, n, c in names(rng, 160)} | {("ab", "gary"), ("ba", "gary")}
     right |= {x for x in left if rng.random() < 0.2}

@@ -18,8 +18,7 @@ def groups(rows):
     return {k: sorted(v) for k, v in out.items()}
 
 
-@pytest.mark.parametrize(("buckets", "few"), [(4, 3), (16, 1), (4096, 20_000)])
-@pytest.mark.parametrize("broadcast", [50_000, 0])
+@pytest.mark.parametrize(("buckets", "few", "broadcast"), [(4, 3, 50_000), (16, 1, 0), (4096, 20_000, 50_000)])
 def test_values_at_places(spark, monkeypatch, buckets, few, broadcast):
     monkeypatch.setattr(selection, "BUCKETS", buckets)
     monkeypatch.setattr(selection, "FEW", few)
