@@ -89,7 +89,7 @@ def test_broken_markup(html, text):
 
 @pytest.mark.parametrize("unit", ['<a "', "<a '\">", "<!", "<?x", '<a "x>" <b', "</div", "<script", "<a href='\"", "<div>", '<p class="', "<a '<b \">\" '>", "<!-- ", '<b"><i\'>', "<p", "<div></x>"])
 def test_broken_pages_take_time_in_proportion(unit):
-    """A megabyte or so of the worst pieces, on which patterns that go back and forth take hours."""
+    """A third of a megabyte of the worst pieces, on which patterns that go back and forth take hours."""
     start = time.process_time()
-    html_text.parse(unit * (1_000_000 // len(unit)) + "'")
-    assert time.process_time() - start < 60
+    html_text.parse(unit * (300_000 // len(unit)) + "'")
+    assert time.process_time() - start < 20
