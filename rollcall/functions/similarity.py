@@ -133,3 +133,13 @@ def match_score(name: Column, city: Column, state: Column, title: Column, descri
     told = sum((F.contains(F.lower(text(body)), F.lit(w)).cast("int") for w in PAGE_WORDS), F.lit(0))
     total = title_score(title, name) * 0.5 + has(city, 0.15) + has(state, 0.10) + F.least(told * 0.05, F.lit(0.25))
     return F.struct(F.round(F.least(total, F.lit(1.0)), 2).alias("score"), (F.round(total, 9) >= 0.5).alias("is_match"))
+
+
+def result_score(name: Column, url: Column, title: Column) -> Column:
+    """How well a search result fits a name: the title's score if over 0.5, else the larger of it and 0.6 of the share of the
+    name's runs of letters a-z that have over three letters and stand in the URL; to two places. Nulls are empty texts."""
+    by_title = title_score(title, name)
+    pieces = F.regexp_extract_all(F.lower(F.coalesce(name, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+    told = F.size(F.filter(pieces, lambda p: (F.length(p) > 3) & F.contains(F.lower(F.coalesce(url, F.lit(""))), p)))
+    share = told / F.greatest(F.size(pieces), F.lit(1))
+    return F.when(by_title > 0.5, by_title).otherwise(F.round(F.greatest(by_title, share * 0.6), 2))

@@ -49,7 +49,7 @@ def stated(names: Sequence[str], rows: Sequence[tuple]) -> str:
 
 
 def _load() -> None:
-    from . import curation, derived, exchange, history, places, records, relational, remaining, rules  # noqa: F401  (they register themselves)
+    from . import curation, derived, exchange, facts, history, places, records, relational, remaining, rules  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict[str, Query]:
