@@ -89,14 +89,18 @@ def near_duplicate_classes(
 
 
 def _representatives(light: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, n, rep) for every row: rep is the smallest id with the row's digest. Digests of many rows are looked up, not shuffled."""
+    """(id, n, rep) for every row: rep is the smallest id with the row's digest, or the row's own id if it has no word.
+
+    Digests of many rows are looked up, not shuffled; rows without words, which share one digest, meet nothing.
+    """
+    blank, light = light.where("n = 0"), light.where("n > 0")
     hot = classes.where(F.col("members") > HOT_ROWS).select("digest", "rep")
     plain = light.join(classes.select("digest", "rep"), "digest", "left")
     if 0 < hot.count() <= BROADCAST_IDS:
         looked_up = light.join(F.broadcast(hot), "digest", "left").withColumnRenamed("rep", "known")
         rest = looked_up.where("known IS NULL").join(classes.where(F.col("members") <= HOT_ROWS).select("digest", "rep"), "digest", "left")
         plain = looked_up.where("known IS NOT NULL").withColumnRenamed("known", "rep").unionByName(rest.drop("known"))
-    return plain.select("id", "n", F.coalesce("rep", "id").alias("rep"))
+    return plain.select("id", "n", "rep").unionByName(blank.select("id", "n", F.col("id").alias("rep")))
 
 
 def _placed(full: DataFrame, parts: DataFrame) -> DataFrame:
