@@ -145,10 +145,13 @@ def code_texts(rows: DataFrame, terms: list[str]) -> DataFrame:
     return materialize(rows.where("text IS NOT NULL").mapInArrow(code, schema), "coded-texts")
 
 
-def fit_space(coded: DataFrame, terms: list[str], items: list[Item], *, rank: int, max_share: float, least_words: int, item_weight: float, seed: int) -> LatentSpace:
-    """The latent space of one block of items, from all passages of the coded texts."""
+def fit_space(coded: DataFrame, terms: list[str], items: list[Item], *, rank: int, max_share: float, least_words: int, item_weight: float, seed: int, most_tasks: int) -> LatentSpace:
+    """The latent space of one block of items, from all passages of the coded texts.
+
+    Each task tells up to rank floats for every vocabulary word, so at most most_tasks tasks read the texts, one after the other.
+    """
     width = 2 * max(16, min(256, max((len(i.words) for i in items), default=16)))
-    texts, n_terms = coded.select("codes"), len(terms)
+    texts, n_terms = coded.select("codes").coalesce(most_tasks), len(terms)
     number = {w: k for k, w in enumerate(terms)}
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +236,7 @@ def find_leaks(
     min_common_answered: float = 0.55,
     min_answer: float = 0.9,
     seed: int = 5,
+    most_tasks: int = 4096,
 ) -> DataFrame:
     """(id, item, cosine, common, answer) for every row of docs and benchmark item that it holds; other columns are not read.
 
@@ -243,7 +247,7 @@ def find_leaks(
     repeat are reported each, null ids with their null; items that repeat an id are told apart only by their figures.
     An empty table on either side gives no rows. Documents are read whole and once: their words are coded by the
     benchmark's vocabulary, which the driver and the tasks hold, as they hold the items; the codes are read three times
-    for every block_items items.
+    for every block_items items, twice of these by most_tasks tasks at most, whose sums are what is shuffled.
     """
     item_type = benchmark.select(F.col(item_col).alias("item")).schema["item"].dataType
     ids = docs.select(F.col(id_col).alias("id")).schema["id"]
@@ -258,7 +262,7 @@ def find_leaks(
         coded = code_texts(rows, terms)
         for at in range(0, len(items), block_items):
             block = items[at : at + block_items]
-            space = fit_space(coded, terms, block, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed)
+            space = fit_space(coded, terms, block, rank=rank, max_share=max_share, least_words=least_words, item_weight=item_weight, seed=seed, most_tasks=most_tasks)
             search = _searcher(space, block, number, schema, min_cosine, min_common, min_common_answered, min_answer)
             found = found.unionByName(materialize(coded.mapInArrow(search, schema), "leaks"))
         discard(coded)
