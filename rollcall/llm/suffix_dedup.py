@@ -27,6 +27,8 @@ GRAM = 16
 #: Side tables up to this size are broadcast to the chunks; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 NO_ID = np.iinfo(np.int64).max
+#: Rows of chunks that are written, and read again, together.
+CHUNKS_AT_ONCE = 8
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -44,14 +46,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carried")] if carry else []))
     more = [T.StructField("carried", T.ArrayType(source.schema["carried"].dataType))] if carry else []
     packed = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("size", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("body", T.BinaryType()), *more])
-    chunks = materialize(source.mapInArrow(_packer(chunk_bytes), packed), "chunks")
+    chunks = materialize(source.mapInArrow(_packer(chunk_bytes), packed), "chunks", CHUNKS_AT_ONCE)
     total = chunks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-total // part_bytes))
     sent = chunks.select("chunk", "lengths", "body").mapInArrow(_hash_sender(length, parts), "part int, chunk long, hashes binary")
     repeated = sent.groupBy("part").applyInArrow(_find_repeated, "part int, chunk long, bits binary")
     bits = materialize(repeated.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("found")), "repeated-grams")
-    open_chunks = _beside(chunks.select("chunk", "ids", "lengths", "body"), bits, F.expr("aggregate(found, 0L, (s, x) -> s + length(x.bits))"))
-    runs = materialize(open_chunks.mapInArrow(_run_builder(length, parts), "chunk long, places binary, runs array<struct<part: int, data: binary>>"), "suffix-runs")
+    # a struct takes forty bytes beside its bits
+    open_chunks = _beside(chunks.select("chunk", "ids", "lengths", "body"), bits, F.expr("aggregate(found, 0L, (s, x) -> s + length(x.bits) + 40)"))
+    runs = materialize(open_chunks.mapInArrow(_run_builder(length, parts), "chunk long, places binary, runs array<struct<part: int, data: binary>>"), "suffix-runs", CHUNKS_AT_ONCE)
     merged = runs.select("chunk", F.explode("runs").alias("r")).select("chunk", "r.part", "r.data").groupBy("part").applyInArrow(_merger(length), "part int, chunk long, masks binary")
     answers = merged.groupBy("chunk").agg(F.collect_list(F.struct("part", "masks")).alias("answers"))
     spans = materialize(runs.select("chunk", "places").join(answers, "chunk").mapInArrow(_span_finder(length), "chunk long, spans binary"), "spans")

@@ -21,13 +21,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def settle(df: DataFrame, tag: str = "step") -> DataFrame:
+def settle(df: DataFrame, tag: str = "step", rows_at_once: int | None = None) -> DataFrame:
     """df written to the shared folder and read back: every later pass sees the same rows, and a lost executor loses none.
 
-    The files stay until they are discarded or the folder is cleared, as checkpoint files do.
+    rows_at_once: for rows of megabytes, how many a writer holds and a reader loads together; a writer looks at its bytes
+    after a hundred rows only, and a reader takes thousands. The files stay until they are discarded or the folder is
+    cleared, as checkpoint files do.
     """
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if rows_at_once:
+        writer = writer.option("parquet.block.row.count.limit", rows_at_once)
+    writer.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
