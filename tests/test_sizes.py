@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 
 from rollcall.functions import directories
 from rollcall.llm.suffix_dedup import CHUNKS_AT_ONCE, remove_repeats
+from rollcall.operators import linkage
 from rollcall.operators.settled import shared_dir
 
 
@@ -23,3 +24,10 @@ def test_long_directory_keeps_its_end(spark):
     entry = "Hope Chapel\n12 Elm Rd\n\n"
     text = spark.sql(f"SELECT 1 AS id, concat('Churches and\nSynagogues\n\n', repeat('{entry}', 6000)) AS text")
     assert directories.directory_entries(text, "id", "text").count() == 6000
+
+
+def test_ids_of_six_digits_are_not_cut(spark):
+    seen = spark.range(100_002).selectExpr("id AS cluster", "'n' AS name", "1L AS era")
+    ids = linkage.roll_up(seen, "cluster", "name", "era").where("cluster % 10000 IN (0, 1)").select("cluster", "entity_id")
+    got = {r["cluster"]: r["entity_id"] for r in ids.collect()}
+    assert got[0] == "e_00001" and got[90_000] == "e_90001" and got[100_000] == "e_100001" and got[100_001] == "e_100002"
