@@ -57,14 +57,22 @@ def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tupl
 
 
 def radius_sums(centres: DataFrame, points: DataFrame, centre_id: str, value: str | None, radii: Sequence[float], *, exclude_self: str | None = None, prefix: str = "within", hot_salt: int = 1) -> DataFrame:
-    """(centre_id, within_<r>...): the sum of value (number of points if None) within each radius; 0 where there is none."""
-    pairs = within_radius(centres, points, max(radii), hot_salt=hot_salt)
-    if exclude_self:
-        pairs = pairs.where(F.col(f"l.{centre_id}") != F.col(f"r.{exclude_self}"))
-    amount = F.col(f"r.{value}") if value else F.lit(1)
+    """(centre_id, within_<r>...): the sum of value (number of points if None) within each radius; 0 where there is none.
+
+    Points of one place are summed up before they meet, and centres of one place meet them once, so that pairs grow with the
+    places. With exclude_self (an id of points that a centre's own id leaves out) rows meet one by one.
+    """
     name = lambda r: f"{prefix}_{r:g}".replace(".", "_")
-    sums = pairs.groupBy(F.col(f"l.{centre_id}").alias(centre_id)).agg(*[F.sum(F.when(F.col("km") <= r, amount)).alias(name(r)) for r in radii])
-    return centres.select(centre_id).join(sums, centre_id, "left").fillna(0, [name(r) for r in radii])
+    sums_of = lambda amount: [F.sum(F.when(F.col("km") <= r, amount)).alias(name(r)) for r in radii]
+    if exclude_self:
+        pairs = within_radius(centres, points, max(radii), hot_salt=hot_salt).where(F.col(f"l.{centre_id}") != F.col(f"r.{exclude_self}"))
+        sums = pairs.groupBy(F.col(f"l.{centre_id}").alias(centre_id)).agg(*sums_of(F.col(f"r.{value}") if value else F.lit(1)))
+        return centres.select(centre_id).join(sums, centre_id, "left").fillna(0, [name(r) for r in radii])
+    known = lambda df: df.where("lat IS NOT NULL AND lon IS NOT NULL")
+    places = known(points).groupBy("lat", "lon").agg((F.sum(value) if value else F.count(F.lit(1))).alias("__v"))
+    pairs = within_radius(known(centres).select("lat", "lon").distinct(), places, max(radii), hot_salt=hot_salt)
+    sums = pairs.groupBy(F.col("l.lat").alias("lat"), F.col("l.lon").alias("lon")).agg(*sums_of(F.col("r.__v")))
+    return centres.select(centre_id, "lat", "lon").join(sums, ["lat", "lon"], "left").select(centre_id, *[name(r) for r in radii]).fillna(0, [name(r) for r in radii])
 
 
 def nearest_by_category(left: DataFrame, right: DataFrame, left_id: str, right_id: str, category: str, categories: Sequence[str], **options) -> DataFrame:

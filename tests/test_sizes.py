@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 
 from rollcall.functions import directories
 from rollcall.llm.suffix_dedup import CHUNKS_AT_ONCE, remove_repeats
-from rollcall.operators import linkage
+from rollcall.operators import linkage, spatial
 from rollcall.operators.settled import shared_dir
 
 
@@ -31,3 +31,13 @@ def test_ids_of_six_digits_are_not_cut(spark):
     ids = linkage.roll_up(seen, "cluster", "name", "era").where("cluster % 10000 IN (0, 1)").select("cluster", "entity_id")
     got = {r["cluster"]: r["entity_id"] for r in ids.collect()}
     assert got[0] == "e_00001" and got[90_000] == "e_90001" and got[100_000] == "e_100001" and got[100_001] == "e_100002"
+
+
+def test_radius_sums_of_copies(spark):
+    """100,000 points on one place and as many centres on another: 10^10 pairs, if rows met one by one."""
+    centres = spark.range(100_000).selectExpr("id", "10.0 AS lat", "20.0 AS lon").unionByName(spark.sql("SELECT -1L AS id, CAST(NULL AS DOUBLE) AS lat, 1.0 AS lon"))
+    points = spark.range(100_000).selectExpr("10.5 AS lat", "20.0 AS lon", "IF(id % 2 = 0, 1.0D, NULL) AS v")
+    n = spatial.radius_sums(centres, points, "id", None, [10.0, 100.0]).groupBy("within_10", "within_100").count().collect()
+    assert sorted(map(tuple, n)) == [(0, 0, 1), (0, 100_000, 100_000)]
+    v = spatial.radius_sums(centres, points, "id", "v", [100.0]).groupBy("within_100").count().collect()
+    assert sorted(map(tuple, v)) == [(0.0, 1), (50_000.0, 100_000)]
