@@ -59,7 +59,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     """(node, component) for every node that has an edge to another; component is the smallest node within reach.
 
     Alternates stars: each node's larger neighbours move to its smallest one, then its smaller neighbours do. Every round
-    is two aggregations and joins over the edges, written to the shared folder; only a count and a checksum come to the
+    is two aggregations and joins over the edges, none broadcast, written to the shared folder; only a count and a checksum come to the
     driver. Ends when a round changes nothing. Null ends, self-loops and repeated edges are ignored; no edges give no rows.
     """
     a, b = F.col(u), F.col(v)
@@ -84,13 +84,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Each node hands its larger neighbours to the smallest node that it knows of."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node hands its smaller neighbours, and itself, to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+    moved = edges.join(least.hint("merge"), "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

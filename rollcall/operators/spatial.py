@@ -25,11 +25,12 @@ def _cell(lat: Column, lon: Column, size: float, columns: int) -> tuple[Column,
     return F.floor((lat + 90) / size).cast("long"), F.least(col, F.lit(columns - 1).cast("long"))
 
 
-def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tuple[str, str] = ("lat", "lon"), right_at: tuple[str, str] = ("lat", "lon"), how: str = "inner", distance: str = "km", hot_salt: int = 1) -> DataFrame:
+def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tuple[str, str] = ("lat", "lon"), right_at: tuple[str, str] = ("lat", "lon"), how: str = "inner", distance: str = "km", hot_salt: int = 1, shuffled: bool = False) -> DataFrame:
     """All pairs at most km apart, with columns l.* and r.* as structs `l` and `r`, and the distance.
 
     how: inner, or left (rows of left without a partner have null r). Rows without coordinates have no partner. The
-    smaller side should be left: its rows are copied to the cells around them.
+    smaller side should be left: its rows are copied to the cells around them. shuffled: no side is broadcast, whatever its
+    files' size; few bytes of Parquet can be many rows.
     """
     size = max(km / KM_PER_DEGREE, 1e-6)
     l = left.select(F.struct(*left.columns).alias("l"), F.col(left_at[0]).cast("double").alias("la"), F.col(left_at[1]).cast("double").alias("lo"))
@@ -49,7 +50,7 @@ def within_radius(left: DataFrame, right: DataFrame, km: float, *, left_at: tupl
         there = there.withColumn("salt", F.pmod(F.xxhash64("r"), F.lit(hot_salt)).cast("int"))
         keys.append("salt")
     km_apart = haversine_km(F.col("la"), F.col("lo"), F.col("ra"), F.col("ro"))
-    pairs = near.join(there, keys).withColumn(distance, km_apart).where(F.col(distance) <= km).select("l", "r", distance)
+    pairs = near.join(there.hint("merge") if shuffled else there, keys).withColumn(distance, km_apart).where(F.col(distance) <= km).select("l", "r", distance)
     if how == "inner":
         return pairs
     lonely = l.select("l").join(pairs.select(F.col("l").alias("found")).distinct(), F.col("l").eqNullSafe(F.col("found")), "left_anti")
@@ -101,16 +102,17 @@ def dbscan(points: DataFrame, id_col: str, eps_km: float, min_points: int, compo
     """(id, cluster, core): density clusters; cluster is the smallest core id of it, -1 for noise.
 
     A point is core if at least min_points points, itself included, lie within eps_km. Border points join the cluster of
-    their nearest core point. components: a function from (u, v) edges to (node, component).
+    their nearest core point. components: a function from (u, v) edges to (node, component). All tables here can have a row
+    for each point, so none is broadcast.
     """
-    pairs = within_radius(points, points, eps_km).select(F.col(f"l.{id_col}").alias("u"), F.col(f"r.{id_col}").alias("v"), "km")
-    core = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_points).select(F.col("u").alias("c"))
+    pairs = within_radius(points, points, eps_km, shuffled=True).select(F.col(f"l.{id_col}").alias("u"), F.col(f"r.{id_col}").alias("v"), "km")
+    core = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_points).select(F.col("u").alias("c")).hint("merge")
     reach = pairs.join(core, F.col("v") == F.col("c")).drop("c")
     edges = reach.join(core, F.col("u") == F.col("c"), "left_semi")
     labels = components(edges.select("u", "v"))
     own = reach.groupBy("u").agg(F.min(F.struct("km", "v")).alias("b")).select("u", F.col("b.v").alias("via"))
-    labelled = own.join(labels, F.col("via") == F.col("node"), "left").select("u", F.coalesce("component", "via").alias("cluster"))
-    out = points.select(id_col).join(labelled, F.col(id_col) == F.col("u"), "left").join(core, F.col(id_col) == F.col("c"), "left")
+    labelled = own.join(labels.hint("merge"), F.col("via") == F.col("node"), "left").select("u", F.coalesce("component", "via").alias("cluster"))
+    out = points.select(id_col).join(labelled.hint("merge"), F.col(id_col) == F.col("u"), "left").join(core, F.col(id_col) == F.col("c"), "left")
     return out.select(id_col, F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.col("c").isNotNull().alias("core"))
 
 

@@ -349,7 +349,8 @@ def density_clusters(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     up = F.when(k % 10 < 5, k % 10 * 0.001).otherwise(0.1 * (k % 10))
     g = F.floor(k / 10)
-    points = table(spark, d, "customer").select(k.alias("id"), (g % 80 * 1.5 - 60 + up).alias("lat"), (F.floor(g / 80) * 1.5 - 170).alias("lon"))
+    # columns of tens are 0.5 km apart at least, and don't come round the globe before 28 million customers
+    points = table(spark, d, "customer").select(k.alias("id"), (g % 80 * 1.5 - 60 + up).alias("lat"), (F.floor(g / 80) * 0.01 - 170).alias("lon"))
     return spatial.dbscan(points, "id", 0.2, 3, graph.connected_components).select("id", F.col("cluster").cast("long").alias("cluster"), "core")
 
 

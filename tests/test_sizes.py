@@ -76,3 +76,10 @@ def test_held_beginnings_of_any_length(spark):
             want[i] = (min(good)[1], float(-min(good)[0]))
     got = matching.first_words_match(l, l.withColumnRenamed("id", "partner"), "id", "partner", "name", "k")
     assert {r["id"]: (r["partner"], r["score"]) for r in got.collect()} == want
+
+
+def test_clusters_broadcast_nothing(spark):
+    points = spark.range(100).selectExpr("id", "CAST(id AS DOUBLE) AS lat", "20.0D AS lon")
+    out = spatial.dbscan(points, "id", 1.0, 1, lambda edges: edges.selectExpr("u AS node", "v AS component"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("core").count() == 100
