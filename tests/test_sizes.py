@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from rollcall.functions import directories
 from rollcall.llm.suffix_dedup import CHUNKS_AT_ONCE, remove_repeats
@@ -83,3 +84,13 @@ def test_clusters_broadcast_nothing(spark):
     out = spatial.dbscan(points, "id", 1.0, 1, lambda edges: edges.selectExpr("u AS node", "v AS component"))
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.where("core").count() == 100
+
+
+def test_block_pairs_come_once_without_being_aggregated(spark):
+    l = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (2, None, 5), (3, "a", None), (3, "c", 6)], "a long, x string, y long")
+    r = spark.createDataFrame([(9, "a", 5), (9, "b", 6), (8, None, 5), (7, "c", None)], "b long, x string, y int")
+    blocks = [(F.col("x"), F.col("x")), (F.col("y"), F.col("y"))]
+    out = linkage.block_pairs(l, r, "a", "b", blocks)
+    assert sorted(map(tuple, out.collect())) == [(1, 8), (1, 9), (2, 8), (2, 9), (3, 7), (3, 9)]
+    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, linkage.block_pairs(l, r, "a", "b", blocks, most=2).collect())) == [(1, 9), (3, 7), (3, 9)]
