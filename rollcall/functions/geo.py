@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,12 +146,22 @@ def _off_segment(x: np.ndarray, y: np.ndarray, x1: float, y1: float, x2: float,
     return np.hypot(x - x1 - t * dx, y - y1 - t * dy)
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
-def _simplified(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
-    def one(line, most):
-        if line is None:
-            return None
-        x, y = (np.array([p[c] for p in line], float) for c in ("x", "y"))
-        return [{"x": x[i], "y": y[i]} for i in simplified_corners(x, y, most)]
-
-    return pd.Series([one(line, most) for line, most in zip(lines, tolerance, strict=True)])
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
+def _simplified(lines: pa.Array, tolerance: pa.Array) -> pa.Array:
+    """Coordinates stay in columns, and equal lines of a batch are simplified once."""
+    corners = lines.flatten()
+    x, y = (corners.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    known, kept, sizes, at = {}, [], [], 0
+    for n, most in zip(pc.list_value_length(lines).to_pylist(), tolerance.to_pylist(), strict=True):
+        if n is not None:
+            mine = (x[at : at + n], y[at : at + n])
+            key = (mine[0].tobytes(), mine[1].tobytes(), most)
+            if key not in known:
+                known[key] = simplified_corners(*mine, most)
+            kept.append(known[key] + at)
+            at += n
+        sizes.append(None if n is None else len(kept[-1]))
+    places = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+    ends = np.cumsum([0, *(k or 0 for k in sizes)])
+    offsets = pa.array([None if k is None else o for o, k in zip(ends, sizes, strict=False)] + [ends[-1]], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(x[places]), pa.array(y[places])], names=["x", "y"]))

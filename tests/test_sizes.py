@@ -3,10 +3,12 @@
 import re
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from rollcall.functions import directories
+from rollcall.functions import directories, geo
 from rollcall.llm.suffix_dedup import CHUNKS_AT_ONCE, remove_repeats
 from rollcall.operators import linkage, matching, spatial
 from rollcall.operators.settled import shared_dir
@@ -94,3 +96,15 @@ def test_block_pairs_come_once_without_being_aggregated(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 8), (1, 9), (2, 8), (2, 9), (3, 7), (3, 9)]
     assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, linkage.block_pairs(l, r, "a", "b", blocks, most=2).collect())) == [(1, 9), (3, 7), (3, 9)]
+
+
+def test_lines_of_every_kind_are_simplified(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(geo, "simplified_corners", lambda x, y, t: calls.append(1) or np.arange(len(x)))
+    point = lambda x, y: {"x": x, "y": y}
+    lines = pa.array([[point(0.0, 0.0), point(1.0, 2.0)], None, [], [point(0.0, 0.0), point(1.0, 2.0)], [point(3.0, 4.0)]])
+    assert geo._simplified.func(lines, pa.array([0.1] * 5)).to_pylist() == lines.to_pylist()
+    assert len(calls) == 3  # equal lines once
+    monkeypatch.undo()
+    got = spark.sql("SELECT NULLIF(array(struct(0 AS x, 0 AS y), struct(1 AS x, 0 AS y), struct(2 AS x, 0 AS y)), IF(id = 1, array(struct(0 AS x, 0 AS y), struct(1 AS x, 0 AS y), struct(2 AS x, 0 AS y)), NULL)) AS l FROM range(2)").select(geo.simplify(F.col("l"), 0.1).alias("s"))
+    assert sorted([None if r["s"] is None else [tuple(p) for p in r["s"]] for r in got.collect()], key=str) == [None, [(0.0, 0.0), (2.0, 0.0)]]
