@@ -16,27 +16,26 @@ def flatten_pointers(nodes: DataFrame, id_col: str, pointer: str) -> DataFrame:
     """(id, terminal, hops, state) for every node with a pointer.
 
     state: `ok`, `self` (points at itself), `dangling` (the chain ends at an id that no node has) or `cycle`; terminal and
-    hops are null for cycles. Pointer jumping: every round doubles the steps, so a chain of n takes log2 n joins, and only
-    chains that are still open are written again.
+    hops are null for cycles. Pointer jumping: every round doubles the steps, so a longest chain of n takes log2 n joins, also beside
+    cycles. Only nodes that others point at take part, and of these only open chains are written again; all others look up
+    the end of the node that they point at.
     """
     own = nodes.select(F.col(id_col).alias("id"), F.col(pointer).alias("to")).where("id IS NOT NULL")
-    links = settle(own.where("to IS NOT NULL AND to <> id").select("id", "to", F.lit(1).cast("long").alias("hops")))
-    total, done, now = links.count(), [], links
-    rounds = max(1, total).bit_length() + 1  # after these every step that is left is one of a cycle
-    for _ in range(rounds):
-        ahead = now
-        for part in done:
-            ahead = ahead.unionByName(part)
-        ahead = ahead.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
-        further = F.least(F.col("hops") + F.coalesce("more", F.lit(0)), F.lit(total + 1)).alias("hops")
-        moved = settle(now.join(ahead, "to", "left").select("id", F.coalesce("next", "to").alias("to"), further, F.col("next").isNotNull().alias("open")))
-        done.append(moved.where("NOT open").drop("open"))
+    links = settle(own.where("to IS NOT NULL AND to <> id").select("id", "to"))
+    aims = links.select(F.col("to").alias("id")).distinct()
+    now, done, cyclic = settle(links.join(aims, "id", "left_semi").withColumn("hops", F.lit(1).cast("long"))), [], None
+    while cyclic is None:
+        ahead = _stacked([now, *done]).select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
+        moved = settle(now.join(ahead, "to", "left").select("id", F.coalesce("next", "to").alias("to"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("next").isNotNull().alias("open")))
+        ended = moved.where("NOT open").drop("open")
         now = moved.where("open").drop("open")
-        if now.isEmpty():
-            break
-    ends = now.withColumn("cyclic", F.lit(True))
-    for part in done:
-        ends = ends.unionByName(part.withColumn("cyclic", F.lit(False)))
+        # a chain that ends has a node at each distance from its end, so if no chain ends in a round, those left are cycles
+        if ended.isEmpty():
+            cyclic = now
+        done.append(ended)
+    ends = _stacked([cyclic.withColumn("cyclic", F.lit(True)), *[part.withColumn("cyclic", F.lit(False)) for part in done]])
+    ends = ends.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), "cyclic")
+    ends = links.join(ends, "to", "left").select("id", F.coalesce("next", "to").alias("to"), (F.coalesce("more", F.lit(0)) + 1).alias("hops"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
     known = own.select(F.col("id").alias("to"), F.lit(True).alias("known")).distinct()
     ends = ends.join(known, "to", "left")
     state = F.when(F.col("cyclic"), "cycle").when(F.col("known").isNull(), "dangling").otherwise("ok")
@@ -132,11 +131,43 @@ def depths(tree: DataFrame, id_col: str, parent: str) -> DataFrame:
     return roots.unionByName(below.join(roots.select("root").distinct(), "root", "left_semi").select(id_col, "depth", "root"))
 
 
+def _climbed(tree: DataFrame, id_col: str, parent: str, name: str, separator: str) -> DataFrame:
+    """(id, path, depth, root, rooted) for every node; rooted: a root (null parent) is reached, else depth and root say nothing.
+
+    A node's names begin at the top of its chain; those of nodes on or below a cycle are its own. Of rows that share an id
+    the one with the smallest parent (null first) counts. Pointer jumping with the names met so far in place of pairs of
+    nodes: so no more is shuffled than the paths themselves, in log2 of the depth rounds over the nodes that have children.
+    """
+    each = tree.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(F.struct(F.col(parent).alias("to"), F.col(name).cast("string").alias("path"))).alias("m"))
+    nodes = settle(each.select("id", "m.to", "m.path"))
+    states = flatten_pointers(nodes.select("id", "to"), "id", "to")
+    climbs = F.col("state").isin("ok", "dangling")
+    at = settle(
+        nodes.join(states, "id", "left").select(
+            "id", F.when(climbs, F.col("to")).alias("to"), "path", F.when(climbs, F.col("hops")).otherwise(F.lit(0)).cast("long").alias("depth"), F.when(climbs, F.col("terminal")).otherwise(F.col("id")).alias("root"), F.col("to").isNull().alias("rooted")
+        )
+    )
+    joined = F.when(F.col("above").isNull(), F.col("path")).when(F.col("path").isNull(), F.col("above")).otherwise(F.concat("above", F.lit(separator), "path"))
+    inner = at.join(at.where("to IS NOT NULL").select(F.col("to").alias("id")).distinct(), "id", "left_semi").select("id", "to", "path", "rooted")
+    inner = settle(inner)
+    now, done = inner.where("to IS NOT NULL"), [inner.where("to IS NULL")]
+    look_up = lambda rows: rows.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("path").alias("above"), F.col("rooted").alias("top"))
+    while not now.isEmpty():
+        moved = settle(now.join(look_up(_stacked([now, *done])), "to", "left").select("id", F.col("next").alias("to"), joined.alias("path"), F.coalesce("top", F.lit(False)).alias("rooted")))
+        done.append(moved.where("to IS NULL"))
+        now = moved.where("to IS NOT NULL")
+    out = at.join(look_up(_stacked(done)), "to", "left")
+    return out.select("id", F.coalesce(joined, F.lit("")).alias("path"), "depth", "root", F.when(F.col("to").isNull(), F.col("rooted")).otherwise(F.coalesce("top", F.lit(False))).alias("rooted"))
+
+
 def paths(tree: DataFrame, id_col: str, parent: str, name: str, separator: str = " > ") -> DataFrame:
-    """(id, path): the names from the root down to each node."""
-    up = ancestors(tree, id_col, parent).join(tree.select(F.col(id_col).alias("ancestor"), F.col(name).alias("__n")), "ancestor")
-    steps = F.reverse(F.array_sort(F.collect_list(F.struct("distance", "__n"))))
-    return up.groupBy(F.col("descendant").alias(id_col)).agg(F.array_join(F.transform(steps, lambda s: s["__n"]), separator).alias("path"))
+    """(id, path): the names from the top down to each node; nodes without a name add nothing. One row for each id."""
+    return _climbed(tree, id_col, parent, name, separator).select(F.col("id").alias(id_col), "path")
+
+
+def rooted_paths(tree: DataFrame, id_col: str, parent: str, name: str, separator: str = " > ") -> DataFrame:
+    """(id, path, depth, root) of the nodes that a root (null parent) reaches, in one climb."""
+    return _climbed(tree, id_col, parent, name, separator).where("rooted").select(F.col("id").alias(id_col), "path", "depth", "root")
 
 
 def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str, *, depth: str | None = None, members: DataFrame | None = None) -> DataFrame:
@@ -170,9 +201,8 @@ def audit_tree(tree: DataFrame, id_col: str, parent: str, name: str, *, depth: s
 
 def path_mismatches(tree: DataFrame, id_col: str, parent: str, name: str, path: str, root: str, separator: str = " > ") -> DataFrame:
     """(id, expected_path, expected_root): nodes that a root reaches whose stored path or root is not that of the tree."""
-    real = paths(tree, id_col, parent, name, separator).withColumnRenamed("path", "expected_path")
-    top = depths(tree, id_col, parent).select(id_col, F.col("root").alias("expected_root"))
-    both = tree.select(id_col, F.col(path).alias("__p"), F.col(root).alias("__r")).join(top, id_col).join(real, id_col)
+    real = rooted_paths(tree, id_col, parent, name, separator).select(id_col, F.col("path").alias("expected_path"), F.col("root").alias("expected_root"))
+    both = tree.select(id_col, F.col(path).alias("__p"), F.col(root).alias("__r")).join(real, id_col)
     return both.where(~F.col("__p").eqNullSafe(F.col("expected_path")) | ~F.col("__r").eqNullSafe(F.col("expected_root"))).select(id_col, "expected_path", "expected_root")
 
 
