@@ -263,8 +263,7 @@ def merged_nodes(spark: SparkSession, d: str) -> DataFrame:
 @query("renamed_subtree", f"""WITH RECURSIVE {WALK} SELECT id, CASE WHEN path = 'same >  Same ' OR path LIKE 'same >  Same  > %' THEN 'same > other' || substr(path, 14) ELSE path END AS path FROM down""")
 def renamed_subtree(spark: SparkSession, d: str) -> DataFrame:
     tree = _tree(spark, d)
-    rooted = graph.paths(tree, "id", "parent", "name").join(graph.depths(tree, "id", "parent").select("id"), "id", "left_semi")
-    return graph.rename_subtree(rooted, "path", "same >  Same ", "same > other").select("id", "path")
+    return graph.rename_subtree(graph.rooted_paths(tree, "id", "parent", "name"), "path", "same >  Same ", "same > other").select("id", "path")
 
 
 @query("three_levels", f"""WITH t AS ({TREE}) SELECT c.id, coalesce(g.name, '(none)') AS level1, coalesce(p.name, '(none)') AS level2, coalesce(c.name, '(none)') AS level3 FROM t c LEFT JOIN t p ON p.id = c.parent LEFT JOIN t g ON g.id = p.parent""")
