@@ -69,3 +69,16 @@ def test_jaccard_pairs_are_those_of_all_pairs(spark, monkeypatch):
         best = {i: min(((-s, j) for a, j, s in good if a == i)) for i in {x[0] for x in good}}
         found = linkage.best_in_block(df(left), df(right).withColumnRenamed("id", "b"), "id", "b", (F.col("k"), F.col("k")), (F.col("w"), F.col("w")), least, shared)
         assert {r["id"]: (-r["score"], r["b"]) for r in found.collect()} == best
+
+
+def test_few_pairs_reach_the_ratio(spark, monkeypatch):
+    """Random digests share letters and pairs of letters, but are too many edits apart."""
+    from hashlib import md5
+
+    from pyspark.sql import functions as F
+
+    text = lambda k: md5(str(k).encode()).hexdigest()
+    df = lambda rows: spark.createDataFrame(rows, "t string, city string")
+    left, right = df([(text(k), "gary") for k in range(60)]), df([(text(k), "gary") for k in range(1000, 1060)] + [(text(7) + "~", "gary")])
+    monkeypatch.setattr(fuzzy, "sequence_ratio", lambda a, b: F.lit(1.0))
+    assert [(r["a"], r["b"]) for r in fuzzy.ratio_pairs(left, right, ["city"], "t", 0.75).collect()] == [(text(7), text(7) + "~")]
