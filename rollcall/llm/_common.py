@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is written meanwhile sends Python at most so many rows at once: a batch of long texts lies in JVM and worker, with its copies."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def split_of(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids count as remainder -1, so they are never held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus, F.lit(-1))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import discard, materialize
+from ._common import arrow_rows, discard, materialize
 from ..operators.graph import connected_components as components
 from .shingles import WordHashes, band_keys, prob_minhash, similarities, weighted
 
@@ -25,6 +25,8 @@ from .shingles import WordHashes, band_keys, prob_minhash, similarities, weighte
 BROADCAST_IDS = 500_000
 #: Rows of one key from which a join deals the key's rows out to several tasks.
 HOT_ROWS = 1_000
+#: Rows that Python gets at once: of texts, and of pairs of blocks, which may hold a megabyte each.
+TEXT_ROWS, BLOCK_ROWS = 512, 8
 
 
 def near_duplicate_classes(
@@ -53,7 +55,7 @@ def near_duplicate_classes(
     A pair whose weighted similarity is the threshold shares a band with probability 1 - (1 - threshold^rows)^bands (0.9997 by default).
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialize(source.mapInArrow(_signer(width, bands, rows, weighting), "id long, digest binary, n int, keys array<long>, signature binary"), "signatures")
+    signed = _in_batches(source.mapInArrow(_signer(width, bands, rows, weighting), "id long, digest binary, n int, keys array<long>, signature binary"), "signatures", TEXT_ROWS)
     light = signed.select("id", "digest", "n")
     classes = materialize(light.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "text-classes")
     belongs = materialize(_representatives(light, classes), "belongs")
@@ -88,6 +90,11 @@ def near_duplicate_classes(
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("kept"), F.col("n").cast("long").alias("n_shingles"))
 
 
+def _in_batches(df: DataFrame, tag: str, rows: int) -> DataFrame:
+    with arrow_rows(df.sparkSession, rows):
+        return materialize(df, tag)
+
+
 def _representatives(light: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, n, rep) for every row: rep is the smallest id with the row's digest. Digests of many rows are looked up, not shuffled."""
     hot = classes.where(F.col("members") > HOT_ROWS).select("digest", "rep")
@@ -191,7 +198,7 @@ def _verified(pairs: DataFrame, source: DataFrame, width: int, threshold: float,
                 keep.append(max(similarities(weighted(mine.as_py(), width, hashes, weighting), last[other][1])) >= threshold)
             yield batch.select(["id", "other"]).filter(pa.array(keep, pa.bool_()))
 
-    links = materialize(sides.select("id", "other", "text", "other_text").mapInArrow(verify, "id long, other long").distinct(), "links")
+    links = _in_batches(sides.select("id", "other", "text", "other_text").mapInArrow(verify, "id long, other long").distinct(), "links", TEXT_ROWS)
     discard(ids, texts)
     return links
 
@@ -225,7 +232,7 @@ def _across(
     sets = texts.mapInArrow(exact, "id long, of_text long, shingles binary, weights binary")
     signatures = signed.join(wanted, "id").where("n > 0").select("id", "digest", "signature").dropDuplicates(["id", "digest"])
     # a row for each text of an id; where an id has several, signatures and texts meet in all ways, which loses nothing
-    known = materialize(sets.join(signatures.select("id", "signature"), "id").drop("of_text"), "open-sets")
+    known = _in_batches(sets.join(signatures.select("id", "signature"), "id").drop("of_text"), "open-sets", TEXT_ROWS)
     blocks = open_members.join(known, "id").groupBy("key", "block").agg(F.first("band").alias("band"), F.collect_list(F.struct("id", "component", "signature", "shingles", "weights")).alias("rows"))
     blocks = materialize(blocks, "blocks")
     listed = lambda aside: F.array_sort(F.collect_list(F.when(F.col("block.aside") == F.lit(aside), F.col("block"))))
@@ -234,7 +241,7 @@ def _across(
     met = left.select("key", "x", F.explode(F.concat(F.slice("others", F.col("i") + 1, F.size("others")), "aside")).alias("y"))
     sides = met.join(blocks.select("key", F.col("block").alias("x"), F.col("rows").alias("a"), "band"), ["key", "x"])
     sides = sides.join(blocks.select("key", F.col("block").alias("y"), F.col("rows").alias("b")), ["key", "y"])
-    links = materialize(sides.select("a", "b", "band").mapInArrow(_block_links(threshold, slack, band_rows), "id long, other long").distinct(), "block-links")
+    links = _in_batches(sides.select("a", "b", "band").mapInArrow(_block_links(threshold, slack, band_rows), "id long, other long").distinct(), "block-links", BLOCK_ROWS)
     discard(open_members, ids, known, blocks)
     return links
 

@@ -20,7 +20,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of each word, remembered for at most `most` words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

@@ -98,3 +98,25 @@ def test_signatures_estimate_the_weighted_similarity():
     # by hand, sum over common i of 1 / sum_j max(x_j / x_i, y_j / y_i): (1/2 + 2 + ... ) per element
     by_hand = sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in range(4)) for x, y in [([1, 2, 1, 0], [0, 1, 1, 2])] for i in (1, 2))
     assert plain == 0.5 and abs(similarities(one, two)[1] - by_hand) < 1e-12
+
+
+def test_python_gets_few_texts_at_once(spark, monkeypatch):
+    """A batch lies in JVM and worker, with copies: ten thousand texts at once take much of an executor's memory."""
+    key, signer = "spark.sql.execution.arrow.maxRecordsPerBatch", M._signer
+
+    def watched(*args):
+        sign = signer(*args)
+
+        def held(batches):
+            for batch in batches:
+                if len(batch) > 1_000:
+                    raise ValueError(f"{len(batch)} rows at once")
+                yield batch
+
+        return lambda batches: sign(held(batches))
+
+    monkeypatch.setattr(M, "_signer", watched)
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(1_500)], "doc_id long, text string").coalesce(1)
+    assert M.near_duplicate_classes(docs).where("kept").count() == 1_500
+    assert spark.conf.get(key) == before
