@@ -19,6 +19,8 @@ shuffle, however many there are, and their counts go back to the dictionaries of
 from __future__ import annotations
 
 import heapq
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -118,6 +120,16 @@ def _order(keys: tuple[np.ndarray, ...]) -> np.ndarray:
     return order
 
 
+def _pairs(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """table[slot] of a table of two float32 columns: both come as one number of eight bytes, which is quicker than rows."""
+    return np.take(table.view(np.int64).ravel(), slot).view(np.float32).reshape(-1, 2)
+
+
+def _cells(table: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """table[row, column], by one index."""
+    return np.take(table.ravel(), row * table.shape[1] + column)
+
+
 def _running(keys: tuple[np.ndarray, ...], value: np.ndarray | None = None, given: tuple[np.ndarray, ...] = ()) -> tuple[np.ndarray, np.ndarray | None]:
     """For each row, in order: the number of rows before with its keys, and the sum of their values.
 
@@ -145,8 +157,8 @@ def _running(keys: tuple[np.ndarray, ...], value: np.ndarray | None = None, give
 class Reading:
     """Some texts of a chunk, token by token: their code bits, and what the contexts of each bit are."""
 
-    def __init__(self, texts: list[np.ndarray], n: np.ndarray, hashes: np.ndarray, spelled: np.ndarray, model: CodeModel, sizes_of_words: np.ndarray | None = None):
-        """texts: word numbers, the end left out; n, hashes, spelled: of each word number, the end last; spelled: log2.
+    def __init__(self, texts: list[np.ndarray], n: np.ndarray, hashes: np.ndarray, spelled: np.ndarray | None, model: CodeModel, sizes_of_words: np.ndarray | None = None):
+        """texts: word numbers, the end left out; n, hashes, spelled: of each word number, the end last; spelled: log2, or None for a reading that only learns.
 
         sizes_of_words: size_of(n), where it is known already.
         """
@@ -162,11 +174,12 @@ class Reading:
         # of the words of this size: tokens in the text so far, and training tokens of the words among them
         shown, taken = _running((size,), np.where(had, 0.0, count), (self.doc,))
         mass = model.masses[size]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            share = model.prior / np.maximum(mass, 1.0)
-            again = np.log2((times + share * count) / (shown + share * taken))
-            new = np.where(size > 0, np.log2(count / np.maximum(mass - taken, count)), spelled[w])
-        self.chosen = np.where(had, again, new)
+        if spelled is not None:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                share = model.prior / np.maximum(mass, 1.0)
+                again = np.log2((times + share * count) / (shown + share * taken))
+                new = np.where(size > 0, np.log2(count / np.maximum(mass - taken, count)), spelled[w])
+            self.chosen = np.where(had, again, new)
         symbol = size * 2 + had
         before = lambda x, k, at_start: np.where(self.t >= k, np.r_[np.full(k, at_start, x.dtype), x[:-k]][: len(x)], at_start)
         s1, s2 = before(symbol, 1, START), before(symbol, 2, START)
@@ -175,29 +188,33 @@ class Reading:
         place = np.minimum(np.frexp(self.t + 1.0)[1], 15)
         contexts = (s1 * 65 + s2, h1 % model.classes, ((h1 * 0x9E3779B1 ^ h2) >> 3) % model.classes, size * 16 + place)
         # the bits: the way to the size, then, where both are possible, whether the text had the word
-        asked, node, bit = model.asked[size], model.nodes[size], model.turns[size]
+        asked, node, bit = (np.take(x, size, axis=0) for x in (model.asked, model.nodes, model.turns))
         asked[:, -1] = (shown > 0) & ((size == 0) | (mass - taken > 0.5))
         node[:, -1], bit[:, -1] = SIZES + size, had
         block = np.searchsorted(BLOCKS, self.t, side="right").astype(np.uint16)
         order = np.argsort(block, kind="stable")
-        row, level = np.nonzero(asked[order])
+        row, level = np.divmod(np.flatnonzero(np.take(asked, order, axis=0)), asked.shape[1])
         self.token = order[row]
-        self.node, self.bit = node[self.token, level].astype(np.int64), bit[self.token, level]
+        self.node, self.bit = _cells(node, self.token, level).astype(np.int64), _cells(bit, self.token, level)
         self.block, self.of_doc = block[self.token], self.doc[self.token]
         self.slots = [c[self.token] * NODES + self.node for c in contexts]
         self.slots[3] = np.where(self.node < SIZES, place[self.token], self.slots[3] // NODES) * NODES + self.node  # the size is not known on the way to it
-        k, ones = _running((self.node, self.of_doc), self.bit.astype(np.int64))
-        self.shown = SURE[np.minimum(k - ones, 63), np.minimum(ones, 63)]
+        k, ones = _running((self.of_doc * NODES + self.node,), self.bit.astype(np.int64))
+        self.shown = _cells(SURE, np.minimum(k - ones, 63), np.minimum(ones, 63))
 
     def inputs(self, tables: list[np.ndarray]) -> np.ndarray:
         """What the predictors say. tables: the model's counts, or what it makes of them once they are all gathered."""
         x = np.empty((INPUTS, len(self.token)), np.float32)
         for f, (table, slot) in enumerate(zip(tables, self.slots, strict=True)):
-            found = table[slot]
+            found = np.take(table, slot) if table.ndim == 1 else _pairs(table, slot)
             x[f] = found if found.ndim == 1 else np.log((found[:, 1] + 0.4) / (found[:, 0] + 0.4))
         x[4], x[5] = self.shown, 0.3
         return x
 
+    def teach(self, x: np.ndarray, mixer: Mixer) -> None:
+        """What bits does to the mixer if no text adapts it, without the probabilities."""
+        _mixed_in_blocks(x, self.node, self.bit, None, 0, self.block, mixer, told=False)
+
     def learn(self, model: CodeModel) -> None:
         for table, slot in zip(model.counts, self.slots, strict=True):
             np.add.at(table.reshape(-1), slot * 2 + self.bit, np.float32(1))
@@ -209,13 +226,14 @@ class Reading:
         return np.bincount(self.of_doc, cost, texts) + np.bincount(self.doc, self.chosen, texts)
 
 
-def _mixed_in_blocks(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, lane: np.ndarray | None, lanes: int, block: np.ndarray, mixer: Mixer, rate: float = 0.02) -> np.ndarray:
+def _mixed_in_blocks(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, lane: np.ndarray | None, lanes: int, block: np.ndarray, mixer: Mixer, rate: float = 0.02, told: bool = True) -> np.ndarray:
     """log2 of the probability of each bit. After each block the weights follow its errors, and so does the map.
 
     lane: the text of each bit, with weights and a map of its own for the time of the call; None: the mixer's own learn.
+    told: whether the probabilities are asked for; if not, zeros come back, and the mixer learns the same.
     """
     gates = len(mixer.weights)
-    out = np.empty(len(bit))
+    out = np.zeros(len(bit))
     refined = mixer.map()
     if lane is None:
         weights = mixer.weights
@@ -226,17 +244,18 @@ def _mixed_in_blocks(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, lane: np.
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         g, y, xs = gate[a:b], bit[a:b].astype(np.float32), x[:, a:b]
         at = g if lane is None else lane[a:b] * gates + g
-        z = np.einsum("fi,if->i", xs, weights[at])
+        z = np.einsum("fi,if->i", xs, np.take(weights, at, axis=0))
         p = 1 / (1 + np.exp(-np.clip(z, -20, 20)))
         step = (np.clip(z, -8, 8) + 8) * ((STEPS - 1) / 16)
-        low = np.minimum(step.astype(np.int64), STEPS - 2)
-        part = step - low
-        fine = (1 - part) * refined[g, low] + part * refined[g, low + 1]
         near = np.rint(step).astype(np.int64)
-        if lane is not None:
-            fine = fine + shift[lane[a:b], near]
-        q = np.clip(0.5 * p + 0.5 * np.clip(fine, 1e-4, 1 - 1e-4), 1e-5, 1 - 1e-5)
-        out[a:b] = np.log2(np.where(y > 0, q, 1 - q))
+        if told or lane is not None:
+            low = np.minimum(step.astype(np.int64), STEPS - 2)
+            part = step - low
+            fine = (1 - part) * _cells(refined, g, low) + part * _cells(refined, g, low + 1)
+            if lane is not None:
+                fine = fine + _cells(shift, lane[a:b], near)
+            q = np.clip(0.5 * p + 0.5 * np.clip(fine, 1e-4, 1 - 1e-4), 1e-5, 1 - 1e-5)
+            out[a:b] = np.log2(np.where(y > 0, q, 1 - q))
         error = y - p
         n = np.bincount(at, minlength=len(weights))
         pace = (rate if lane is not None else 5 * rate) / np.sqrt(np.maximum(n, 1))
@@ -296,7 +315,7 @@ class SpellingModel:
     counts: list[np.ndarray] = field(default_factory=lambda: [np.zeros((1 << b, 2), np.float32) for b in SPELL_BITS])
 
     def read(self, words: list[bytes], learn: bool) -> np.ndarray:
-        """log2 of the probability of each word; learn: weights and counts follow, each from what was known before the call."""
+        """log2 of the probability of each word; learn: weights and counts follow instead, each from what was known before the call, and zeros come back."""
         cost = np.zeros(len(words))
         if not words:
             return cost
@@ -305,16 +324,16 @@ class SpellingModel:
         for gate, bit, slots in spelling.events():
             x = np.empty((ORDERS + 1, len(bit)), np.float32)
             for f, (table, slot) in enumerate(zip(self.counts, slots, strict=True)):
-                n = table[slot]
+                n = _pairs(table, slot)
                 x[f] = np.log((n[:, 1] + 0.3) / (n[:, 0] + 0.3))
             x[ORDERS] = 0.3
             if learn:
-                bits = _mixed_in_blocks(x, gate, bit, None, 0, np.zeros(len(bit), np.int8), self.mixer)
+                _mixed_in_blocks(x, gate, bit, None, 0, np.zeros(len(bit), np.int8), self.mixer, told=False)
                 seen.append((slots, bit))
             else:
                 still = Mixer(self.mixer.weights.copy(), self.mixer.hits.copy())
                 bits = _mixed_in_blocks(x, gate, bit, None, 0, np.zeros(len(bit), np.int8), still)
-            cost += np.bincount(spelling.word, bits, len(words))
+                cost += np.bincount(spelling.word, bits, len(words))
         for slots, bit in seen:
             for table, slot in zip(self.counts, slots, strict=True):
                 np.add.at(table.reshape(-1), slot * 2 + bit, np.float32(1))
@@ -362,12 +381,9 @@ def score_texts(docs: DataFrame, training: Column, *, id_col: str = "doc_id", te
     return done.select(F.col("id").alias(id_col), "training", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
-class _Numbers(dict):
+def _numbers() -> defaultdict[bytes, int]:
     """Numbers words as they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
+    return defaultdict(itertools.count().__next__)
 
 
 def _packer(chunk_bytes: int, ids):
@@ -381,7 +397,7 @@ def _packer(chunk_bytes: int, ids):
         number = TaskContext.get().partitionId() << 30
         own_ids: list = []
         flags: list = []
-        numbers = _Numbers()
+        numbers = _numbers()
         tokens: list[np.ndarray] = []
         held = 0
 
@@ -401,7 +417,7 @@ def _packer(chunk_bytes: int, ids):
                 held += sum(map(len, words)) + 16
                 if held >= chunk_bytes:
                     yield out()
-                    number, own_ids, flags, numbers, tokens, held = number + 1, [], [], _Numbers(), [], 0
+                    number, own_ids, flags, numbers, tokens, held = number + 1, [], [], _numbers(), [], 0
         if own_ids:
             yield out()
 
@@ -530,10 +546,10 @@ def _code_from(coded: DataFrame, model: CodeModel, group_tokens: int) -> CodeMod
         for row in _rows(batches):
             tokens, starts = _opened(row["tokens"], np.int32), _opened(row["starts"], np.int64)
             n, hashes = _opened(row["counts"], np.int64), _opened(row["hashes"], np.uint32)
-            free, size = np.zeros(len(n)), size_of(n)
+            size = size_of(n)
             for group in _growing(starts, np.flatnonzero(np.array(row["training"], bool)), group_tokens, seen):
-                reading = Reading([tokens[starts[k] : starts[k + 1]] for k in group], n, hashes, free, own, size)
-                reading.bits(reading.inputs(own.counts), own.mixer, adapt=False)
+                reading = Reading([tokens[starts[k] : starts[k + 1]] for k in group], n, hashes, None, own, size)
+                reading.teach(reading.inputs(own.counts), own.mixer)
                 reading.learn(own)
                 seen += len(reading.token)
         yield from _told(own.counts, own.mixer, seen)

@@ -57,6 +57,30 @@ def test_spelling_adds_up_to_one():
     assert math.isclose(total, 1.0, rel_tol=1e-5)
 
 
+def test_training_works_out_no_probabilities(monkeypatch):
+    """What it learns is the same; the refined probabilities and their logarithms took a third of its time."""
+    words = [f"w{i}".encode() for i in range(64)]
+    rng = random.Random(3)
+    texts = [np.array([rng.randrange(64) for _ in range(300)], np.int64) for _ in range(20)]
+    learned = []
+    for teach in (False, True):
+        model, n, hashes = model_of(words, [1 + i * 3 for i in range(64)])
+        for some in (texts[:10], texts[10:]):
+            r = L.Reading(some, n, hashes, None if teach else np.zeros(len(n)), model)
+            x = r.inputs(model.counts)
+            if teach:
+                with monkeypatch.context() as m:
+                    m.setattr(np, "log2", None)
+                    r.teach(x, model.mixer)
+            else:
+                r.bits(x, model.mixer, adapt=False)
+            r.learn(model)
+        learned.append(model)
+    one, two = learned
+    assert (one.mixer.weights == two.mixer.weights).all() and (one.mixer.hits == two.mixer.hits).all()
+    assert all((a == b).all() for a, b in zip(one.counts, two.counts, strict=True))
+
+
 def test_a_text_teaches_its_own_weights():
     words = [f"w{i}".encode() for i in range(64)]
     model, n, hashes = model_of(words, [1 + i * 3 for i in range(64)])
