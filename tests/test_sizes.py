@@ -8,10 +8,12 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from rollcall.functions import directories, geo
 from rollcall.llm.suffix_dedup import CHUNKS_AT_ONCE, remove_repeats
 from rollcall.operators import linkage, matching, spatial
 from rollcall.operators.settled import shared_dir
+from tests.compare import both
 
 
 def test_chunks_are_loaded_a_few_at_once(spark):
@@ -37,6 +39,15 @@ def test_ids_of_six_digits_are_not_cut(spark):
     assert got[0] == "e_00001" and got[90_000] == "e_90001" and got[100_000] == "e_100001" and got[100_001] == "e_100002"
 
 
+def test_every_cluster_of_six_digits_has_an_id(spark, tmp_path):
+    k = np.arange(133_340)
+    days = np.datetime64("1994-01-01", "us") + (k % 2000).astype("timedelta64[D]")
+    pq.write_table(pa.table({"o_custkey": k, "o_orderpriority": (k % 5).astype(str), "o_orderdate": days}), tmp_path / "orders.parquet")
+    columns, got, names, want = both(spark, entry.queries()["rolled_up"], entry.oracle_sql()["rolled_up"], str(tmp_path))
+    assert columns == names and got == want
+    assert {r[columns.index("entity_id")] for r in got} == {f"e_{n:05d}" for n in range(1, 100_006)}
+
+
 def test_radius_sums_of_copies(spark):
     """100,000 points on one place and as many centres on another: 10^10 pairs, if rows met one by one."""
     centres = spark.range(100_000).selectExpr("id", "10.0 AS lat", "20.0 AS lon").unionByName(spark.sql("SELECT -1L AS id, CAST(NULL AS DOUBLE) AS lat, 1.0 AS lon"))
